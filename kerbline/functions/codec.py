@@ -16,6 +16,15 @@ def _ddl(schema):
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
 
 
+def _unpack(df, record, *keep):
+    """The fields of a decoded record as columns.
+
+    A generator is used because a later filter on the fields would be pushed below
+    a plain projection, which would parse every message twice.
+    """
+    return df.select(*keep, F.inline(F.array(record)))
+
+
 def decode_csv(messages, value="value", strict=False):
     """Decode ``dt,lat,lon,base`` lines into the TRIP columns plus ``_corrupt``.
 
@@ -24,34 +33,30 @@ def decode_csv(messages, value="value", strict=False):
     such a line instead.
     """
     raw = F.col(value)
-    parsed = messages.withColumn(
-        "_trip", F.from_csv(raw, f"{_ddl(TRIP)}, {CORRUPT} string", PERMISSIVE)
-    )
-    trip = F.col("_trip")
+    record = F.from_csv(raw, f"{_ddl(TRIP)}, {CORRUPT} string", PERMISSIVE)
     unreadable = (
-        trip["dt"].isNull()
-        | trip["lat"].isNull()
-        | trip["lon"].isNull()
-        | (trip[CORRUPT].isNotNull() & (F.size(F.split(raw, ",")) < len(TRIP)))
+        F.col("dt").isNull()
+        | F.col("lat").isNull()
+        | F.col("lon").isNull()
+        | (F.col(CORRUPT).isNotNull() & (F.size(F.split(raw, ",")) < len(TRIP)))
     )
     corrupt = F.when(unreadable, raw)
     if strict:
-        corrupt = F.when(
-            unreadable, F.raise_error(F.concat(F.lit("malformed trip line: "), raw))
-        ).cast("string")
+        message = F.concat(F.lit("malformed trip line: "), raw)
+        corrupt = F.when(unreadable, F.raise_error(message)).cast("string")
     kept = [c for c in messages.columns if c != value]
-    return parsed.select(
-        *kept, *[trip[f.name].alias(f.name) for f in TRIP], corrupt.alias(CORRUPT)
+    return _unpack(messages, record, *messages.columns).select(
+        *kept, *TRIP.names, corrupt.alias(CORRUPT)
     )
 
 
 def decode_json(messages, schema, value="value", strict=False):
     """Decode JSON messages by field name; unknown fields are ignored."""
-    options = {"mode": "FAILFAST"} if strict else PERMISSIVE
-    ddl = _ddl(schema) if strict else f"{_ddl(schema)}, {CORRUPT} string"
-    record = F.from_json(F.col(value), ddl, options)
+    ddl, options = f"{_ddl(schema)}, {CORRUPT} string", PERMISSIVE
+    if strict:
+        ddl, options = _ddl(schema), {"mode": "FAILFAST"}
     kept = [c for c in messages.columns if c != value]
-    out = messages.withColumn("_record", record).select(*kept, "_record.*")
+    out = _unpack(messages, F.from_json(F.col(value), ddl, options), *kept)
     return out.withColumn(CORRUPT, F.lit(None).cast("string")) if strict else out
 
 

@@ -14,7 +14,7 @@ FIT_SEED = 5043
 
 # Above this many centres the unrolled distances outgrow the 8,000 bytecode bytes
 # that HotSpot compiles per method; a loop over a literal array is faster then.
-UNROLL_LIMIT = 80
+UNROLL_LIMIT = 48
 
 # Proven size bound of a broadcast centre table: 100,000 rows of 20 bytes.
 BROADCAST_LIMIT = 100_000
@@ -104,6 +104,16 @@ def _distances(centers):
     return F.transform(pairs, lambda c: _squared_distance(lat, lon, c["a"], c["b"]))
 
 
+def _located():
+    """True where both coordinates are numbers; never null."""
+    lat, lon = F.coalesce("lat", F.lit(float("nan"))), F.coalesce("lon", F.lit(float("nan")))
+    return ~F.isnan(lat) & ~F.isnan(lon)
+
+
+def _measure(df, centers):
+    return df.withColumn("_d", _distances(centers)).withColumn("_m", F.array_min("_d"))
+
+
 def nearest(df, centers, distance=None):
     """Add ``cid``, the nearest centre; ties go to the lowest id.
 
@@ -111,12 +121,24 @@ def nearest(df, centers, distance=None):
     and no shuffle. A row without coordinates gets a null id. ``distance`` names
     an extra column for the squared distance.
     """
-    measured = df.withColumn("_d", _distances(centers)).withColumn("_m", F.array_min("_d"))
-    known = ~F.isnan("_m")
+    known = _located()
     out = [F.when(known, F.array_position("_d", F.col("_m")) - 1).cast("int").alias("cid")]
     if distance:
         out.append(F.when(known, F.col("_m")).alias(distance))
-    return measured.select(*df.columns, *out)
+    return _measure(df, centers).select(*df.columns, *out)
+
+
+def _nearest_located(df, centers):
+    """``nearest`` for the rows with coordinates, with ``cid`` typed as never null.
+
+    A join on a nullable ``cid`` would repeat the whole distance expression in an
+    inferred null filter below the join.
+    """
+    place = F.coalesce(F.array_position("_d", F.col("_m")), F.lit(1).cast("bigint"))
+    located = df.where("lat IS NOT NULL AND lon IS NOT NULL").where(_located())
+    return _measure(located, centers).select(
+        *df.columns, (place - 1).cast("int").alias("cid")
+    )
 
 
 def cost(df, centers):
@@ -185,5 +207,5 @@ def attach_centers(clustered, centers):
 
 
 def enrich(trips, centers):
-    """Nearest cluster and its centre for every trip."""
-    return attach_centers(nearest(trips, centers), centers)
+    """Nearest cluster and its centre for every trip that has coordinates."""
+    return attach_centers(_nearest_located(trips, centers), centers)

@@ -3,43 +3,60 @@
 from pyspark.sql import functions as F
 
 from kerbline.operators import clustering, hourly, reports
+from kerbline.session import scratch_dir
 from kerbline.sources import files
 
 
 def train_and_report(
-    spark, trips_path, model_path, json_path, k=20, max_iter=5, split_key=None, mode="overwrite"
+    spark,
+    trips_path,
+    model_path,
+    json_path,
+    k=20,
+    max_iter=5,
+    split_key=None,
+    cache=False,
+    mode="errorifexists",
 ):
-    """Fit on 70 % of a trip CSV, save the model, and write all trips with their cluster.
+    """Fit on 70 % of a trip CSV, save the model, and assign the other 30 %.
 
-    Returns the model and the reports over the held-out trips. ``split_key`` names a
-    column for the stable hash split; by default the whole line decides.
+    The held-out trips are reported on and written as JSON in time order. The split
+    is the seeded random one, or the stable hash split when ``split_key`` names a
+    column. ``cache`` keeps the parsed trips between the passes. Returns the model
+    and the reports.
     """
     trips = files.csv_scan(spark, trips_path)
-    key = split_key or "_line"
-    keyed = trips.withColumn("_line", F.concat_ws(",", *trips.columns))
-    split = clustering.hash_split(keyed, key).drop("_line")
-    model = clustering.fit(split.where("in_train"), k=k, max_iter=max_iter)
+    if cache:
+        trips = trips.cache()
+    if split_key:
+        split = clustering.hash_split(trips, split_key)
+        train, test = split.where("in_train"), split.where("NOT in_train").drop("in_train")
+    else:
+        train, test = clustering.random_split(trips)
+    model = clustering.fit(train, k=k, max_iter=max_iter)
     clustering.save_model(model, model_path)
-    held_out = clustering.predict(model, split.where("NOT in_train").drop("in_train"))
-    everything = clustering.predict(model, trips)
-    files.write_json_sorted(
-        everything.select("dt", "lat", "lon", "cid", "base"), json_path, mode=mode
-    )
-    return model, report_set(held_out)
+    held_out = clustering.predict(model, test)
+    files.write_json_sorted(held_out.select("dt", "lat", "lon", "cid", "base"), json_path, mode=mode)
+    made = report_set(held_out)
+    if cache:
+        trips.unpersist()
+    return model, made
 
 
 def report_set(clustered):
-    """All count reports by name, from a single scan.
+    """All count reports by name, from one scan of the trips.
 
-    The first report that runs fills the persisted hourly cube, which is small and
-    can be recomputed; call ``unpersist`` on ``reports['cube']`` when done.
+    The hourly cube is written to the scratch folder first: it is small, every
+    report reads it instead of the trips, and a lost executor costs no rescan.
     """
-    cube = hourly.cube(clustered).persist()
+    spark = clustered.sparkSession
+    path = scratch_dir(spark, "cube") + "/cube"
+    hourly.cube(clustered).write.parquet(path)
+    cube = spark.read.parquet(path)
     windows = hourly.windows(cube)
     cells = hourly.month_day_hour_cluster(cube)
     by_hour = hourly.hour_cluster(cube)
     return {
-        "cube": cube,
         "month_day_hour_cluster": cells.orderBy("day", "hour", "cid"),
         "month_day_hour_cluster_top": cells.orderBy(F.desc("count"), F.desc("cid")),
         "month_day_cluster": hourly.month_day_cluster(cube).orderBy(F.desc("count")),
@@ -52,6 +69,10 @@ def report_set(clustered):
         "hour": hourly.hour(cube),
         "windows": windows,
         "window_totals": windows.groupBy("cid").agg(F.sum("count").alias("total_count")),
+        "window_listing": windows.orderBy("window_end", "cid").select(
+            "cid", F.date_format("window_end", "MMM-dd HH:mm").alias("dt"), "count"
+        ),
+        "rows": cube.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("count")),
     }
 
 

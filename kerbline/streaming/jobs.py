@@ -105,7 +105,7 @@ def keep_totals(counts, keys, path, checkpoint):
     def write(batch, batch_id):
         keyed_table.write_batch(batch, path, keys, batch_id, unique=True)
 
-    return per_batch(counts, write, checkpoint, mode="update")
+    return per_batch(counts, write, checkpoint, mode="update", skip_empty=False)
 
 
 def puts(trips, version):

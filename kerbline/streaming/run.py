@@ -25,11 +25,15 @@ def rows_read(query):
     return sum(p.numInputRows for p in query.recentProgress)
 
 
-def per_batch(stream, handler, checkpoint, mode="append"):
-    """Writer that hands each batch that is not empty to ``handler(batch, batch_id)``."""
+def per_batch(stream, handler, checkpoint, mode="append", skip_empty=True):
+    """Writer that hands each batch to ``handler(batch, batch_id)``.
+
+    Empty batches are skipped. The test for that is a job of its own, so turn
+    ``skip_empty`` off for a stateful stream, whose state it would compute twice.
+    """
 
     def handle(batch, batch_id):
-        if not batch.isEmpty():
+        if not (skip_empty and batch.isEmpty()):
             handler(batch, batch_id)
 
     return (
