@@ -147,6 +147,10 @@ def cost(df, centers):
 
 
 def training_cost(model):
+    """The cost that the fit recorded, taken before its last move of the centres.
+
+    ``cost`` with the model's centres gives the cost of the model as it stands.
+    """
     return model.summary.trainingCost
 
 
