@@ -77,17 +77,20 @@ def batch_report(spark, path, report):
 def window_counts(trips, watermark=WATERMARK):
     """Running one-hour counts per cluster over the whole stream.
 
-    Event time must be TIMESTAMP, so ``dt`` is read in the session time zone. The
-    watermark bounds the state: windows older than it are dropped from memory.
+    A watermark needs TIMESTAMP, so wall-clock times are placed on the UTC line and
+    taken back from it, whatever the session time zone. The watermark bounds the
+    state: windows older than it are dropped from memory.
     """
-    timed = trips.select(F.col("dt").cast("timestamp").alias("dt"), "cid")
-    counts = reports.flat_window(reports.window_count(timed.withWatermark("dt", watermark)))
-    return counts.select(
-        "cid",
-        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-        F.col("window_end").cast("timestamp_ntz").alias("window_end"),
-        "count",
-    )
+    since_epoch = "CAST(dt - TIMESTAMP_NTZ '1970-01-01 00:00:00' AS INTERVAL SECOND)"
+    on_utc = F.expr(f"timestamp_seconds(CAST({since_epoch} AS DECIMAL(18, 6)))")
+    timed = trips.select(on_utc.alias("dt"), "cid").withWatermark("dt", watermark)
+    counts = reports.flat_window(reports.window_count(timed))
+
+    def wall_clock(name):
+        since = F.make_dt_interval(secs=F.unix_seconds(name))
+        return (F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since).alias(name)
+
+    return counts.select("cid", wall_clock("window_start"), wall_clock("window_end"), "count")
 
 
 def word_counts(lines, column="value"):

@@ -214,3 +214,24 @@ def test_stream_and_batch_enrichment_agree(spark, sf_dir, tmp_path):
     assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
     counts = reports.count_cluster(streamed)
     assert counts.agg(F.sum("count")).first()[0] == batch.count()
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
+def test_running_windows_follow_wall_clock_in_any_session_zone(spark, tmp_path, zone):
+    topic, base = str(tmp_path / "topic"), str(tmp_path)
+    keys = ("cid", "window_start", "window_end")
+    # 02:30 on this day does not exist in New York.
+    line = _enriched(spark, 30, 1, hour=2).replace("2014-08-01", "2014-03-09")
+    _send(spark, topic, line, _enriched(spark, 10, 1, hour=3))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        counts = jobs.window_counts(jobs.decode_enriched(topics.subscribe(spark, topic)))
+        run.drain(jobs.keep_totals(counts, keys, f"{base}/out", f"{base}/cp"))
+        got = keyed_table.latest(spark, f"{base}/out", keys).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert sorted(r["window_start"] for r in got) == [
+        dt.datetime(2014, 3, 9, 2),
+        dt.datetime(2014, 8, 1, 3),
+    ]
