@@ -13,8 +13,9 @@ SPLIT_SEED = 5043
 FIT_SEED = 5043
 
 # Above this many centres the unrolled distances outgrow the 8,000 bytecode bytes
-# that HotSpot compiles per method; a loop over a literal array is faster then.
-UNROLL_LIMIT = 48
+# that HotSpot compiles per method. A loop over a literal array takes over, which is
+# slower; ``predict`` with a fitted model suits large k better.
+UNROLL_LIMIT = 100
 
 # Proven size bound of a broadcast centre table: 100,000 rows of 20 bytes.
 BROADCAST_LIMIT = 100_000
@@ -84,34 +85,22 @@ def predict(model, df, columns=("lat", "lon")):
     )
 
 
-def _squared_distance(lat, lon, clat, clon):
-    return (lat - clat) * (lat - clat) + (lon - clon) * (lon - clon)
-
-
-def _distances(centers):
+def _squared_distance(clat, clon):
     # Non-null inputs keep null checks out of the generated code; NaN marks a
     # missing coordinate and sorts after every number.
-    nan = F.lit(float("nan"))
-    lat, lon = F.coalesce(F.col("lat"), nan), F.coalesce(F.col("lon"), nan)
-    if len(centers) <= UNROLL_LIMIT:
-        return F.array(
-            *[_squared_distance(lat, lon, F.lit(float(a)), F.lit(float(b))) for a, b in centers]
-        )
-    pairs = F.from_json(
-        F.lit(json.dumps([{"a": float(a), "b": float(b)} for a, b in centers])),
-        "array<struct<a:double,b:double>>",
-    )
-    return F.transform(pairs, lambda c: _squared_distance(lat, lon, c["a"], c["b"]))
+    lat, lon = (f"coalesce({c}, double('NaN'))" for c in ("lat", "lon"))
+    return f"({lat} - {clat}) * ({lat} - {clat}) + ({lon} - {clon}) * ({lon} - {clon})"
 
 
-def _located():
-    """True where both coordinates are numbers; never null."""
-    lat, lon = F.coalesce("lat", F.lit(float("nan"))), F.coalesce("lon", F.lit(float("nan")))
-    return ~F.isnan(lat) & ~F.isnan(lon)
-
-
-def _measure(df, centers):
-    return df.withColumn("_d", _distances(centers)).withColumn("_m", F.array_min("_d"))
+def _distances(centers):
+    """Array of squared distances as one SQL expression, which is quick to build for any k."""
+    pairs = [(float(clat), float(clon)) for clat, clon in centers]
+    if len(pairs) <= UNROLL_LIMIT:
+        terms = [_squared_distance(f"({a!r}D)", f"({b!r}D)") for a, b in pairs]
+        return F.expr(f"array({', '.join(terms)})")
+    rows = json.dumps([{"a": a, "b": b} for a, b in pairs])
+    table = f"from_json('{rows}', 'array<struct<a:double,b:double>>')"
+    return F.expr(f"transform({table}, c -> {_squared_distance('c.a', 'c.b')})")
 
 
 def nearest(df, centers, distance=None):
@@ -120,25 +109,16 @@ def nearest(df, centers, distance=None):
     The centres are literals in the plan: assignment is row-local, with no join
     and no shuffle. A row without coordinates gets a null id. ``distance`` names
     an extra column for the squared distance.
+
+    The id leaves through a one-row generator. A filter on ``cid`` would otherwise
+    be pushed below the assignment with copies of all distances in it.
     """
-    known = _located()
+    measured = df.withColumn("_d", _distances(centers)).withColumn("_m", F.array_min("_d"))
+    known = ~F.isnan("_m")
     out = [F.when(known, F.array_position("_d", F.col("_m")) - 1).cast("int").alias("cid")]
     if distance:
         out.append(F.when(known, F.col("_m")).alias(distance))
-    return _measure(df, centers).select(*df.columns, *out)
-
-
-def _nearest_located(df, centers):
-    """``nearest`` for the rows with coordinates, with ``cid`` typed as never null.
-
-    A join on a nullable ``cid`` would repeat the whole distance expression in an
-    inferred null filter below the join.
-    """
-    place = F.coalesce(F.array_position("_d", F.col("_m")), F.lit(1).cast("bigint"))
-    located = df.where("lat IS NOT NULL AND lon IS NOT NULL").where(_located())
-    return _measure(located, centers).select(
-        *df.columns, (place - 1).cast("int").alias("cid")
-    )
+    return measured.select(*df.columns, F.inline(F.array(F.struct(*out))))
 
 
 def cost(df, centers):
@@ -212,4 +192,4 @@ def attach_centers(clustered, centers):
 
 def enrich(trips, centers):
     """Nearest cluster and its centre for every trip that has coordinates."""
-    return attach_centers(_nearest_located(trips, centers), centers)
+    return attach_centers(nearest(trips, centers), centers)

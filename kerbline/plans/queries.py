@@ -14,7 +14,8 @@ from kerbline.streaming import jobs, run
 CLUSTERS = range(len(CITY_CENTERS))
 TRIP_COLUMNS = ("dt", "lat", "lon", "base")
 LLOYD_K, LLOYD_ROUNDS = 8, 3
-HALFWAY = "dt < TIMESTAMP_NTZ '2024-01-16 00:00:00'"
+EARLY = "coalesce(dt < TIMESTAMP_NTZ '2024-01-16 00:00:00', false)"
+LATE = f"NOT {EARLY}"
 
 
 def trips(spark, sf_dir):
@@ -289,8 +290,8 @@ def _kv_table(spark, sf_dir):
     path = scratch_dir(spark, "kv") + "/trips"
     source = trips(spark, sf_dir)
     write = jobs.write_puts(path, "event_id")
-    write(keyed(source.where(HALFWAY)), 0)
-    write(keyed(source.where(f"NOT ({HALFWAY})")), 1)
+    write(keyed(source.where(EARLY)), 0)
+    write(keyed(source.where(LATE)), 1)
     return path
 
 
@@ -388,7 +389,7 @@ def _enriched_topic_in_halves(spark, sf_dir, consume):
     """Publish the earlier, then the later trips; ``consume`` resumes after each."""
     topic = scratch_dir(spark, "halves") + "/topic"
     source = trips(spark, sf_dir)
-    for part in (HALFWAY, f"NOT ({HALFWAY})"):
+    for part in (EARLY, LATE):
         rows = clustering.enrich(source.where(part), CITY_CENTERS)
         topics.publish(codec.encode_enriched(rows), topic)
         run.drain(consume(jobs.decode_enriched(topics.subscribe(spark, topic))))

@@ -1,7 +1,5 @@
 """The given Parquet tables, and the view of ``events`` as trips."""
 
-from pyspark.sql import functions as F
-
 
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -19,12 +17,10 @@ def stream_table(spark, sf_dir, name):
 
 def trips(events):
     """``events`` as pickups: event_id, dt, lat, lon, base."""
-    lat = F.lit(40.5) + ((F.col("event_id") * 7919) % 5000) / F.lit(10000).cast("double")
-    lon = F.lit(-74.2) + ((F.col("event_id") * 104729) % 6000) / F.lit(10000).cast("double")
-    return events.select(
+    return events.selectExpr(
         "event_id",
-        F.col("ts").alias("dt"),
-        lat.alias("lat"),
-        lon.alias("lon"),
-        F.col("event_type").alias("base"),
+        "ts AS dt",
+        "40.5D + ((event_id * 7919) % 5000) / 10000D AS lat",
+        "-74.2D + ((event_id * 104729) % 6000) / 10000D AS lon",
+        "event_type AS base",
     )

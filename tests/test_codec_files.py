@@ -151,4 +151,4 @@ def test_identical_rows_are_spread_by_the_sorted_write(spark, tmp_path):
         .count()
         .collect()
     ]
-    assert sum(sizes) == 40_000 and max(sizes) < 10_000
+    assert sum(sizes) == 40_000 and max(sizes) < 15_000

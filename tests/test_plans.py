@@ -45,6 +45,19 @@ def test_generated_methods_stay_small_enough_to_compile(spark, sf_dir, name):
     assert sizes and max(sizes) < HOTSPOT_METHOD_LIMIT
 
 
+def test_filter_on_the_cluster_stays_above_the_assignment(spark, sf_dir):
+    rows = queries.clustered(spark, sf_dir).where("cid = 3")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("40.72660911077645") == 2
+
+
+def test_largest_unrolled_assignment_compiles(spark, sf_dir):
+    centers = [(40.5 + i / 1000, -74.2 + i / 1000) for i in range(clustering.UNROLL_LIMIT)]
+    rows = clustering.nearest(queries.trips(spark, sf_dir), centers)
+    sizes = re.findall(r"maxMethodCodeSize:(\d+)", _explain(rows, "codegen"))
+    assert sizes and max(map(int, sizes)) < HOTSPOT_METHOD_LIMIT
+
+
 def test_centre_join_is_a_broadcast_join(spark, sf_dir, monkeypatch):
     plan = _explain(queries.enrich_join(spark, sf_dir))
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
