@@ -166,7 +166,11 @@ def first_points(trips, k, order):
 
 
 def random_split(df, train=0.7, seed=SPLIT_SEED):
-    """Random train and test parts; the draw depends on the input partitioning."""
+    """Random train and test parts; the draw depends on the input partitioning.
+
+    Spark sorts every input partition for it, so on large data keep few columns or
+    use ``hash_split``.
+    """
     return df.randomSplit([train, 1 - train], seed)
 
 

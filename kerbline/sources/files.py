@@ -1,7 +1,6 @@
 """CSV and JSON trip files, always read with an explicit schema."""
 
-from pyspark.sql import functions as F
-
+from kerbline.operators.ordering import order_spread
 from kerbline.schemas import TRIP, TRIP_CLUSTERED
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -27,12 +26,5 @@ def write_json(df, path, mode="errorifexists"):
 
 
 def write_json_sorted(df, path, by=("dt",), mode="errorifexists"):
-    """Write JSON files in global order of ``by``.
-
-    The remaining columns and the row position break ties, so range partitioning
-    can split a time, or a block of identical rows, that holds much of the data.
-    ``df`` should be row-local over a file scan, where positions repeat on retry.
-    """
-    rest = [c for c in df.columns if c not in by]
-    placed = df.withColumn("_pos", F.monotonically_increasing_id())
-    write_json(placed.orderBy(*by, *rest, "_pos").drop("_pos"), path, mode)
+    """Write JSON files in global order of ``by``; see ``order_spread`` for ties."""
+    write_json(order_spread(df, *by), path, mode)

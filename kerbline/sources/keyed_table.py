@@ -38,7 +38,8 @@ def write_batch(batch, path, keys, batch_id, version=None, unique=False):
 
 
 def log(spark, path):
-    return spark.read.parquet(path)
+    """Every written row with its numeric batch id."""
+    return spark.read.parquet(path).withColumn(BATCH, F.col(BATCH).cast("bigint"))
 
 
 def latest(spark, path, keys=("rowkey",), columns=None):

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from kerbline.functions import codec, text
 from kerbline.operators import clustering, hourly, reports
+from kerbline.operators.ordering import order_spread
 from kerbline.schemas import TRIP_ENRICHED
 from kerbline.sources import keyed_table, topics
 from kerbline.streaming.run import fan_out, per_batch
@@ -33,9 +34,7 @@ def enrich_sorted(messages, centers, topic, checkpoint, kind="file", **options):
     """
 
     def publish(trips, batch_id):
-        rows = clustering.enrich(trips, centers)
-        ordered = rows.orderBy("dt", *[c for c in rows.columns if c != "dt"])
-        wire = codec.encode_enriched(ordered)
+        wire = codec.encode_enriched(order_spread(clustering.enrich(trips, centers), "dt"))
         if kind == "kafka":
             topics.publish(wire, topic, kind, **options)
         else:

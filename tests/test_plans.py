@@ -48,7 +48,7 @@ def test_generated_methods_stay_small_enough_to_compile(spark, sf_dir, name):
 def test_filter_on_the_cluster_stays_above_the_assignment(spark, sf_dir):
     rows = queries.clustered(spark, sf_dir).where("cid = 3")
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("40.72660911077645") == 2
+    assert plan.count("Filter") == 1 and plan.index("Filter") < plan.index("Generate")
 
 
 def test_largest_unrolled_assignment_compiles(spark, sf_dir):
