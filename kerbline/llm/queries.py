@@ -2,15 +2,21 @@
 
 from pyspark.sql import functions as F
 
-from kerbline.llm import url_filter
+from kerbline.llm import quality, url_filter
 from kerbline.llm.frames import table
 
 
+def op7_quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality.judge(docs, quality.references(docs)).drop("text", "lang")
+
+
 def op9_url_filter(spark, sf_dir):
     urls = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge(urls, url_filter.spam_list(urls)).select("page_id", "host", "path", "rule", "verdict")
 
 
 QUERIES = {
+    "op7_quality_rules": op7_quality_rules,
     "op9_url_filter": op9_url_filter,
 }
