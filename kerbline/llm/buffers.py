@@ -109,3 +109,12 @@ def with_columns(batch, added):
         arrays.append(values)
         names.append(name)
     return pa.RecordBatch.from_arrays(arrays, names)
+
+
+def codepoints(data, offsets):
+    """(code points, offsets counted in code points) of UTF-8 rows; a byte that is not UTF-8 becomes one surrogate."""
+    raw = data.tobytes()
+    texts = [raw[a:b].decode("utf-8", "surrogateescape") for a, b in zip(offsets[:-1], offsets[1:])]
+    spots = np.zeros(len(offsets), np.int64)
+    np.cumsum([len(t) for t in texts], out=spots[1:])
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32), spots

@@ -2,10 +2,17 @@
 
 from pyspark.sql import functions as F
 
-from kerbline.llm import quality, url_filter
+from kerbline.llm import langid, quality, url_filter
 from kerbline.llm.frames import table
 
 
+def op1_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", langid.crc_remainder(F.col("doc_id"), 3) == 1)
+    model = langid.fit(docs.where(~F.col("held_out")))
+    return langid.predict(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op7_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality.judge(docs, quality.references(docs)).drop("text", "lang")
@@ -17,6 +24,7 @@ def op9_url_filter(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op7_quality_rules": op7_quality_rules,
     "op9_url_filter": op9_url_filter,
 }
