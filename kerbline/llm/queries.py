@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from kerbline.llm import langid, quality, url_filter
+from kerbline.llm import bpe, langid, quality, url_filter
 from kerbline.llm.frames import table
 
 
@@ -23,8 +23,14 @@ def op9_url_filter(spark, sf_dir):
     return url_filter.judge(urls, url_filter.spam_list(urls)).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_byte_bpe(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.digests(bpe.decode(bpe.encode(docs).drop("text")))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op7_quality_rules": op7_quality_rules,
     "op9_url_filter": op9_url_filter,
+    "op10_byte_bpe": op10_byte_bpe,
 }
