@@ -1,8 +1,8 @@
 """URL filter: host and path rules, then a blocked Bloom filter in front of an exact join.
 
-A listed URL is blocked. The filter has one 256-bit block per row of a small table; a URL sets or tests one bit in each
-of the eight 32-bit words of its block. Pages that fail the filter are surely not listed and never shuffled. Those that
-pass are joined with the list itself, which removes the false positives, so results do not depend on the filter's size.
+A listed URL is blocked. Pages whose canonical URL fails the blocked Bloom filter are surely not listed and are never
+shuffled. Those that pass are joined with the list itself, which removes the false positives, so results do not depend on
+the filter's size.
 
 Edge cases: a null URL, or one without ``://``, has empty host and path, fits no rule and is never listed. Repeated rows
 are judged alike. An empty list or table gives no blocks. Other columns are kept.
@@ -10,9 +10,8 @@ are judged alike. An empty list or table gives no blocks. Other columns are kept
 
 from pyspark.sql import functions as F
 
-WORDS = 8
-MAX_BLOCKS = 1 << 16
-URLS_PER_BLOCK = 16
+from kerbline.llm import bloom
+
 RULES = (
     ("allow", "org", "/"),
     ("block", "example.org", "/es/"),
@@ -66,56 +65,22 @@ def spam_list(urls):
     return listed.select(canonical(host, path_of(F.col("url"))).alias("canonical"))
 
 
-def _bits(key, blocks):
-    """Block number and one single-bit mask per word."""
-    code = F.xxhash64(key)
-    block = F.pmod(F.shiftrightunsigned(code, 40), F.lit(blocks))
-    spots = [F.shiftrightunsigned(code, 5 * i).bitwiseAND(F.lit(31)) for i in range(WORDS)]
-    return block, [F.call_function("shiftleft", F.lit(1).cast("long"), spot.cast("int")) for spot in spots]
-
-
-def bloom_blocks(listed, blocks):
-    """One row per used block: its eight words. At most ``blocks`` rows, whatever the list's length."""
-    block, masks = _bits(F.col("canonical"), blocks)
-    rows = listed.where(F.col("canonical").isNotNull()).select(
-        block.alias("block"), *[m.alias(f"word{i}") for i, m in enumerate(masks)]
-    )
-    return rows.groupBy("block").agg(*[F.bit_or(f"word{i}").alias(f"word{i}") for i in range(WORDS)])
-
-
-def block_count(listed, max_blocks=MAX_BLOCKS):
-    """A block for each 16 listed URLs, within the bound; beyond it the filter only lets more rows through to the join."""
-    wanted = max(1, -(-listed.count() // URLS_PER_BLOCK))
-    return min(max_blocks, 1 << (wanted - 1).bit_length())
-
-
-def judge(urls, listed, rules=RULES, max_blocks=MAX_BLOCKS):
+def judge(urls, listed, rules=RULES, max_blocks=bloom.MAX_BLOCKS):
     """Add host, path, rule and verdict to ``urls`` (column ``url``); ``listed`` has one column ``canonical``."""
     listed = listed.where(F.col("canonical").isNotNull()).distinct()
-    blocks = block_count(listed, max_blocks)
-    filter_rows = bloom_blocks(listed, blocks)
+    added = ("host", "path", "rule", "verdict")
+    own = [c for c in urls.columns if c.lower() not in added]
     parsed = urls.select(
-        F.struct(*[F.col(f"`{c}`") for c in urls.columns]).alias("row"),
+        F.struct(*[F.col(f"`{c}`") for c in own]).alias("page"),
         host_of(F.col("url")).alias("host"),
         path_of(F.col("url")).alias("path"),
     )
     rule, ruled = rule_columns(F.col("host"), F.col("path"), rules)
-    parsed = parsed.select("row", "host", "path", rule.alias("rule"), ruled.alias("ruled"))
-    key = canonical(F.col("host"), F.col("path"))
-    block, masks = _bits(key, blocks)
-    # bounded: at most max_blocks rows of nine longs
-    probed = parsed.withColumn("key", key).withColumn("block", block).join(F.broadcast(filter_rows), "block", "left")
-    passes = F.col("key").isNotNull() & F.col("ruled").isNull() & F.col("word0").isNotNull()
-    for i, mask in enumerate(masks):
-        passes = passes & (F.col(f"word{i}").bitwiseAND(mask) != 0)
-    probed = probed.select("row", "host", "path", "rule", "ruled", "key", F.coalesce(passes, F.lit(False)).alias("maybe"))
-    sure = probed.where(~F.col("maybe")).withColumn("listed", F.lit(False))
-    hits = (
-        probed.where("maybe")
-        .join(listed.withColumnRenamed("canonical", "key").withColumn("found", F.lit(True)), "key", "left")
-        .withColumn("listed", F.coalesce("found", F.lit(False)))
-    )
-    both = sure.unionByName(hits.select(sure.columns))
+    parsed = parsed.select("page", "host", "path", rule.alias("rule"), ruled.alias("ruled"))
+    key = F.when(F.col("ruled").isNull(), canonical(F.col("host"), F.col("path")))
+    parsed = parsed.withColumn("canonical", key)
+    sure, maybe = bloom.split(parsed, F.col("canonical"), listed, F.col("canonical"), max_blocks)
+    hits = maybe.join(listed.withColumn("listed", F.lit(True)), "canonical", "left")
+    both = sure.withColumn("listed", F.lit(False)).unionByName(hits)
     verdict = F.coalesce("ruled", F.when(F.col("listed"), "block").otherwise("allow"))
-    kept = [F.col("row").getField(c).alias(c) for c in urls.columns if c.lower() not in ("host", "path", "rule", "verdict")]
-    return both.select(*kept, "host", "path", "rule", verdict.alias("verdict"))
+    return both.select(*[F.col("page").getField(c).alias(c) for c in own], "host", "path", "rule", verdict.alias("verdict"))
