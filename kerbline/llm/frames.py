@@ -2,6 +2,7 @@
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,3 +44,16 @@ def schema_with(df, **added):
     for name, kind in added.items():
         out = out.add(name, kind)
     return out
+
+
+def located(df):
+    """``df`` with ``file`` and ``row``: the place of each row in its Parquet files, a stable identifier and locator.
+
+    Rows that do not come straight from files are written to the shared scratch folder first.
+    """
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
+    own = [F.col(f"`{c}`") for c in df.columns if c.lower() not in ("file", "row")]
+    try:
+        return df.select(*own, *place)
+    except AnalysisException:
+        return written(df.select(*own), "rows").select(*own, *place)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from kerbline.llm import bpe, langid, quality, url_filter
+from kerbline.llm import bpe, langid, mixing, quality, url_filter
 from kerbline.llm.frames import table
 
 
@@ -13,6 +13,10 @@ def op1_language_id(spark, sf_dir):
     return langid.predict(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op3_mixing(spark, sf_dir):
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality.judge(docs, quality.references(docs)).drop("text", "lang")
@@ -30,6 +34,7 @@ def op10_byte_bpe(spark, sf_dir):
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op3_mixing": op3_mixing,
     "op7_quality_rules": op7_quality_rules,
     "op9_url_filter": op9_url_filter,
     "op10_byte_bpe": op10_byte_bpe,
