@@ -80,7 +80,18 @@ SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken
 FROM final
 """
 
+OP4 = r"""
+WITH docs AS (
+  SELECT doc_id, length(coalesce(text, '')) AS size,
+    sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+  FROM documents)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+  row_number() OVER best = 1 AS kept, text_sha256
+FROM docs WINDOW best AS (PARTITION BY text_sha256 ORDER BY size DESC, doc_id)
+"""
+
 ORACLES = {
     "op3_mixing": OP3,
+    "op4_exact_dedup": OP4,
     "op9_url_filter": OP9,
 }

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from kerbline.llm import bpe, langid, mixing, quality, url_filter
+from kerbline.llm import bpe, exact_dedup, langid, mixing, quality, url_filter
 from kerbline.llm.frames import table
 
 
@@ -17,6 +17,11 @@ def op3_mixing(spark, sf_dir):
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+def op4_exact_dedup(spark, sf_dir):
+    out = exact_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
 def op7_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality.judge(docs, quality.references(docs)).drop("text", "lang")
@@ -35,6 +40,7 @@ def op10_byte_bpe(spark, sf_dir):
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_mixing": op3_mixing,
+    "op4_exact_dedup": op4_exact_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op9_url_filter": op9_url_filter,
     "op10_byte_bpe": op10_byte_bpe,
