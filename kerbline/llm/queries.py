@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from kerbline.llm import bpe, exact_dedup, langid, mixing, quality, url_filter
+from kerbline.llm import bpe, exact_dedup, langid, mixing, quality, simhash, url_filter
 from kerbline.llm.frames import table
 
 
@@ -13,6 +13,10 @@ def op1_language_id(spark, sf_dir):
     return langid.predict(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op2_simhash(spark, sf_dir):
+    return simhash.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_mixing(spark, sf_dir):
     return mixing.report(table(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ def op10_byte_bpe(spark, sf_dir):
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_simhash": op2_simhash,
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
     "op7_quality_rules": op7_quality_rules,
