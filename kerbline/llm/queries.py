@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from kerbline.llm import bpe, exact_dedup, langid, mixing, quality, simhash, url_filter
+from kerbline.llm import bpe, exact_dedup, langid, mixing, quality, simhash, suffix_dedup, url_filter
 from kerbline.llm.frames import table
 
 
@@ -26,6 +26,10 @@ def op4_exact_dedup(spark, sf_dir):
     return out.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op5_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality.judge(docs, quality.references(docs)).drop("text", "lang")
@@ -46,6 +50,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op9_url_filter": op9_url_filter,
     "op10_byte_bpe": op10_byte_bpe,
