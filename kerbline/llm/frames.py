@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from kerbline.session import scratch_dir
 
+BATCH_ROWS = 1000
+
 
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -38,6 +40,17 @@ def as_text(column):
     return F.coalesce(column.cast("binary"), F.lit(b""))
 
 
+def mapped(df, run, schema):
+    """``df.mapInArrow`` in batches of at most ``BATCH_ROWS`` rows: a batch of long texts is held several times over.
+
+    Lowers the session's batch size, which Spark reads when the query starts.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(key)) <= BATCH_ROWS:
+        df.sparkSession.conf.set(key, str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def schema_with(df, **added):
     """Schema of ``df`` with further columns, for mapInArrow."""
     out = T.StructType(list(df.schema.fields))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from kerbline.llm import buffers
-from kerbline.llm.frames import as_text, fresh, schema_with
+from kerbline.llm.frames import as_text, fresh, mapped, schema_with
 
 ORDERS = 3
 BUCKET_BITS = 16
@@ -107,7 +107,7 @@ def fit(docs, smoothing=SMOOTHING):
     """(languages, log priors, log-probabilities by bucket and language) from columns ``text`` and ``lang``."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     slim = known.select(F.col("lang").cast("string").alias("lang"), as_text(F.col("text")).alias("text"))
-    counts = slim.mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counts = mapped(slim, _count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     counts = counts.persist()
     texts = counts.where("bucket = -1").orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
     langs = sorted(r["lang"] for r in texts)
@@ -155,7 +155,7 @@ def predict(docs, model):
                 values = {"lang_pred": pa.array(names[best], pa.string()), "score": pa.array(score)}
                 yield buffers.with_columns(batch.slice(low, high - low).drop_columns([raw]), values)
 
-    return plain.withColumn(raw, as_text(F.col("text"))).mapInArrow(run, schema_with(plain, **added))
+    return mapped(plain.withColumn(raw, as_text(F.col("text"))), run, schema_with(plain, **added))
 
 
 def crc_remainder(ids, modulus):

@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from kerbline.llm import buffers
-from kerbline.llm.frames import as_text, fresh, schema_with, written
+from kerbline.llm.frames import as_text, fresh, mapped, schema_with, written
 
 #: Fixed: the characters that the contract counts as symbols.
 SYMBOLS = b"#*$%&|<>"
@@ -134,7 +134,7 @@ def _tallies(batches):
 def references(docs, languages=LANGUAGES, top_words=TOP_WORDS):
     """{language: (class counts, {word: count}, other words)} over all documents, with one under ``ALL`` for all."""
     slim = docs.select(F.col("lang").cast("string").alias("lang"), as_text(F.col("text")).alias("text"))
-    tallies = slim.mapInArrow(_tallies, "lang string, key binary, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
+    tallies = mapped(slim, _tallies, "lang string, key binary, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
     tallies = written(tallies, "tallies")
     chars = tallies.where(F.substring("key", 1, 1) == F.lit(b"c")).groupBy("lang").agg(F.sum("n").alias("n"))
     named = [r["lang"] for r in chars.where(F.col("lang") != ALL).orderBy(F.desc("n"), "lang").limit(languages).collect()]
@@ -230,4 +230,4 @@ def judge(docs, refs, class_limit=CLASS_LIMIT, word_limit=WORD_LIMIT):
                 values |= {"word_distance": pa.array(of_words), "kept": pa.array(~failed & near)}
                 yield buffers.with_columns(batch.slice(low, high - low).drop_columns([raw]), values)
 
-    return plain.withColumn(raw, as_text(F.col("text"))).mapInArrow(run, schema_with(plain, **added))
+    return mapped(plain.withColumn(raw, as_text(F.col("text"))), run, schema_with(plain, **added))

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from kerbline.llm.buffers import column
 from kerbline.llm.components import components
-from kerbline.llm.frames import as_text, located, written
+from kerbline.llm.frames import as_text, located, mapped, written
 
 BITS = 64
 SHINGLE, DISTANCE, SEED = 3, 3, 42
@@ -84,7 +84,7 @@ def fingerprints(docs, shingle=SHINGLE):
             )
 
     slim = located(docs).select(F.col("doc_id").cast("long"), "file", "row", as_text(F.col("text")).alias("text"))
-    return slim.mapInArrow(run, "doc_id long, file string, row long, fp long")
+    return mapped(slim, run, "doc_id long, file string, row long, fp long")
 
 
 def _bits_of(values):
@@ -111,7 +111,7 @@ def _together(batches):
 
 def correlations(fps):
     """Absolute correlation of each pair of bits over all fingerprints, and the number of fingerprints."""
-    sums = fps.select("fp").mapInArrow(_together, "i int, j int, n long").groupBy("i", "j").agg(F.sum("n").alias("n"))
+    sums = mapped(fps.select("fp"), _together, "i int, j int, n long").groupBy("i", "j").agg(F.sum("n").alias("n"))
     both, rows = np.zeros((BITS, BITS)), 0
     for r in sums.collect():  # 2,081 rows
         if r["i"] < 0:
@@ -249,7 +249,7 @@ def plan_for(fps, distance=DISTANCE):
             for keys in blank.keys(values):
                 yield _pairs(keys, values)
 
-    index_rows = fps.select("fp").mapInArrow(index, "key long, fp long")
+    index_rows = mapped(fps.select("fp"), index, "key long, fp long")
     sizes = index_rows.groupBy("key").agg(F.count("*").alias("n"))
     top = sizes.where("n > 1").orderBy(F.desc("n"), "key").limit(COMMON_VALUES * len(groups)).collect()
     common = [{} for _ in groups]
@@ -272,7 +272,7 @@ def links(fps, distance=DISTANCE):
                     for part in range(0, len(keys), 1 << 20):
                         yield _pairs(keys[part : part + (1 << 20)], own[part : part + (1 << 20)])
 
-    probes = fps.select("fp").mapInArrow(probe, "key long, fp long")
+    probes = mapped(fps.select("fp"), probe, "key long, fp long")
     near = F.bit_count(F.col("probe.fp").bitwiseXOR(F.col("index.fp"))) <= distance
     pair = (F.col("probe.key") == F.col("index.key")) & (F.col("probe.fp") != F.col("index.fp")) & near
     found = probes.alias("probe").join(index_rows.alias("index"), pair)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from kerbline.llm import bloom
 from kerbline.llm.buffers import SYMBOL_CODES, Hasher, column, mix, with_columns
-from kerbline.llm.frames import as_text, located, written
+from kerbline.llm.frames import as_text, located, mapped, written
 
 WINDOW = 400
 GRAM = 64
@@ -170,14 +170,14 @@ def _with_text(texts, units):
 
 def repeated_units(texts, window=WINDOW, gram=GRAM):
     """(file_id, row, s, e): windows starting at s..e occur more than once; together, all such windows."""
-    units = written(texts.select("file_id", "row", "text").mapInArrow(_first_pass(window, gram), UNIT), "runs")
+    units = written(mapped(texts.select("file_id", "row", "text"), _first_pass(window, gram), UNIT), "runs")
     found, alive = narrow(units)
     cuts = (
         lambda hasher, s, e, p, core: blocks(hasher, s, e, p, window),
         lambda hasher, s, e, p, core: windows(hasher, s, e, p, core, window),
     )
     for cut in cuts:
-        finer = _with_text(texts.select("file_id", "row", "text"), alive).mapInArrow(_finer_pass(cut, window), UNIT)
+        finer = mapped(_with_text(texts.select("file_id", "row", "text"), alive), _finer_pass(cut, window), UNIT)
         repeated, alive = narrow(written(finer, "finer"))
         found = found.unionByName(repeated)
     return found
@@ -221,7 +221,7 @@ def remove_repeats(docs, window=WINDOW, gram=GRAM):
     sure = sure.select("doc_id", size, F.col("text").alias("kept"), none.alias("n_removed"), none.alias("n_spans"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes long, kept binary, n_removed long, n_spans long"
-    cut = maybe.join(lists, place, "left").select("doc_id", size, "text", "units").mapInArrow(_cut_out(window), schema)
+    cut = mapped(maybe.join(lists, place, "left").select("doc_id", size, "text", "units"), _cut_out(window), schema)
     return sure.unionByName(cut)
 
 
