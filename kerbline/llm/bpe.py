@@ -18,6 +18,7 @@ rows and empty tables need nothing special. Other columns are kept; a column nam
 import base64
 import heapq
 import unicodedata
+from itertools import pairwise
 
 import numpy as np
 import public_tokenizers
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from kerbline.llm import buffers
-from kerbline.llm.frames import as_text, fresh, schema_with
+from kerbline.llm.frames import as_text, fresh, mapped, schema_with
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 CACHE = 500_000
@@ -38,6 +39,7 @@ STATES, BOUNDARY = 8, 8
 #: White space of the Unicode property White_Space.
 WHITE_SPACE = (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 BLOCK = 1024
+SHORT, NO_RANK = 128, 1 << 30
 _made = {}
 
 
@@ -74,6 +76,8 @@ def _step(state, symbol):
 
 
 TRANSITIONS = np.array([[_step(s, x) for s in range(STATES)] for x in range(2 * FIRST)], np.uint8)
+#: By symbol * STATES + state.
+NEXT, IS_BOUNDARY = (TRANSITIONS & 7).ravel().astype(np.intp), (TRANSITIONS >= BOUNDARY).ravel()
 
 
 def symbols(codes, firsts):
@@ -109,30 +113,55 @@ def boundaries(codes, firsts, block=BLOCK):
     size = min(block, n)
     grid = np.zeros(width * size, np.uint8)
     grid[:n] = stream
-    steps = np.ascontiguousarray(grid.reshape(width, size).T)
-    functions = np.tile(np.arange(STATES, dtype=np.uint8), (width, 1))
-    for symbol in steps:
-        functions = TRANSITIONS[symbol[:, None], functions] & 7
+    steps = np.ascontiguousarray(grid.reshape(width, size).T).astype(np.intp) * STATES
+    functions = np.tile(np.arange(STATES, dtype=np.intp), (width, 1))
+    for i, symbol in enumerate(steps):
+        functions = NEXT[symbol[:, None] + functions]
+        # a few symbols on, nearly all functions are constant, and stay so: one state per block is then enough
+        if functions.shape[1] > 1 and i % 16 == 15 and (functions == functions[:, :1]).all():
+            functions = functions[:, :1]
+    functions = np.ascontiguousarray(np.broadcast_to(functions, (width, STATES)))
     # inclusive scan of the block functions by doubling: the composition is associative
     reach = 1
     while reach < width:
-        functions[reach:] = np.take_along_axis(functions[reach:], functions[:-reach].astype(np.int64), 1)
+        functions[reach:] = np.take_along_axis(functions[reach:], functions[:-reach], 1)
         reach *= 2
-    state = np.full(width, CUT, np.uint8)
+    state = np.full(width, CUT, np.intp)
     state[1:] = functions[:-1, CUT]
     marks = np.empty((size, width), bool)
     for i, symbol in enumerate(steps):
-        moved = TRANSITIONS[symbol, state]
-        marks[i] = moved >= BOUNDARY
-        state = moved & 7
+        symbol = symbol + state
+        marks[i], state = IS_BOUNDARY[symbol], NEXT[symbol]
     return np.flatnonzero(marks.T.ravel()[:n])
 
 
 def merge(piece, ranks):
     """Token ids of one slice: the pair of lowest rank is joined, leftmost first, until none is left."""
-    whole = ranks.get(piece)
-    if whole is not None:
-        return [whole]
+    if piece in ranks:
+        return [ranks[piece]]
+    return merge_short(piece, ranks) if len(piece) <= SHORT else merge_long(piece, ranks)
+
+
+def merge_short(piece, ranks):
+    """By scanning the ranks of all pairs for each merge: fastest for the usual slices of a few bytes."""
+    parts = [piece[i : i + 1] for i in range(len(piece))]
+    pairs = [ranks.get(a + b, NO_RANK) for a, b in zip(parts, parts[1:])]
+    while pairs:
+        least = min(pairs)
+        if least == NO_RANK:
+            break
+        i = pairs.index(least)
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        del pairs[i]
+        if i < len(pairs):
+            pairs[i] = ranks.get(parts[i] + parts[i + 1], NO_RANK)
+        if i:
+            pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], NO_RANK)
+    return [ranks[part] for part in parts]
+
+
+def merge_long(piece, ranks):
+    """With a heap of pairs: n log n for slices of any length."""
     n = len(piece)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
     end = list(range(1, n + 1))
@@ -205,7 +234,7 @@ class Codec:
         raw = data.tobytes()
         bounds = cuts.tolist()
         pieces = self.pieces
-        packed = [pieces[raw[a:b]] for a, b in zip(bounds, bounds[1:])]
+        packed = [pieces[raw[a:b]] for a, b in pairwise(bounds)]
         ids = np.frombuffer(b"".join(packed), "<u4")
         ends = np.cumsum(self.lengths[ids]) if len(ids) else np.zeros(0, np.int64)
         per_row = np.searchsorted(ends, offsets[1:], "right") - np.searchsorted(ends, offsets[:-1], "right")
@@ -256,7 +285,7 @@ def encode(docs, path=None):
                 values = {"ids": _binaries(ids, 4 * per_row), "starts": _binaries(starts, 4 * per_row)}
                 yield buffers.with_columns(batch.slice(low, high - low).drop_columns([raw]), values)
 
-    return plain.withColumn(raw, as_text(F.col("text"))).mapInArrow(run, schema_with(plain, **added))
+    return mapped(plain.withColumn(raw, as_text(F.col("text"))), run, schema_with(plain, **added))
 
 
 def decode(encoded, path=None):
@@ -273,7 +302,7 @@ def decode(encoded, path=None):
                 out, n_bytes = own.decode(ids.tobytes(), starts.tobytes(), np.diff(offsets) // 4)
                 yield buffers.with_columns(batch.slice(low, high - low), {"decoded": _binaries(out, n_bytes)})
 
-    return plain.mapInArrow(run, schema_with(plain, decoded="binary"))
+    return mapped(plain, run, schema_with(plain, decoded="binary"))
 
 
 def digests(decoded):
