@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from kerbline.llm import bpe, exact_dedup, langid, mixing, quality, simhash, suffix_dedup, url_filter
-from kerbline.llm.frames import table
+from kerbline.llm import bloom_lm, bpe, exact_dedup, langid, mixing, quality, simhash, suffix_dedup, url_filter
+from kerbline.llm.frames import as_text, table
 
 
 def op1_language_id(spark, sf_dir):
@@ -35,6 +35,13 @@ def op7_quality_rules(spark, sf_dir):
     return quality.judge(docs, quality.references(docs)).drop("text", "lang")
 
 
+def op8_lm_scoring(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", langid.crc_remainder(F.col("doc_id"), 10) == 0)
+    learned = docs.where(~F.col("held_out")).select(as_text(F.col("text")).alias("text"))
+    return bloom_lm.score(docs, *bloom_lm.train(learned)).drop("text")
+
+
 def op9_url_filter(spark, sf_dir):
     urls = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge(urls, url_filter.spam_list(urls)).select("page_id", "host", "path", "rule", "verdict")
@@ -52,6 +59,7 @@ QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op7_quality_rules": op7_quality_rules,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_url_filter": op9_url_filter,
     "op10_byte_bpe": op10_byte_bpe,
 }
