@@ -2,6 +2,7 @@
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +23,12 @@ def written(df, label):
     return df.sparkSession.read.parquet(path)
 
 
+def held(df):
+    """``df`` kept on the executors' disks for a few reads inside one operator, which unpersists it; what a lost executor
+    held is computed again. No files are made in the shared folder."""
+    return df.persist(StorageLevel.DISK_ONLY)
+
+
 def fresh(df, *labels):
     """Names for helper columns that no column of ``df`` has."""
     taken = {name.lower() for name in df.columns}

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from kerbline.llm import bloom
 from kerbline.llm.buffers import SYMBOL_CODES, Hasher, column, mix, with_columns
-from kerbline.llm.frames import as_text, located, mapped, written
+from kerbline.llm.frames import as_text, held, located, mapped, written
 
 WINDOW = 400
 GRAM = 64
@@ -81,7 +81,7 @@ def _first_pass(window, gram):
         for batch in batches:
             data, offsets = column(batch, "text")
             files, rows = (batch.column(c).to_numpy() for c in ("file_id", "row"))
-            out, held = [[] for _ in _NAMES], 0
+            out, size = [[] for _ in _NAMES], 0
             for i in np.flatnonzero(np.diff(offsets) >= window):
                 text = data[offsets[i] : offsets[i + 1]]
                 for low, high in _segments(len(text), window):
@@ -90,10 +90,10 @@ def _first_pass(window, gram):
                     found = (np.full(n, files[i]), np.full(n, rows[i]), s + low, e + low, p + low, core, span)
                     for values, more in zip(out, found):
                         values.append(more)
-                    held += n
-                if held > 200_000:
+                    size += n
+                if size > 200_000:
                     yield _units(out)
-                    out, held = [[] for _ in _NAMES], 0
+                    out, size = [[] for _ in _NAMES], 0
             yield _units(out)
 
     return run
@@ -126,7 +126,7 @@ def _finer_pass(cut, window):
             files, rows = (batch.column(c).to_numpy() for c in ("file_id", "row"))
             for i, units in enumerate(batch.column("units")):
                 text = data[offsets[i] : offsets[i + 1]]
-                out, held, base, hasher = [[] for _ in _NAMES], 0, None, None
+                out, size, base, hasher = [[] for _ in _NAMES], 0, None, None
                 for unit in sorted(units.as_py(), key=lambda u: u["s"]):
                     if base is None or unit["e"] + window > base + hasher.n:
                         base = unit["s"]  # a unit is shorter than a segment, so one that starts here fits in
@@ -137,10 +137,10 @@ def _finer_pass(cut, window):
                     found = (np.full(n, files[i]), np.full(n, rows[i]), *(x + base for x in more[:3]), *more[3:])
                     for values, x in zip(out, found):
                         values.append(x)
-                    held += n
-                    if held > 200_000:
+                    size += n
+                    if size > 200_000:
                         yield _units(out)
-                        out, held = [[] for _ in _NAMES], 0
+                        out, size = [[] for _ in _NAMES], 0
                 yield _units(out)
 
     return run
@@ -148,9 +148,11 @@ def _finer_pass(cut, window):
 
 def narrow(units):
     """(repeated, alive): units repeated as a whole, and one unit of each span in groups that have several."""
+    units = held(units)
     cores = units.groupBy("core").agg(F.count("*").alias("n"), F.min("span").alias("low"), F.max("span").alias("high"))
     cores = cores.where("n > 1").select("core", (F.col("low") != F.col("high")).alias("several"))
     shared = written(units.join(cores, "core"), "shared")
+    units.unpersist()
     spans = shared.groupBy("core", "span", "several").agg(
         F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("file_id", "row", "s", "e", "p")]
     )
@@ -170,7 +172,7 @@ def _with_text(texts, units):
 
 def repeated_units(texts, window=WINDOW, gram=GRAM):
     """(file_id, row, s, e): windows starting at s..e occur more than once; together, all such windows."""
-    units = written(mapped(texts.select("file_id", "row", "text"), _first_pass(window, gram), UNIT), "runs")
+    units = mapped(texts.select("file_id", "row", "text"), _first_pass(window, gram), UNIT)
     found, alive = narrow(units)
     cuts = (
         lambda hasher, s, e, p, core: blocks(hasher, s, e, p, window),
@@ -178,7 +180,7 @@ def repeated_units(texts, window=WINDOW, gram=GRAM):
     )
     for cut in cuts:
         finer = mapped(_with_text(texts.select("file_id", "row", "text"), alive), _finer_pass(cut, window), UNIT)
-        repeated, alive = narrow(written(finer, "finer"))
+        repeated, alive = narrow(finer)
         found = found.unionByName(repeated)
     return found
 
