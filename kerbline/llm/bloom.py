@@ -7,6 +7,8 @@ join behind the filter gives the same result.
 
 from pyspark.sql import functions as F
 
+from kerbline.llm.frames import written
+
 WORDS = 8
 MAX_BLOCKS = 1 << 16
 KEYS_PER_BLOCK = 16
@@ -50,3 +52,12 @@ def split(df, key, keys, of_keys, max_blocks=MAX_BLOCKS):
     blocks = block_count(keys.count(), max_blocks)
     probed = probe(df, key, table(keys, of_keys, blocks), blocks)
     return probed.where(~F.col("maybe")).select("row.*"), probed.where("maybe").select("row.*")
+
+
+def without(rows, dropped, columns):
+    """``rows`` (with file and row) but for those at the dropped locators; texts that surely stay are not shuffled."""
+    place = F.struct(F.xxhash64("file").alias("file_id"), F.col("row"))
+    dropped = written(dropped, "dropped")
+    sure, maybe = split(rows, place, dropped, F.struct("file_id", "row"))
+    same = (F.xxhash64(maybe["file"]) == dropped["file_id"]) & (maybe["row"] == dropped["row"])
+    return sure.select(*columns).unionByName(maybe.join(dropped, same, "left_anti").select(*columns))

@@ -135,13 +135,4 @@ def dedup(docs, digest=sha256, batch_bytes=BATCH_BYTES, max_files=None):
 def distinct_texts(docs, **options):
     """The documents that stay, with all their columns."""
     own = [F.col(f"`{c}`") for c in docs.columns]
-    return without(located(docs), dedup(docs, **options).where(~F.col("kept")).select("file_id", "row"), own)
-
-
-def without(rows, dropped, columns):
-    """``rows`` (with file and row) but for those at the dropped locators; texts that surely stay are not shuffled."""
-    place = F.struct(F.xxhash64("file").alias("file_id"), F.col("row"))
-    dropped = written(dropped, "dropped")
-    sure, maybe = bloom.split(rows, place, dropped, F.struct("file_id", "row"))
-    same = (F.xxhash64(maybe["file"]) == dropped["file_id"]) & (maybe["row"] == dropped["row"])
-    return sure.select(*columns).unionByName(maybe.join(dropped, same, "left_anti").select(*columns))
+    return bloom.without(located(docs), dedup(docs, **options).where(~F.col("kept")).select("file_id", "row"), own)

@@ -231,3 +231,11 @@ def judge(docs, refs, class_limit=CLASS_LIMIT, word_limit=WORD_LIMIT):
                 yield buffers.with_columns(batch.slice(low, high - low).drop_columns([raw]), values)
 
     return mapped(plain.withColumn(raw, as_text(F.col("text"))), run, schema_with(plain, **added))
+
+
+def passing(docs, refs, **limits):
+    """The documents that are kept, with their own columns only."""
+    (flag,) = fresh(docs, "own")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    judged = judge(docs.select(F.struct(*columns).alias(flag), F.col("text").alias("text")), refs, **limits)
+    return judged.where("kept").select(*[F.col(flag).getField(c).alias(c) for c in docs.columns])

@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
+from kerbline.llm import bloom
 from kerbline.llm.buffers import column
 from kerbline.llm.components import components
 from kerbline.llm.frames import as_text, located, mapped, written
@@ -304,3 +305,12 @@ def survivors(groups):
 def report(docs, shingle=SHINGLE, distance=DISTANCE):
     groups = near_groups(docs, shingle, distance)
     return groups.select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def distinct_groups(docs, shingle=SHINGLE, distance=DISTANCE):
+    """The documents without the near-duplicates of the one that stays in each group."""
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    groups = written(near_groups(docs, shingle, distance).select("doc_id", "file", "row", "root", "component_id"), "groups")
+    stay = survivors(groups).withColumn("stays", F.lit(True))
+    gone = groups.join(stay, ["file", "row"], "left").where(F.col("stays").isNull())
+    return bloom.without(located(docs), gone.select(F.xxhash64("file").alias("file_id"), "row"), own)
