@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from kerbline.llm import bloom_lm, bpe, exact_dedup, langid, mixing, quality, simhash, suffix_dedup, url_filter
+from kerbline.llm import bloom_lm, bpe, exact_dedup, html_text, langid, mixing, quality, simhash, suffix_dedup, url_filter
 from kerbline.llm.frames import as_text, table
 
 
@@ -30,6 +30,11 @@ def op5_suffix_dedup(spark, sf_dir):
     return suffix_dedup.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op6_html_extraction(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages, html_text.train(pages)).drop("html")
+
+
 def op7_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality.judge(docs, quality.references(docs)).drop("text", "lang")
@@ -58,6 +63,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_html_extraction": op6_html_extraction,
     "op7_quality_rules": op7_quality_rules,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_url_filter": op9_url_filter,
