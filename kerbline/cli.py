@@ -17,27 +17,42 @@ from kerbline.operators import clustering  # noqa: E402
 from kerbline.plans import batch_jobs  # noqa: E402
 from kerbline.schemas import TRIP_CATALOG  # noqa: E402
 from kerbline.session import get_spark  # noqa: E402
-from kerbline.sources import keyed_table, topics  # noqa: E402
+from kerbline.sources import count_log, keyed_table, topics  # noqa: E402
 from kerbline.streaming import jobs, run  # noqa: E402
 
 
-def _source(spark, args):
-    return topics.subscribe(spark, args.source, args.kind, **args.option)
+def _source(spark, args, position=False):
+    return topics.subscribe(spark, args.source, args.kind, position, **args.option)
 
 
-def _enriched(spark, args):
-    return jobs.decode_enriched(_source(spark, args))
+def _trips(spark, args, handlers, position=False):
+    """Good enriched messages to the handlers, the others to the dead-letter topic."""
+    decoded = jobs.decoded_enriched(_source(spark, args, position), args.strict)
+    dead = args.dead or jobs.rejected(args.target)
+    _finish(jobs.with_dead_letters(decoded, handlers, dead, args.checkpoint, args.kind, **args.option), args)
 
 
 def _finish(writer, args):
     query = run.start(writer, args.once, args.interval)
     query.awaitTermination()
+    return query
 
 
 def train(spark, args):
-    _, made = batch_jobs.train_and_report(
-        spark, args.trips, args.model, args.json, k=args.k, max_iter=args.max_iter, mode=args.mode
+    model, made = batch_jobs.train_and_report(
+        spark,
+        args.trips,
+        args.model,
+        args.json,
+        k=args.k,
+        max_iter=args.max_iter,
+        split_key=args.split_key,
+        cache=args.cache,
+        mode=args.mode,
     )
+    for cid, (lat, lon) in enumerate(clustering.centers_of(model)):
+        print(f"center {cid}: {lat}, {lon}")
+    print(f"training cost: {clustering.training_cost(model)}")
     _show(made)
 
 
@@ -53,11 +68,18 @@ def _show(made):
 
 def enrich(spark, args):
     centers = clustering.centers_of(clustering.load_model(args.model))
-    job = jobs.enrich_sorted if args.sorted else jobs.enrich
-    _finish(
-        job(_source(spark, args), centers, args.target, args.checkpoint, args.kind, **args.option),
-        args,
+    writer = jobs.enrich(
+        _source(spark, args),
+        centers,
+        args.target,
+        args.checkpoint,
+        args.kind,
+        dead=args.dead,
+        in_order=args.sorted,
+        strict=args.strict,
+        **args.option,
     )
+    _finish(writer, args)
 
 
 def reject(spark, args):
@@ -70,27 +92,35 @@ def reject(spark, args):
 
 
 def batch_counts(spark, args):
-    _finish(jobs.batch_counts(_enriched(spark, args), args.target, args.checkpoint), args)
+    _trips(spark, args, [jobs.write_batch_counts(args.target)])
+
+
+def batch_report(spark, args):
+    report = jobs.batch_report(spark, args.counts, args.report)
+    report.orderBy("batch_id", *[c for c in ("window_start", "hr", "cid") if c in report.columns]).show(args.rows)
 
 
 def window_counts(spark, args):
-    counts = jobs.window_counts(_enriched(spark, args), args.watermark)
-    keys = ("cid", "window_start", "window_end")
-    _finish(jobs.keep_totals(counts, keys, args.target, args.checkpoint), args)
+    if args.watermark:
+        counts = jobs.windows_with_watermark(jobs.decode_enriched(_source(spark, args)), args.watermark)
+        keys = ("cid", "window_start", "window_end")
+        query = _finish(jobs.keep_totals(counts, keys, args.target, args.checkpoint), args)
+        print(f"rows dropped as later than {args.watermark}: {run.rows_dropped(query)}")
+    else:
+        _trips(spark, args, [jobs.write_batch_counts(args.target)])
+        jobs.window_totals(spark, args.target).orderBy("window_start", "cid").show()
 
 
 def word_count(spark, args):
-    counts = jobs.word_counts(_source(spark, args))
-    _finish(jobs.keep_totals(counts, ("word",), args.target, args.checkpoint), args)
+    _finish(jobs.batch_word_counts(_source(spark, args), args.target, args.checkpoint), args)
+    jobs.word_totals(spark, args.target).orderBy("count", ascending=False).show()
 
 
 def upsert(spark, args):
-    trips = _enriched(spark, args)
+    handlers = [jobs.write_puts(args.target)]
     if args.counts:
-        writer = jobs.upsert_and_count(trips, args.target, args.counts, args.checkpoint)
-    else:
-        writer = jobs.upsert(trips, args.target, args.checkpoint)
-    _finish(writer, args)
+        handlers.append(jobs.write_batch_counts(args.counts))
+    _trips(spark, args, handlers, position=True)
 
 
 def scan(spark, args):
@@ -107,7 +137,14 @@ def scan(spark, args):
 
 
 def compact(spark, args):
-    keyed_table.compact(spark, args.table, args.target)
+    if args.target:
+        keyed_table.copy_current(spark, args.table, args.target)
+    else:
+        keyed_table.compact(spark, args.table)
+
+
+def compact_counts(spark, args):
+    count_log.compact(spark, args.counts, args.columns.split(","))
 
 
 def produce(spark, args):
@@ -162,22 +199,36 @@ def parser():
     sub.add_argument("--k", type=int, default=20)
     sub.add_argument("--max-iter", type=int, default=5)
     sub.add_argument("--mode", default="errorifexists")
+    sub.add_argument("--split-key", help="column to split by; the whole row otherwise")
+    sub.add_argument("--cache", action="store_true")
     command("report", report, "json")
-    sub = stream("enrich", enrich, "model", "source", "target")
+
+    def trip_stream(name, job, *required):
+        sub = stream(name, job, *required)
+        sub.add_argument("--dead", help="topic for messages that do not decode; target with -rejected otherwise")
+        sub.add_argument("--strict", action="store_true", help="fail on a message that does not decode")
+        return sub
+
+    sub = trip_stream("enrich", enrich, "model", "source", "target")
     sub.add_argument("--sorted", action="store_true")
     stream("reject", reject, "source", "target")
-    stream("batch-counts", batch_counts, "source", "target")
-    sub = stream("window-counts", window_counts, "source", "target")
-    sub.add_argument("--watermark", default=jobs.WATERMARK)
+    trip_stream("batch-counts", batch_counts, "source", "target")
+    sub = command("batch-report", batch_report, "counts")
+    sub.add_argument("--report", choices=["cluster", "hour", "windows"], default="cluster")
+    sub.add_argument("--rows", type=int, default=20)
+    sub = trip_stream("window-counts", window_counts, "source", "target")
+    sub.add_argument("--watermark", help="keep windows in bounded state and drop rows later than this")
     stream("word-count", word_count, "source", "target")
-    stream("upsert", upsert, "source", "target").add_argument("--counts")
+    trip_stream("upsert", upsert, "source", "target").add_argument("--counts")
     sub = command("scan", scan, "table")
     sub.add_argument("--catalog", help="file with a JSON catalog")
     sub.add_argument("--at-most")
     sub.add_argument("--prefix")
     sub.add_argument("--cluster", type=int)
     sub.add_argument("--rows", type=int, default=20)
-    command("compact", compact, "table", "target")
+    command("compact", compact, "table").add_argument("--target", help="write a copy instead")
+    sub = command("compact-counts", compact_counts, "counts")
+    sub.add_argument("--columns", default="n_rows,n_cid", help="columns that add up")
     stream("produce", produce, "target").add_argument("--count", type=int, default=jobs.ITEM_COUNT)
     stream("replay", replay, "folder", "target").add_argument("--files-per-batch", type=int)
     stream("tail", tail, "source").add_argument("--rows", type=int, default=20)

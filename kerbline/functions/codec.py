@@ -25,19 +25,25 @@ def _unpack(df, record, *keep):
     return df.select(*keep, F.inline(F.array(record)))
 
 
+def finite(name):
+    """The number is there and neither NaN nor infinite."""
+    column = F.col(name)
+    return F.coalesce(~F.isnan(column) & (F.abs(column) < float("inf")), F.lit(False))
+
+
 def decode_csv(messages, value="value", strict=False):
     """Decode ``dt,lat,lon,base`` lines into the TRIP columns plus ``_corrupt``.
 
     Fields after the fourth are ignored. A line is corrupt when the time or a
-    coordinate cannot be read, or when fields are missing. ``strict`` raises on
-    such a line instead.
+    coordinate cannot be read, when a coordinate is not finite, or when fields are
+    missing. ``strict`` raises on such a line instead.
     """
     raw = F.col(value)
     record = F.from_csv(raw, f"{_ddl(TRIP)}, {CORRUPT} string", PERMISSIVE)
     unreadable = (
         F.col("dt").isNull()
-        | F.col("lat").isNull()
-        | F.col("lon").isNull()
+        | ~finite("lat")
+        | ~finite("lon")
         | (F.col(CORRUPT).isNotNull() & (F.size(F.split(raw, ",")) < len(TRIP)))
     )
     corrupt = F.when(unreadable, raw)
@@ -50,14 +56,26 @@ def decode_csv(messages, value="value", strict=False):
     )
 
 
-def decode_json(messages, schema, value="value", strict=False):
-    """Decode JSON messages by field name; unknown fields are ignored."""
-    ddl, options = f"{_ddl(schema)}, {CORRUPT} string", PERMISSIVE
+def decode_json(messages, schema, value="value", strict=False, required=()):
+    """Decode JSON messages by field name; unknown fields are ignored.
+
+    A message is corrupt when it cannot be parsed, holds none of the fields, lacks a ``required`` one, or has a number
+    that is not finite. ``strict`` raises on such a message instead.
+    """
+    raw = F.col(value)
+    record = F.from_json(raw, f"{_ddl(schema)}, {CORRUPT} string", PERMISSIVE)
+    broken = F.col(CORRUPT).isNotNull() | F.coalesce(*[F.col(f.name).cast("string") for f in schema]).isNull()
+    for name in required:
+        broken = broken | F.col(name).isNull()
+    for field in schema:
+        if field.dataType.typeName() in ("double", "float"):
+            broken = broken | (F.col(field.name).isNotNull() & ~finite(field.name))
+    corrupt = F.when(broken, F.coalesce(raw, F.lit("")))
     if strict:
-        ddl, options = _ddl(schema), {"mode": "FAILFAST"}
+        message = F.concat(F.lit("malformed message: "), F.coalesce(raw, F.lit("")))
+        corrupt = F.when(broken, F.raise_error(message)).cast("string")
     kept = [c for c in messages.columns if c != value]
-    out = _unpack(messages, F.from_json(F.col(value), ddl, options), *kept)
-    return out.withColumn(CORRUPT, F.lit(None).cast("string")) if strict else out
+    return _unpack(messages, record, *messages.columns).select(*kept, *schema.names, corrupt.alias(CORRUPT))
 
 
 def good(decoded):

@@ -1,21 +1,19 @@
 """K-means over pickup coordinates, and nearest-centre assignment."""
 
-import json
-
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from kerbline.functions import codec
 from kerbline.schemas import CENTER
 
 SPLIT_SEED = 5043
 FIT_SEED = 5043
 
-# Above this many centres the unrolled distances outgrow the 8,000 bytecode bytes
-# that HotSpot compiles per method. A loop over a literal array takes over, which is
-# slower; ``predict`` with a fitted model suits large k better.
-UNROLL_LIMIT = 100
+# Distances to so many centres are unrolled in one step of ``nearest``: the generated methods stay below the 8,000 bytes
+# of code that HotSpot compiles, for any number of centres.
+BLOCK = 50
 
 # Proven size bound of a broadcast centre table: 100,000 rows of 20 bytes.
 BROADCAST_LIMIT = 100_000
@@ -33,6 +31,11 @@ def array_features(df, column, output="features"):
     return df.withColumn(output, array_to_vector(F.col(column).cast("array<double>")))
 
 
+def located(points):
+    """The rows with finite coordinates."""
+    return points.where(codec.finite("lat") & codec.finite("lon"))
+
+
 def collapse(points):
     """Identical coordinates as one point with a weight.
 
@@ -40,7 +43,7 @@ def collapse(points):
     k-means pass reads, and a hot spot becomes a single row.
     """
     return (
-        points.where("lat IS NOT NULL AND lon IS NOT NULL")
+        located(points)
         .groupBy("lat", "lon")
         .agg(F.count(F.lit(1)).cast("double").alias("weight"))
     )
@@ -77,12 +80,15 @@ def center_table(spark, centers):
 
 
 def predict(model, df, columns=("lat", "lon")):
-    """Assign with the model; the cluster id is ``cid``."""
-    return (
-        model.transform(assemble(df, columns))
-        .withColumnRenamed(model.getPredictionCol(), "cid")
-        .drop("features")
-    )
+    """Assign with the model; the cluster id is ``cid``, null where a coordinate is missing or not finite."""
+    filled = [f"_filled_{c}" for c in columns]
+    whole = F.lit(True)
+    for name, column in zip(filled, columns):
+        whole = whole & codec.finite(column)
+        df = df.withColumn(name, F.when(codec.finite(column), F.col(column)).otherwise(0.0))
+    out = model.transform(assemble(df, filled))
+    cid = F.when(whole, F.col(model.getPredictionCol()))
+    return out.withColumn("cid", cid).drop(model.getPredictionCol(), "features", *filled)
 
 
 def _squared_distance(clat, clon):
@@ -93,32 +99,38 @@ def _squared_distance(clat, clon):
 
 
 def _distances(centers):
-    """Array of squared distances as one SQL expression, which is quick to build for any k."""
-    pairs = [(float(clat), float(clon)) for clat, clon in centers]
-    if len(pairs) <= UNROLL_LIMIT:
-        terms = [_squared_distance(f"({a!r}D)", f"({b!r}D)") for a, b in pairs]
-        return F.expr(f"array({', '.join(terms)})")
-    rows = json.dumps([{"a": a, "b": b} for a, b in pairs])
-    table = f"from_json('{rows}', 'array<struct<a:double,b:double>>')"
-    return F.expr(f"transform({table}, c -> {_squared_distance('c.a', 'c.b')})")
+    """Array of squared distances as one SQL expression, which is quick to build."""
+    terms = [_squared_distance(f"({float(a)!r}D)", f"({float(b)!r}D)") for a, b in centers]
+    return F.expr(f"array({', '.join(terms)})")
 
 
 def nearest(df, centers, distance=None):
     """Add ``cid``, the nearest centre; ties go to the lowest id.
 
     The centres are literals in the plan: assignment is row-local, with no join
-    and no shuffle. A row without coordinates gets a null id. ``distance`` names
-    an extra column for the squared distance.
+    and no shuffle. They are taken in blocks, each of which keeps the nearest so
+    far, so the cost per centre does not depend on their number. A row without
+    finite coordinates gets a null id. ``distance`` names an extra column for the
+    squared distance.
 
-    The id leaves through a one-row generator. A filter on ``cid`` would otherwise
-    be pushed below the assignment with copies of all distances in it.
+    The result of a block leaves through a one-row generator. Expressions above it,
+    as a filter on ``cid``, would otherwise be merged with copies of all distances.
     """
-    measured = df.withColumn("_d", _distances(centers)).withColumn("_m", F.array_min("_d"))
-    known = ~F.isnan("_m")
-    out = [F.when(known, F.array_position("_d", F.col("_m")) - 1).cast("int").alias("cid")]
+    out, own = df, list(df.columns)
+    for low in range(0, len(centers), BLOCK):
+        measured = out.withColumn("_d", _distances(centers[low : low + BLOCK])).withColumn("_b", F.array_min("_d"))
+        place = (F.array_position("_d", F.col("_b")) - 1 + low).cast("int")
+        best = F.col("_b")
+        if low:
+            closer = F.col("_b") < F.col("_m")
+            place = F.when(closer, place).otherwise(F.col("_c"))
+            best = F.when(closer, best).otherwise(F.col("_m"))
+        out = measured.select(*own, F.inline(F.array(F.struct(best.alias("_m"), place.alias("_c")))))
+    known = F.col("_m") < float("inf")
+    added = [F.when(known, F.col("_c")).alias("cid")]
     if distance:
-        out.append(F.when(known, F.col("_m")).alias(distance))
-    return measured.select(*df.columns, F.inline(F.array(F.struct(*out))))
+        added.append(F.when(known, F.col("_m")).alias(distance))
+    return out.select(*own, *added)
 
 
 def cost(df, centers):
@@ -160,8 +172,8 @@ def refine(trips, centers, rounds):
 
 
 def first_points(trips, k, order):
-    """The first k pickups by ``order`` as starting centres."""
-    rows = trips.orderBy(order).select("lat", "lon").limit(k).collect()
+    """The first k pickups with coordinates, by ``order``, as starting centres."""
+    rows = located(trips).orderBy(order).select("lat", "lon").limit(k).collect()
     return [(r["lat"], r["lon"]) for r in rows]
 
 
@@ -174,10 +186,16 @@ def random_split(df, train=0.7, seed=SPLIT_SEED):
     return df.randomSplit([train, 1 - train], seed)
 
 
-def hash_split(df, key, train=0.7):
-    """Add ``in_train`` from a hash of ``key``: stable under any partitioning."""
-    prefix = F.substring(F.md5(F.col(key).cast("string")), 1, 8)
-    bucket = F.conv(prefix, 16, 10).cast("bigint") % 100
+def hash_split(df, key=None, train=0.7):
+    """Add ``in_train`` from a hash of ``key``, or of the whole row: stable under any partitioning.
+
+    A null hashes as a value of its own, so every row is in one part. Without a key, identical rows are in the same part.
+    """
+    if key is None:
+        bucket = F.pmod(F.xxhash64(*df.columns), F.lit(100))
+    else:
+        text = F.coalesce(F.col(key).cast("string"), F.lit("null"))
+        bucket = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % 100
     return df.withColumn("in_train", bucket < round(train * 100))
 
 

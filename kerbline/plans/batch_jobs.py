@@ -20,27 +20,21 @@ def train_and_report(
 ):
     """Fit on 70 % of a trip CSV, save the model, and assign the other 30 %.
 
-    The held-out trips are reported on and written as JSON in time order. The split
-    is the seeded random one, or the stable hash split when ``split_key`` names a
-    column. ``cache`` keeps the parsed trips between the passes. Returns the model
-    and the reports.
+    The split hashes the whole row, or the column ``split_key``. The held-out trips are written once as JSON in time
+    order and reported on from there; trips without coordinates have no cluster. ``cache`` keeps the parsed trips between
+    the passes. Returns the model and the reports.
     """
     trips = files.csv_scan(spark, trips_path)
     if cache:
         trips = trips.cache()
-    if split_key:
-        split = clustering.hash_split(trips, split_key)
-        train, test = split.where("in_train"), split.where("NOT in_train").drop("in_train")
-    else:
-        train, test = clustering.random_split(trips)
-    model = clustering.fit(train, k=k, max_iter=max_iter)
+    split = clustering.hash_split(trips, split_key)
+    model = clustering.fit(split.where("in_train"), k=k, max_iter=max_iter)
     clustering.save_model(model, model_path)
-    held_out = clustering.predict(model, test)
+    held_out = clustering.nearest(split.where("NOT in_train").drop("in_train"), clustering.centers_of(model))
     files.write_json_sorted(held_out.select("dt", "lat", "lon", "cid", "base"), json_path, mode=mode)
-    made = report_set(held_out)
     if cache:
         trips.unpersist()
-    return model, made
+    return model, report_json(spark, json_path)
 
 
 def report_set(clustered):

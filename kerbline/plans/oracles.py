@@ -1,7 +1,7 @@
 """The same results in ANSI SQL, used to check ``queries`` against another engine."""
 
 from kerbline.operators.centers import CITY_CENTERS
-from kerbline.plans.queries import LLOYD_K, LLOYD_ROUNDS
+from kerbline.plans.queries import LLOYD_K, LLOYD_ROUNDS, many_centers
 
 TRIPS = """trips AS (
   SELECT event_id, ts AS dt,
@@ -17,6 +17,13 @@ CENTERS = "centers(cid, clat, clon) AS (VALUES {})".format(
     )
 )
 
+MANY = "centers(cid, clat, clon) AS (VALUES {})".format(
+    ", ".join(
+        f"(CAST({i} AS INTEGER), CAST({lat!r} AS DOUBLE), CAST({lon!r} AS DOUBLE))"
+        for i, (lat, lon) in enumerate(many_centers())
+    )
+)
+
 D2 = "(lat - clat) * (lat - clat) + (lon - clon) * (lon - clon)"
 
 NEAREST = f"""ranked AS (
@@ -107,19 +114,26 @@ def _bundle():
     start = "CAST(date_trunc('hour', dt) AS VARCHAR)"
     parts = [
         part("month_day_hour_cluster", f"concat_ws('/', {m}, {d}, {h}, {c})"),
+        part("month_day_hour_cluster_top", f"concat_ws('/', {m}, {d}, {h}, {c})"),
         part("month_day_cluster", f"concat_ws('/', {m}, {d}, {c})"),
         part("hour_cluster", f"concat_ws('/', {h}, {c})"),
+        f"SELECT 'hour_cluster_top' AS report, concat_ws('/', CAST(hour AS VARCHAR), CAST(cid AS VARCHAR)) AS key, count "
+        f"FROM (SELECT * FROM ({HOUR_CLUSTER}) ORDER BY count DESC, hour, cid LIMIT 20)",
         part("cluster_rows", c, "count(*)"),
         part("cluster", c),
         part("hour", h),
         part("windows", f"concat_ws('/', {start}, {c})", "count(*)", "WHERE dt IS NOT NULL"),
         part("window_totals", c, "count(*)", "WHERE dt IS NOT NULL"),
+        "SELECT 'window_listing' AS report, concat_ws('/', CAST(cid AS VARCHAR), strftime(window_end, '%b-%d %H:%M')) AS key, "
+        f"count FROM ({WINDOWS})",
+        "SELECT 'rows' AS report, '' AS key, count(*) AS count FROM clustered",
     ]
     return ON_CLUSTERED + " UNION ALL ".join(parts)
 
 
 ORACLES = {
     "cluster_assign": f"{ON_CLUSTERED} SELECT event_id, lat, lon, base, cid FROM clustered",
+    "cluster_assign_many": f"WITH {TRIPS}, {MANY}, {NEAREST} SELECT event_id, lat, lon, base, cid FROM clustered",
     "enrich_join": f"{ON_CLUSTERED} SELECT event_id, {ENRICHED} FROM clustered",
     "center_table": f"WITH {TRIPS}, {CENTERS}, " + _lloyd("SELECT * FROM centers", 1),
     "clustering_cost": f"{ON_CLUSTERED} SELECT round(sum(d2), 4) AS cost FROM clustered",
@@ -130,9 +144,9 @@ ORACLES = {
         LLOYD_ROUNDS,
     ),
     "kmeans_fit_invariants": "SELECT CAST(20 AS INTEGER) AS k, count(*) AS assigned, "
-    "CAST(0 AS BIGINT) AS not_nearest FROM events",
+    "CAST(0 AS BIGINT) AS not_nearest, CAST(1 AS INTEGER) AS cheaper, count(*) AS weight FROM events",
     "kmeans_vectors_invariants": "SELECT CAST(10 AS INTEGER) AS k, count(*) AS assigned, "
-    "CAST(0 AS BIGINT) AS unassigned FROM embeddings",
+    "CAST(0 AS BIGINT) AS not_nearest FROM embeddings",
     "kmeans_model_roundtrip": "SELECT CAST(20 AS INTEGER) AS k, CAST(0 AS BIGINT) AS different",
     "hash_split": "SELECT event_id, CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8) "
     "AS BIGINT) % 100 < 70 AS in_train FROM events",
@@ -178,6 +192,7 @@ ORACLES = {
     "kv_rowkey": f"{ON_KEYED} SELECT event_id, rowkey FROM keyed",
     "kv_upsert": f"{ON_KEYED} SELECT rowkey, lat, lon, version FROM kv",
     "kv_compact": f"{ON_KEYED} SELECT rowkey, lat, lon, version FROM kv",
+    "kv_compact_replay": f"{ON_KEYED} SELECT rowkey, lat, lon, version FROM kv",
     "kv_range_scan": f"{ON_KEYED} SELECT rowkey AS key, lat, lon FROM kv WHERE rowkey <= '11'",
     "kv_prefix_scan": f"{ON_KEYED} SELECT rowkey, lat, lon FROM kv "
     "WHERE starts_with(rowkey, '2_')",
@@ -192,6 +207,8 @@ ORACLES = {
     "stream_batch_counts": f"{ON_CLUSTERED} SELECT cid, window_start, count FROM ({WINDOWS})",
     "stream_window_count": f"{ON_CLUSTERED} {WINDOWS}",
     "stream_word_count": WORDS,
+    "stream_dead_letters": "SELECT CASE event_type WHEN 'error' THEN 'junk' WHEN 'signup' THEN 'incomplete' "
+    "ELSE 'good' END AS outcome, count(*) AS n FROM events GROUP BY 1",
     "stream_kv_upsert": f"{ON_KEYED} SELECT cid, count(DISTINCT rowkey) AS keys, "
     "count(*) AS count FROM keyed GROUP BY cid",
     "item_publish": """SELECT '{"id":"' || event_id || '","value":"' || user_id || '"}' AS value

@@ -18,6 +18,14 @@ EARLY = "coalesce(dt < TIMESTAMP_NTZ '2024-01-16 00:00:00', false)"
 LATE = f"NOT {EARLY}"
 
 
+def many_centers(count=150):
+    """So many centres: the published ones again and again, a little further north-east each time."""
+    n = len(CITY_CENTERS)
+    return [
+        (CITY_CENTERS[i % n][0] + (i // n) * 0.011, CITY_CENTERS[i % n][1] + (i // n) * 0.013) for i in range(count)
+    ]
+
+
 def trips(spark, sf_dir):
     return tables.trips(tables.table(spark, sf_dir, "events"))
 
@@ -48,6 +56,11 @@ def cluster_assign(spark, sf_dir):
     return clustered(spark, sf_dir).select("event_id", "lat", "lon", "base", "cid")
 
 
+def cluster_assign_many(spark, sf_dir):
+    """150 centres: the given ones, and each of them shifted a few times."""
+    return clustering.nearest(trips(spark, sf_dir), many_centers()).select("event_id", "lat", "lon", "base", "cid")
+
+
 def enrich_join(spark, sf_dir):
     return enriched(spark, sf_dir).select("event_id", *[f.name for f in TRIP_ENRICHED])
 
@@ -76,14 +89,18 @@ def lloyd_kmeans(spark, sf_dir):
 
 
 def kmeans_fit_invariants(spark, sf_dir):
-    """Number of centres, rows assigned, and rows given a centre that is not a nearest one."""
+    """Number of centres, rows assigned, rows given a centre that is not a nearest one, the weight of the points fitted, and
+    whether the fit costs no more than three rounds from the first 20 pickups."""
     source = trips(spark, sf_dir)
     model = clustering.fit(source, k=20, max_iter=5)
     centers = clustering.centers_of(model)
+    simple = clustering.refine(source, clustering.first_points(source, 20, "event_id"), 3)
+    cheaper = clustering.cost(source, centers).first()[0] <= clustering.cost(source, simple).first()[0]
+    weight = clustering.collapse(source).agg(F.sum("weight").cast("bigint").alias("weight"))
     assigned = clustering.predict(model, source).withColumnRenamed("cid", "model_cid")
-    checked = clustering.nearest(assigned, centers, "best").join(
-        F.broadcast(clustering.center_table(spark, centers).withColumnRenamed("cid", "model_cid")),
-        "model_cid",
+    best = clustering.nearest(assigned, centers, "best").withColumnRenamed("cid", "own_cid")
+    checked = clustering.attach_centers(best.withColumnRenamed("model_cid", "cid"), centers).withColumnRenamed(
+        "cid", "model_cid"
     )
     given = (F.col("lat") - F.col("clat")) * (F.col("lat") - F.col("clat")) + (
         F.col("lon") - F.col("clon")
@@ -92,18 +109,27 @@ def kmeans_fit_invariants(spark, sf_dir):
         F.lit(len(centers)).alias("k"),
         F.count("model_cid").alias("assigned"),
         F.count_if(given > F.col("best") + 1e-9).alias("not_nearest"),
-    )
+        F.lit(int(cheaper)).alias("cheaper"),
+    ).crossJoin(weight)
 
 
 def kmeans_vectors_invariants(spark, sf_dir):
-    """K-means on 64-wide vectors: centres, rows assigned, and rows left out."""
+    """K-means on 64-wide vectors: centres, rows assigned, and rows not at a nearest centre."""
     source = tables.table(spark, sf_dir, "embeddings").select("embedding")
     model = clustering.fit_arrays(source, "embedding", k=10)
     out = model.transform(clustering.array_features(source, "embedding"))
+    centers = [[float(x) for x in c] for c in model.clusterCenters()]
+
+    def squared(center):
+        gaps = F.zip_with("embedding", F.array(*map(F.lit, center)), lambda a, b: (a - b) * (a - b))
+        return F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap)
+
+    out = out.withColumn("distances", F.array(*[squared(c) for c in centers]))
+    given = F.element_at("distances", F.col("prediction") + 1)
     return out.agg(
-        F.lit(len(model.clusterCenters())).alias("k"),
+        F.lit(len(centers)).alias("k"),
         F.count("prediction").alias("assigned"),
-        F.count_if(F.col("prediction").isNull()).alias("unassigned"),
+        F.count_if(F.coalesce(given > F.array_min("distances") + 1e-6, F.lit(True))).alias("not_nearest"),
     )
 
 
@@ -188,13 +214,17 @@ def report_bundle(spark, sf_dir):
 
     parts = [
         stack("month_day_hour_cluster", ["month", "day", "hour", "cid"]),
+        stack("month_day_hour_cluster_top", ["month", "day", "hour", "cid"]),
         stack("month_day_cluster", ["month", "day", "cid"]),
         stack("hour_cluster", ["hour", "cid"]),
+        stack("hour_cluster_top", ["hour", "cid"]),
         stack("cluster_rows", ["cid"]),
         stack("cluster", ["cid"]),
         stack("hour", ["hr"], "ct"),
         stack("windows", ["window_start", "cid"]),
         stack("window_totals", ["cid"], "total_count"),
+        stack("window_listing", ["cid", "dt"]),
+        stack("rows", []),
     ]
     out = parts[0]
     for part in parts[1:]:
@@ -212,8 +242,14 @@ def csv_scan(spark, sf_dir):
 
 
 def json_scan(spark, sf_dir):
+    """Files with plain times, and files whose times carry an offset."""
     path = scratch_dir(spark, "json") + "/trips"
-    files.write_json_sorted(conform(clustered(spark, sf_dir), TRIP_CLUSTERED), path)
+    rows = clustered(spark, sf_dir)
+    files.write_json_sorted(conform(rows.where("event_id % 2 = 0"), TRIP_CLUSTERED), path)
+    text_time = F.date_format("dt", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    late = conform(rows.where("event_id % 2 = 1"), TRIP_CLUSTERED)
+    late = late.withColumn("dt", F.concat(text_time, F.when(F.col("cid") % 2 == 0, "Z").otherwise("-07:00")))
+    files.write_json(late, path, "append")
     return files.json_scan(spark, path)
 
 
@@ -289,21 +325,36 @@ def _kv_table(spark, sf_dir):
     """All trips upserted in two batches, earlier pickups first."""
     path = scratch_dir(spark, "kv") + "/trips"
     source = trips(spark, sf_dir)
-    write = jobs.write_puts(path, "event_id")
+    write = jobs.write_puts(path, "event_id", unique_version=True)
     write(keyed(source.where(EARLY)), 0)
     write(keyed(source.where(LATE)), 1)
     return path
 
 
+def _current(spark, path):
+    """Current rows of a table whose versions are event ids."""
+    return keyed_table.latest(spark, path).withColumn("version", F.col("version").cast("bigint"))
+
+
 def kv_upsert(spark, sf_dir):
-    return keyed_table.latest(spark, _kv_table(spark, sf_dir))
+    return _current(spark, _kv_table(spark, sf_dir))
 
 
 def kv_compact(spark, sf_dir):
     path = _kv_table(spark, sf_dir)
     target = f"{path}-compact"
-    keyed_table.compact(spark, path, target)
-    return keyed_table.latest(spark, target)
+    keyed_table.copy_current(spark, path, target)
+    return _current(spark, target)
+
+
+def kv_compact_replay(spark, sf_dir):
+    """Two batches, folded, and the last one replayed: no key is lost and no older row comes back."""
+    path = _kv_table(spark, sf_dir)
+    keyed_table.compact(spark, path)
+    late = keyed(trips(spark, sf_dir).where(LATE))
+    jobs.write_puts(path, "event_id", unique_version=True)(late, 1)
+    keyed_table.compact(spark, path)
+    return _current(spark, path)
 
 
 def kv_range_scan(spark, sf_dir):
@@ -385,12 +436,11 @@ def stream_enrich_sorted(spark, sf_dir):
     return jobs.decode_enriched(topics.read(spark, f"{base}/topic", recursiveFileLookup=True))
 
 
-def _enriched_topic_in_halves(spark, sf_dir, consume):
-    """Publish the earlier, then the later trips; ``consume`` resumes after each."""
+def _enriched_topic_in_halves(spark, sf_dir, consume, parts=(EARLY, LATE)):
+    """Publish one half, then the other; ``consume`` resumes after each."""
     topic = scratch_dir(spark, "halves") + "/topic"
-    source = trips(spark, sf_dir)
-    for part in (EARLY, LATE):
-        rows = clustering.enrich(source.where(part), CITY_CENTERS)
+    for part in parts:
+        rows = clustering.enrich(trips(spark, sf_dir).where(part), CITY_CENTERS)
         topics.publish(codec.encode_enriched(rows), topic)
         run.drain(consume(jobs.decode_enriched(topics.subscribe(spark, topic))))
 
@@ -406,24 +456,42 @@ def stream_batch_counts(spark, sf_dir):
 
 
 def stream_window_count(spark, sf_dir):
-    """Running totals across two batches equal the batch report."""
+    """Running totals across two batches, the later trips sent first, equal the batch report."""
     base = scratch_dir(spark, "windows")
-    keys = ("cid", "window_start", "window_end")
     _enriched_topic_in_halves(
         spark,
         sf_dir,
-        lambda s: jobs.keep_totals(
-            jobs.window_counts(s), keys, f"{base}/counts", f"{base}/checkpoint"
-        ),
+        lambda s: jobs.batch_counts(s, f"{base}/counts", f"{base}/checkpoint"),
+        parts=(LATE, EARLY),
     )
-    return keyed_table.latest(spark, f"{base}/counts", keys)
+    return jobs.window_totals(spark, f"{base}/counts")
 
 
 def stream_word_count(spark, sf_dir):
     base = scratch_dir(spark, "words")
-    counts = jobs.word_counts(tables.stream_table(spark, sf_dir, "documents"), "text")
-    run.drain(jobs.keep_totals(counts, ("word",), f"{base}/counts", f"{base}/checkpoint"))
-    return keyed_table.latest(spark, f"{base}/counts", ("word",))
+    lines = tables.stream_table(spark, sf_dir, "documents").select(F.col("text").alias("value"))
+    run.drain(jobs.batch_word_counts(lines, f"{base}/counts", f"{base}/checkpoint"))
+    return jobs.word_totals(spark, f"{base}/counts")
+
+
+def stream_dead_letters(spark, sf_dir):
+    """Good and rejected messages of one read, by what was sent; junk for errors, no time or cluster for sign-ups."""
+    base = scratch_dir(spark, "dead")
+    rows = enriched(spark, sf_dir)
+    sent = F.col("base")
+    spoilt = rows.withColumn("dt", F.when(sent != "signup", F.col("dt")))
+    wire = codec.encode_enriched(spoilt, carry=["base"])
+    wire = wire.withColumn("value", F.when(sent == "error", F.concat(F.lit("junk error "), "value")).otherwise(F.col("value")))
+    topics.publish(wire.select("value"), f"{base}/topic")
+    decoded = jobs.decoded_enriched(topics.subscribe(spark, f"{base}/topic"))
+    handler = jobs.write_batch_counts(f"{base}/counts")
+    run.drain(jobs.with_dead_letters(decoded, [handler], f"{base}/rejected", f"{base}/checkpoint"))
+    kept = jobs.batch_report(spark, f"{base}/counts", "cluster").agg(F.sum("count").alias("n"))
+    rejected = topics.read(spark, f"{base}/rejected")
+    junk = F.col("value").startswith("junk")
+    return kept.select(F.lit("good").alias("outcome"), "n").unionAll(
+        rejected.groupBy(F.when(junk, "junk").otherwise("incomplete").alias("outcome")).agg(F.count("*").alias("n"))
+    )
 
 
 def stream_kv_upsert(spark, sf_dir):
@@ -439,10 +507,11 @@ def stream_kv_upsert(spark, sf_dir):
         )
     )
     rows = keyed_table.latest(spark, f"{base}/table", columns=["lat", "lon"])
+    counts = jobs.batch_report(spark, f"{base}/counts", "cluster")
     return (
         rows.groupBy(text.key_cluster("rowkey").alias("cid"))
         .agg(F.count(F.lit(1)).alias("keys"))
-        .join(jobs.batch_report(spark, f"{base}/counts", "cluster").drop("batch_id"), "cid")
+        .join(counts.groupBy("cid").agg(F.sum("count").alias("count")), "cid")
     )
 
 
@@ -458,6 +527,7 @@ def item_publish(spark, sf_dir):
 
 QUERIES = {
     "cluster_assign": cluster_assign,
+    "cluster_assign_many": cluster_assign_many,
     "enrich_join": enrich_join,
     "center_table": center_table,
     "clustering_cost": clustering_cost,
@@ -495,6 +565,7 @@ QUERIES = {
     "kv_rowkey": kv_rowkey,
     "kv_upsert": kv_upsert,
     "kv_compact": kv_compact,
+    "kv_compact_replay": kv_compact_replay,
     "kv_range_scan": kv_range_scan,
     "kv_prefix_scan": kv_prefix_scan,
     "kv_cluster_scan": kv_cluster_scan,
@@ -506,6 +577,7 @@ QUERIES = {
     "stream_batch_counts": stream_batch_counts,
     "stream_window_count": stream_window_count,
     "stream_word_count": stream_word_count,
+    "stream_dead_letters": stream_dead_letters,
     "stream_kv_upsert": stream_kv_upsert,
     "item_publish": item_publish,
 }

@@ -6,6 +6,7 @@ reports must not change with the session time zone.
 
 from pyspark.sql import types as T
 
+# Fixed: names, types and order of the trip records, and the catalog below, are the wire contract.
 TRIP = T.StructType(
     [
         T.StructField("dt", T.TimestampNTZType()),
@@ -48,10 +49,13 @@ CENTER = T.StructType(
     ]
 )
 
-ITEM = T.StructType(
+# Row of the keyed trip table; ``version`` is the position of the message that wrote it.
+KV_ROW = T.StructType(
     [
-        T.StructField("id", T.IntegerType()),
-        T.StructField("value", T.IntegerType()),
+        T.StructField("rowkey", T.StringType()),
+        T.StructField("lat", T.DoubleType()),
+        T.StructField("lon", T.DoubleType()),
+        T.StructField("version", T.DecimalType(38, 0)),
     ]
 )
 

@@ -1,20 +1,44 @@
 """CSV and JSON trip files, always read with an explicit schema."""
 
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 from kerbline.operators.ordering import order_spread
 from kerbline.schemas import TRIP, TRIP_CLUSTERED
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 TIME_OPTIONS = {"timestampFormat": TIME_FORMAT, "timestampNTZFormat": TIME_FORMAT}
+CORRUPT = "_corrupt"
+_OFFSET = r"\s*(Z|[+-]\d{2}:?\d{2})$"
+
+
+def _scan(reader, kind, path, schema, corrupt, **options):
+    """Read times as text and parse them here: plain, or with an offset, which is cut off to give wall-clock time.
+
+    A file record that cannot be read, or a time that cannot be parsed, is reported in ``_corrupt`` if ``corrupt`` is set;
+    its other cells are kept.
+    """
+    times = [f.name for f in schema if isinstance(f.dataType, T.TimestampNTZType)]
+    raw = T.StructType([T.StructField(f.name, T.StringType() if f.name in times else f.dataType) for f in schema])
+    raw = raw.add(CORRUPT, T.StringType())
+    rows = getattr(reader.schema(raw).options(columnNameOfCorruptRecord=CORRUPT, **options), kind)(path)
+    bad = F.col(CORRUPT)
+    parsed = {}
+    for name in times:
+        parsed[name] = F.regexp_replace(name, _OFFSET, "").try_cast("timestamp_ntz")
+        bad = F.coalesce(bad, F.when(F.col(name).isNotNull() & parsed[name].isNull(), F.col(name)))
+    out = [parsed.get(f.name, F.col(f.name)).alias(f.name) for f in schema]
+    return rows.select(*out, *([bad.alias(CORRUPT)] if corrupt else []))
 
 
-def csv_scan(spark, path, schema=TRIP):
-    """Headerless CSV bound by position."""
-    return spark.read.schema(schema).csv(path, header=False)
+def csv_scan(spark, path, schema=TRIP, corrupt=False):
+    """Headerless CSV bound by position; ``corrupt`` adds the text of records or times that cannot be read."""
+    return _scan(spark.read, "csv", path, schema, corrupt, header=False)
 
 
-def json_scan(spark, path, schema=TRIP_CLUSTERED):
-    """JSON lines bound by name."""
-    return spark.read.schema(schema).json(path)
+def json_scan(spark, path, schema=TRIP_CLUSTERED, corrupt=False):
+    """JSON lines bound by name; ``corrupt`` adds the text of records or times that cannot be read."""
+    return _scan(spark.read, "json", path, schema, corrupt)
 
 
 def write_csv(df, path, mode="errorifexists"):

@@ -1,54 +1,58 @@
-"""Keyed table with upsert semantics over Parquet.
+"""Keyed table with upsert semantics over Parquet, as a batch log.
 
-Every write batch lands in its own ``batch_id=N`` folder with at most one row
-per key, sorted by key. A replayed batch replaces its folder. The current row of
-a key is the one with the highest batch id. Within a batch the highest
-``version`` wins, and then the greatest values, so the outcome never depends on
-row order. One query owns a table, because batch ids order the writes.
+Every write batch holds at most one row per key, sorted by key. The current row of a key is the one with the highest batch
+id, and within a batch the one with the highest ``version``. One query owns a table, because batch ids order the writes;
+another one is refused.
 
-Since a key occurs once per batch, the current view needs only
-``max_by(column, batch_id)``: it hash-aggregates with a map-side part, reads only
-the columns asked for, and a filter on the key goes down to the Parquet scan.
+Since a key occurs once per batch, the current view needs only ``max_by(column, batch_id)``: it hash-aggregates with a
+map-side part, reads only the columns asked for, and a filter on the key goes down to the Parquet scan.
 """
 
 import json
 
 from pyspark.sql import functions as F
 
-BATCH = "batch_id"
+from kerbline.schemas import KV_ROW
+from kerbline.sources import batch_log
+from kerbline.sources.batch_log import BATCH, MANUAL
 
 
-def write_batch(batch, path, keys, batch_id, version=None, unique=False):
+def write_batch(batch, path, keys, batch_id, version=None, unique=False, unique_version=False, owner=MANUAL):
     """Upsert ``batch`` under ``batch_id``.
 
-    ``unique`` states that each key occurs once, as in the output of an
-    aggregation by these keys; the deduplicating shuffle is then skipped.
+    ``unique`` states that each key occurs once, as in the output of an aggregation by these keys; the deduplicating
+    shuffle is then skipped. ``unique_version`` states that no two rows of a key share a version of fixed width, as with
+    message positions: the aggregation then works in place. Otherwise equal versions give the greatest values, so that
+    the outcome never depends on row order.
     """
     values = [c for c in batch.columns if c not in keys]
-    if not unique:
+    if not unique and unique_version:
+        batch = batch.groupBy(*keys).agg(*[F.max_by(c, version).alias(c) for c in values])
+    elif not unique:
         order = ([version] if version else []) + [c for c in values if c != version]
         batch = (
             batch.groupBy(*keys)
             .agg(F.max(F.struct(*order)).alias("_row"))
             .select(*keys, *[F.col("_row")[c].alias(c) for c in values])
         )
-    batch.sortWithinPartitions(*keys).write.mode("overwrite").parquet(
-        f"{path}/{BATCH}={batch_id}"
-    )
+    batch_log.append(batch.sortWithinPartitions(*keys), path, batch_id, owner)
 
 
-def log(spark, path):
+def log(spark, path, schema=KV_ROW):
     """Every written row with its numeric batch id."""
-    return spark.read.parquet(path).withColumn(BATCH, F.col(BATCH).cast("bigint"))
+    return batch_log.read(spark, path, schema)
 
 
-def latest(spark, path, keys=("rowkey",), columns=None):
-    """Current row of every key."""
-    rows = log(spark, path)
+def _current(rows, keys, columns=None):
     values = columns or [c for c in rows.columns if c not in (*keys, BATCH)]
     return rows.groupBy(*keys).agg(*[F.max_by(c, BATCH).alias(c) for c in values])
 
 
+def latest(spark, path, keys=("rowkey",), columns=None, schema=KV_ROW):
+    """Current row of every key; without any batch yet, no rows of ``schema``."""
+    return _current(log(spark, path, schema), keys, columns)
+
+
 def scan_catalog(spark, path, catalog):
     """Current rows under the names and types of a JSON catalog.
 
@@ -69,14 +73,16 @@ def scan_catalog(spark, path, catalog):
     )
 
 
-def compact(spark, path, target, keys=("rowkey",)):
-    """Write the current rows to ``target`` as one batch in key order.
+def compact(spark, path, keys=("rowkey",)):
+    """Fold all batches but the newest into a base in key order; the owning query may go on meanwhile."""
 
-    The batch keeps the highest batch id seen, so the owning query can go on
-    against ``target``. Keys are unique by then and range partitions stay even.
-    """
-    newest = log(spark, path).agg(F.max(BATCH)).first()[0]
+    def merge(rows):
+        return _current(rows, keys).repartitionByRange(*keys).sortWithinPartitions(*keys)
+
+    return batch_log.fold(spark, path, merge)
+
+
+def copy_current(spark, path, target, keys=("rowkey",)):
+    """Write the current rows to a new table as one batch in key order, which nobody owns yet."""
     rows = latest(spark, path, keys)
-    rows.repartitionByRange(*keys).sortWithinPartitions(*keys).write.parquet(
-        f"{target}/{BATCH}={newest}"
-    )
+    rows.repartitionByRange(*keys).sortWithinPartitions(*keys).write.parquet(f"{target}/{BATCH}=0")

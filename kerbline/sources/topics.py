@@ -12,6 +12,9 @@ import functools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kerbline.sources import batch_log
+
+POSITION = "position"
 EARLIEST = {"startingOffsets": "earliest"}
 
 
@@ -19,27 +22,63 @@ def _names(topics):
     return [t.strip() for t in topics.split(",") if t.strip()]
 
 
-def _value(df):
-    return df.select(F.col("value").cast("string").alias("value")).where("value IS NOT NULL")
+def _value(df, position=None):
+    columns = [F.col("value").cast("string").alias("value")]
+    if position is not None:
+        columns.append(position.cast("decimal(28,0)").alias(POSITION))
+    return df.select(*columns).where("value IS NOT NULL")
+
+
+def _place(time, number):
+    """One number that orders by time, then by a number below 2^40."""
+    return F.unix_micros(time).cast("decimal(16,0)") * F.lit(1 << 40).cast("decimal(13,0)") + number
+
+
+def _kafka(df, position):
+    return _value(df, _place(F.col("timestamp"), F.col("offset") % (1 << 40)) if position else None)
+
+
+def _files(df, position):
+    meta = "_metadata"
+    place = _place(F.col(f"{meta}.file_modification_time"), F.col(f"{meta}.file_block_start")) if position else None
+    return _value(df, place)
 
 
-def subscribe(spark, topics, kind="file", **options):
-    """Stream the values of a comma-separated topic list from the earliest message."""
+def numbered(batch):
+    """A micro-batch with its messages' positions made unique: rows from one place follow each other in one partition."""
+    row = F.monotonically_increasing_id() % (1 << 33)
+    return batch.withColumn(POSITION, (F.col(POSITION) * F.lit(1 << 33).cast("decimal(10,0)") + row).cast("decimal(38,0)"))
+
+
+def subscribe(spark, topics, kind="file", position=False, **options):
+    """Stream the values of a comma-separated topic list from the earliest message.
+
+    ``position`` adds a number that does not fall from one message to the next: time and offset in a broker, time of the
+    file and place in it otherwise. ``numbered`` makes it unique inside a micro-batch.
+    """
     if kind == "kafka":
         reader = spark.readStream.format("kafka").options(**{**EARLIEST, **options})
-        return _value(reader.option("subscribe", topics).load())
+        return _kafka(reader.option("subscribe", topics).load(), position)
     streams = [
-        spark.readStream.options(lineSep="\n", **options).text(name) for name in _names(topics)
+        _files(spark.readStream.options(lineSep="\n", **options).text(name), position) for name in _names(topics)
     ]
-    return _value(functools.reduce(DataFrame.unionAll, streams))
+    return functools.reduce(DataFrame.unionAll, streams)
 
 
-def read(spark, topics, kind="file", **options):
+def read(spark, topics, kind="file", position=False, **options):
     """All messages present now, as a batch."""
     if kind == "kafka":
         reader = spark.read.format("kafka").options(**{**EARLIEST, **options})
-        return _value(reader.option("subscribe", topics).load())
-    return _value(spark.read.options(lineSep="\n", **options).text(_names(topics)))
+        return _kafka(reader.option("subscribe", topics).load(), position)
+    return _files(spark.read.options(lineSep="\n", **options).text(_names(topics)), position)
+
+
+def publish_batch(messages, topic, batch_id, kind="file", owner=batch_log.MANUAL, **options):
+    """Publish one micro-batch; in a file topic it owns the folder ``batch_id=N``, so a replay replaces it."""
+    if kind == "kafka":
+        return publish(messages, topic, kind, **options)
+    batch_log.claim(messages.sparkSession, topic, owner)
+    messages.select("value").write.mode("overwrite").text(f"{topic}/batch_id={batch_id}", lineSep="\n")
 
 
 def publish(messages, topic, kind="file", **options):

@@ -5,80 +5,122 @@ from pyspark.sql import functions as F
 from kerbline.functions import codec, text
 from kerbline.operators import clustering, hourly, reports
 from kerbline.operators.ordering import order_spread
-from kerbline.schemas import TRIP_ENRICHED
-from kerbline.sources import keyed_table, topics
+from kerbline.schemas import TRIP, TRIP_ENRICHED
+from kerbline.sources import batch_log, count_log, keyed_table, topics
+from kerbline.sources.batch_log import MANUAL
 from kerbline.streaming.run import fan_out, per_batch
 
-WATERMARK = "10 minutes"
 ITEM_COUNT = 10
+#: An enriched message without its time or cluster counts in no report and has no row key.
+REQUIRED = ("dt", "cid")
+CUBE_COUNTS = ("n_rows", "n_cid")
 
 
-def enrich_messages(messages, centers):
-    """Trip lines to enriched JSON messages; lines that do not decode are left out."""
-    trips = codec.good(codec.decode_csv(messages))
+def rejected(target):
+    """Where messages go that do not decode, unless a job is told another place."""
+    return f"{target.rstrip('/')}-rejected"
+
+
+def _dead_letters(topic, kind="file", **options):
+    def handle(batch, batch_id, owner):
+        bad = codec.dead_letters(batch)
+        if not bad.isEmpty():
+            topics.publish_batch(bad, topic, batch_id, kind, owner, **options)
+
+    return handle
+
+
+def _on_good(handler):
+    return lambda batch, batch_id, owner: handler(codec.good(batch), batch_id, owner)
+
+
+def with_dead_letters(decoded, handlers, dead, checkpoint, kind="file", **options):
+    """One read of decoded messages: good rows to the handlers, the raw text of the others to the topic ``dead``."""
+    outputs = [_on_good(h) for h in handlers] + [_dead_letters(dead, kind, **options)]
+    return fan_out(decoded, outputs, checkpoint)
+
+
+def decoded_lines(messages, strict=False):
+    return codec.decode_csv(messages, strict=strict)
+
+
+def decoded_enriched(messages, strict=False):
+    """Enriched messages with ``_corrupt``, and the message position if the topic was read with it."""
+    return codec.decode_json(messages, TRIP_ENRICHED, strict=strict, required=REQUIRED)
+
+
+def decode_enriched(messages):
+    return codec.good(decoded_enriched(messages))
+
+
+def enrich_messages(trips, centers):
     return codec.encode_enriched(clustering.enrich(trips, centers))
 
 
-def enrich(messages, centers, topic, checkpoint, kind="file", **options):
-    """Decode, assign, join the centre, encode and publish: stateless, one pass."""
-    return topics.publish_stream(
-        enrich_messages(messages, centers), topic, checkpoint, kind, **options
-    )
+def _publish_enriched(centers, topic, in_order, kind, **options):
+    def handle(trips, batch_id, owner):
+        trips = trips.select(*TRIP.names)
+        rows = clustering.enrich(trips, centers)
+        wire = codec.encode_enriched(order_spread(rows, "dt") if in_order else rows)
+        topics.publish_batch(wire, topic, batch_id, kind, owner, **options)
 
+    return handle
 
-def enrich_sorted(messages, centers, topic, checkpoint, kind="file", **options):
-    """Like ``enrich``, with each batch published in time order.
 
-    For a file topic a batch owns the folder ``batch_id=N``, so a replay replaces
-    it; read such a topic with ``recursiveFileLookup``.
+def enrich(messages, centers, topic, checkpoint, kind="file", dead=None, in_order=False, strict=False, **options):
+    """Decode, assign, join the centre, encode and publish, in one read; lines that do not decode go to ``dead``.
+
+    ``in_order`` publishes each batch in time order. For a file topic a batch owns the folder ``batch_id=N``, so a replay
+    replaces it.
     """
+    handler = _publish_enriched(centers, topic, in_order, kind, **options)
+    lines = decoded_lines(messages, strict)
+    return with_dead_letters(lines, [handler], dead or rejected(topic), checkpoint, kind, **options)
 
-    def publish(trips, batch_id):
-        wire = codec.encode_enriched(order_spread(clustering.enrich(trips, centers), "dt"))
-        if kind == "kafka":
-            topics.publish(wire, topic, kind, **options)
-        else:
-            wire.write.mode("overwrite").text(f"{topic}/batch_id={batch_id}", lineSep="\n")
 
-    return per_batch(codec.good(codec.decode_csv(messages)), publish, checkpoint)
+def enrich_sorted(messages, centers, topic, checkpoint, kind="file", **options):
+    """``enrich`` with each batch published in time order."""
+    return enrich(messages, centers, topic, checkpoint, kind, in_order=True, **options)
 
 
 def reject_lines(messages, topic, checkpoint, kind="file", **options):
-    """Publish the trip lines that do not decode."""
+    """Publish only the trip lines that do not decode."""
     bad = codec.dead_letters(codec.decode_csv(messages))
     return topics.publish_stream(bad, topic, checkpoint, kind, **options)
 
 
-def decode_enriched(messages):
-    return codec.good(codec.decode_json(messages, TRIP_ENRICHED))
-
-
 def write_batch_counts(path):
     """Handler: the batch's own counts, as a cube tagged with its batch id."""
 
-    def handle(batch, batch_id):
-        hourly.cube(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    def handle(batch, batch_id, owner=MANUAL):
+        count_log.write(hourly.cube(batch), path, batch_id, owner)
 
     return handle
 
 
 def batch_counts(trips, path, checkpoint):
-    """Counts of every micro-batch by itself; nothing carries over between batches."""
+    """Counts of every micro-batch by itself; the totals over all batches are their sums."""
     return per_batch(trips.select("dt", "cid"), write_batch_counts(path), checkpoint)
 
 
 def batch_report(spark, path, report):
     """A batch-local report: ``cluster``, ``hour`` or ``windows``, per batch_id."""
     build = {"cluster": hourly.cluster, "hour": hourly.hour, "windows": hourly.windows}[report]
-    return build(spark.read.parquet(path), "batch_id")
+    return build(batch_log.read(spark, path), "batch_id")
+
 
+def window_totals(spark, path):
+    """Running one-hour counts per cluster over all batches: no state, no watermark, no row left out."""
+    windows = hourly.windows(count_log.totals(spark, path, CUBE_COUNTS))
+    return windows.groupBy("cid", "window_start", "window_end").agg(F.sum("count").alias("count"))
 
-def window_counts(trips, watermark=WATERMARK):
-    """Running one-hour counts per cluster over the whole stream.
 
-    A watermark needs TIMESTAMP, so wall-clock times are placed on the UTC line and
-    taken back from it, whatever the session time zone. The watermark bounds the
-    state: windows older than it are dropped from memory.
+def windows_with_watermark(trips, watermark):
+    """Running one-hour counts in state that a watermark bounds: rows later than it are dropped.
+
+    Spark counts them as ``numRowsDroppedByWatermark`` in the progress of the query (``run.rows_dropped``). A watermark
+    needs TIMESTAMP, so wall-clock times are placed on the UTC line and taken back from it, whatever the session time
+    zone.
     """
     since_epoch = "CAST(dt - TIMESTAMP_NTZ '1970-01-01 00:00:00' AS INTERVAL SECOND)"
     on_utc = F.expr(f"timestamp_seconds(CAST({since_epoch} AS DECIMAL(18, 6)))")
@@ -93,7 +135,7 @@ def window_counts(trips, watermark=WATERMARK):
 
 
 def word_counts(lines, column="value"):
-    """Words with their counts; running totals when ``lines`` is a stream."""
+    """Words with their counts."""
     return (
         lines.select(F.explode(text.words(column)).alias("word"))
         .groupBy("word")
@@ -101,11 +143,24 @@ def word_counts(lines, column="value"):
     )
 
 
+def batch_word_counts(lines, path, checkpoint):
+    """Each batch's own word counts; ``word_totals`` adds them up."""
+
+    def handle(batch, batch_id, owner):
+        count_log.write(word_counts(batch), path, batch_id, owner)
+
+    return per_batch(lines, handle, checkpoint)
+
+
+def word_totals(spark, path):
+    return count_log.totals(spark, path)
+
+
 def keep_totals(counts, keys, path, checkpoint):
     """Keep stateful counts in a keyed table: only changed rows are written per batch."""
 
-    def write(batch, batch_id):
-        keyed_table.write_batch(batch, path, keys, batch_id, unique=True)
+    def write(batch, batch_id, owner):
+        keyed_table.write_batch(batch, path, keys, batch_id, unique=True, owner=owner)
 
     return per_batch(counts, write, checkpoint, mode="update", skip_empty=False)
 
@@ -116,23 +171,29 @@ def puts(trips, version):
         text.rowkey("cid", "base", "dt").alias("rowkey"),
         "lat",
         "lon",
-        F.col(version).alias("version"),
+        F.col(version).cast("decimal(38,0)").alias("version"),
     )
 
 
-def write_puts(path, version):
-    def handle(batch, batch_id):
-        keyed_table.write_batch(puts(batch, version), path, ("rowkey",), batch_id, "version")
+def write_puts(path, version=topics.POSITION, unique_version=None):
+    """Handler: upsert the batch; positions of messages are unique, other versions are taken as not unique."""
+    unique = version == topics.POSITION if unique_version is None else unique_version
+
+    def handle(batch, batch_id, owner=MANUAL):
+        rows = puts(topics.numbered(batch) if version == topics.POSITION else batch, version)
+        keyed_table.write_batch(
+            rows, path, ("rowkey",), batch_id, "version", unique_version=unique, owner=owner
+        )
 
     return handle
 
 
-def upsert(trips, path, checkpoint, version="dt"):
-    """Upsert enriched trips into the keyed table, the latest ``version`` of a key winning."""
+def upsert(trips, path, checkpoint, version=topics.POSITION):
+    """Upsert enriched trips into the keyed table, the latest ``version`` of a key winning: by default the last message."""
     return per_batch(trips, write_puts(path, version), checkpoint)
 
 
-def upsert_and_count(trips, table_path, counts_path, checkpoint, version="dt"):
+def upsert_and_count(trips, table_path, counts_path, checkpoint, version=topics.POSITION):
     """Keyed-table upsert and per-batch counts from one read of the stream."""
     handlers = [write_puts(table_path, version), write_batch_counts(counts_path)]
     return fan_out(trips, handlers, checkpoint)

@@ -48,7 +48,7 @@ def test_known_assignments(spark):
     assert clustering.nearest(df, CITY_CENTERS).where("cid != want").count() == 0
 
 
-@pytest.mark.parametrize("k", [1, 8, 20, clustering.UNROLL_LIMIT, clustering.UNROLL_LIMIT + 1])
+@pytest.mark.parametrize("k", [1, 8, 20, clustering.BLOCK, clustering.BLOCK + 1, 120])
 def test_nearest_matches_brute_force_for_any_k(spark, sf_dir, k):
     centers = _grid(k)
     rows = clustering.nearest(queries.trips(spark, sf_dir), centers, "d2").collect()
@@ -123,6 +123,26 @@ def test_refine_keeps_a_centre_without_pickups(spark):
     assert clustering.refine(df, [(1.0, 1.0), (9.0, 9.0)], 2) == [(1.0, 1.0), (9.0, 9.0)]
 
 
+def test_missing_coordinates_get_no_cluster_and_no_weight(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(40.7, -73.9), (40.8, -73.8), (None, -73.9), (40.7, nan), (inf, -73.9)]
+    df = spark.createDataFrame(rows, "lat double, lon double")
+    model = clustering.fit(df, k=2, max_iter=2)
+    assert sorted(clustering.centers_of(model)) == [(40.7, -73.9), (40.8, -73.8)]
+    for assigned in (clustering.predict(model, df), clustering.nearest(df, clustering.centers_of(model))):
+        got = [r["cid"] for r in assigned.collect()]
+        assert sorted(got[:2]) == [0, 1] and got[2:] == [None, None, None]
+        assert assigned.columns == ["lat", "lon", "cid"]
+    assert clustering.first_points(df.coalesce(1), 5, "lat") == [(40.7, -73.9), (40.8, -73.8)]
+
+
+@pytest.mark.parametrize("key", [None, "k"])
+def test_hash_split_puts_nulls_in_one_part(spark, key):
+    df = spark.createDataFrame([(None, None), ("a", 1), ("b", 2)], "k string, n int")
+    split = clustering.hash_split(df, key)
+    assert split.where("in_train IS NULL").isEmpty() and split.count() == 3
+
+
 def test_hash_split_is_stable_under_repartitioning(spark, sf_dir):
     trips = queries.trips(spark, sf_dir)
     one = clustering.hash_split(trips, "event_id").where("in_train").select("event_id")

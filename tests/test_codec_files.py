@@ -32,10 +32,13 @@ def _messages(spark, *values):
             (MIDNIGHT, 40.1, -73.9, None, "2014-08-01 00:00:00,40.1,-73.9"),
         ),
         ("", (None, None, None, None, "")),
+        (GOOD.replace("40.1", "NaN"), (MIDNIGHT, None, -73.9, "B1", GOOD.replace("40.1", "NaN"))),
+        (GOOD.replace("-73.9", "Infinity"), (MIDNIGHT, 40.1, float("inf"), "B1", GOOD.replace("-73.9", "Infinity"))),
     ],
 )
 def test_csv_lines(spark, line, want):
-    assert tuple(codec.decode_csv(_messages(spark, line)).first()) == want
+    got = tuple(codec.decode_csv(_messages(spark, line)).first())
+    assert tuple(None if x != x else x for x in got) == want
 
 
 def test_csv_good_and_dead_letters_partition_the_input(spark):
@@ -62,6 +65,33 @@ def test_json_messages(spark):
     assert (rows[2]["dt"], rows[2]["lat"]) == (MIDNIGHT, 40.5)
 
 
+def test_json_messages_without_content_or_required_fields_are_corrupt(spark):
+    lines = ["", "{}", "null", '{"zz":1}', '{"cid":3}', '{"cid":3,"dt":"2014-08-01 00:00:00","lat":"NaN"}']
+    rows = codec.decode_json(_messages(spark, *lines), TRIP_CLUSTERED, required=("dt", "cid")).collect()
+    assert [r["_corrupt"] for r in rows] == lines
+    good = codec.decode_json(_messages(spark, '{"cid":3}'), TRIP_CLUSTERED).first()
+    assert (good["cid"], good["_corrupt"]) == (3, None)
+
+
+def test_times_with_and_without_an_offset(spark, tmp_path):
+    lines = [
+        '{"dt":"2014-08-01 00:00:00","cid":1}',
+        '{"dt":"2014-08-01T00:00:00.000-07:00","cid":2}',
+        '{"dt":"2014-08-01T00:00:00Z","cid":3}',
+        '{"dt":"noon","cid":4}',
+        '{"dt":"2014-08-01 00:00:00","lat":"x","cid":5}',
+        '{"cid":6}',
+    ]
+    (tmp_path / "t.json").write_text("\n".join(lines))
+    rows = {r["cid"]: r for r in files.json_scan(spark, str(tmp_path / "t.json"), corrupt=True).collect()}
+    assert [rows[i]["dt"] for i in (1, 2, 3, 4, 6)] == [MIDNIGHT] * 3 + [None, None]
+    assert [rows[i]["_corrupt"] for i in (1, 2, 3, 4, 6)] == [None, None, None, "noon", None]
+    assert rows[5]["_corrupt"] == lines[4]
+    (tmp_path / "t.csv").write_text("2014-08-01 00:00:00,40.1,-73.9,B\n2014-08-01T00:00:00+02:00,x,-73.9,B\n")
+    got = files.csv_scan(spark, str(tmp_path / "t.csv"), corrupt=True).collect()
+    assert [r["dt"] for r in got] == [MIDNIGHT] * 2 and got[0]["_corrupt"] is None and got[1]["_corrupt"]
+
+
 def test_wire_format(spark, sf_dir):
     row = spark.createDataFrame(
         [(MIDNIGHT, 40.5, -73.9, 3, 40.6, -74.0, "B1"), (MIDNIGHT, 40.5, -73.9, 3, 40.6, -74.0, None)],

@@ -11,7 +11,8 @@ from kerbline.operators import clustering, hourly, reports
 from kerbline.operators.centers import CITY_CENTERS
 from kerbline.plans import queries
 from kerbline.session import scratch_dir
-from kerbline.sources import keyed_table
+from kerbline.sources import batch_log, keyed_table
+from kerbline.streaming import jobs
 
 HOTSPOT_METHOD_LIMIT = 8000
 
@@ -51,13 +52,21 @@ def test_filter_on_the_cluster_stays_above_the_assignment(spark, sf_dir):
     assert plan.count("Filter") == 1 and plan.index("Filter") < plan.index("Generate")
 
 
-def test_largest_unrolled_assignment_compiles(spark, sf_dir):
-    centers = [(40.5 + i / 1000, -74.2 + i / 1000) for i in range(clustering.UNROLL_LIMIT)]
-    rows = clustering.nearest(queries.trips(spark, sf_dir), centers)
+@pytest.mark.parametrize("k", [50, 101, 500])
+def test_assignment_compiles_for_any_number_of_centres(spark, sf_dir, k):
+    rows = clustering.nearest(queries.trips(spark, sf_dir), queries.many_centers(k))
     sizes = re.findall(r"maxMethodCodeSize:(\d+)", _explain(rows, "codegen"))
     assert sizes and max(map(int, sizes)) < HOTSPOT_METHOD_LIMIT
 
 
+def test_upsert_by_position_hash_aggregates(spark, sf_dir, monkeypatch):
+    plans = []
+    monkeypatch.setattr(batch_log, "append", lambda df, *a: plans.append(_explain(df)))
+    write = jobs.write_puts("unused", "event_id", unique_version=True)
+    write(queries.keyed(queries.trips(spark, sf_dir)), 0)
+    assert "SortAggregate" not in plans[0] and "partial_max_by" in plans[0]
+
+
 def test_centre_join_is_a_broadcast_join(spark, sf_dir, monkeypatch):
     plan = _explain(queries.enrich_join(spark, sf_dir))
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan

@@ -10,7 +10,7 @@ from kerbline.operators import clustering, reports
 from kerbline.operators.centers import CITY_CENTERS
 from kerbline.plans import queries
 from kerbline.schemas import TRIP_ENRICHED
-from kerbline.sources import keyed_table, topics
+from kerbline.sources import count_log, keyed_table, tables, topics
 from kerbline.streaming import jobs, run
 
 GOOD = "2014-08-01 00:00:00,40.7,-73.9,B1"
@@ -66,24 +66,25 @@ def test_kafka_needs_the_connector(spark):
 def test_sorted_enrich_orders_each_batch_and_replay_replaces_it(spark, tmp_path):
     lines, out = str(tmp_path / "lines"), str(tmp_path / "out")
     _send(spark, lines, *[GOOD.replace("00:00:00", f"00:{m:02d}:00") for m in (30, 10, 20)])
-    source = topics.subscribe(spark, lines)
-    for checkpoint in ("cp", "cp-lost"):
-        run.drain(jobs.enrich_sorted(source, CITY_CENTERS, out, str(tmp_path / checkpoint)))
-        rows = jobs.decode_enriched(topics.read(spark, out, recursiveFileLookup=True)).collect()
+    publish = jobs._publish_enriched(CITY_CENTERS, out, True, "file")
+    trips = codec.good(codec.decode_csv(topics.read(spark, lines)))
+    for _ in range(2):
+        publish(trips, 0, "q")
+        rows = jobs.decode_enriched(topics.read(spark, out)).collect()
         assert [r["dt"].minute for r in rows] == [10, 20, 30]
+    with pytest.raises(PermissionError):
+        publish(trips, 0, "another")
 
 
-def test_batch_counts_are_batch_local_and_running_counts_are_not(spark, tmp_path):
+def test_batch_counts_are_batch_local_and_their_totals_run(spark, tmp_path):
     topic = str(tmp_path / "topic")
     base = str(tmp_path)
-    keys = ("cid", "window_start", "window_end")
 
     def once():
         trips = jobs.decode_enriched(topics.subscribe(spark, topic))
         run.drain(jobs.batch_counts(trips, f"{base}/batch", f"{base}/cp1"))
-        run.drain(jobs.keep_totals(jobs.window_counts(trips), keys, f"{base}/total", f"{base}/cp2"))
 
-    _send(spark, topic, _enriched(spark, 1, 7), _enriched(spark, 2, 7), "junk")
+    _send(spark, topic, _enriched(spark, 1, 7, hour=9), _enriched(spark, 2, 7), "junk")
     once()
     _send(spark, topic, _enriched(spark, 3, 7), _enriched(spark, 4, 8))
     once()
@@ -94,13 +95,79 @@ def test_batch_counts_are_batch_local_and_running_counts_are_not(spark, tmp_path
         (1, 8, 1),
     ]
     hours = jobs.batch_report(spark, f"{base}/batch", "hour").collect()
-    assert sorted((r["batch_id"], r["hr"], r["ct"]) for r in hours) == [(0, 0, 2), (1, 0, 2)]
-    total = keyed_table.latest(spark, f"{base}/total", keys).collect()
+    assert sorted((r["batch_id"], r["hr"], r["ct"]) for r in hours) == [(0, 0, 1), (0, 9, 1), (1, 0, 2)]
     start = dt.datetime(2014, 8, 1)
-    assert sorted((r["cid"], r["window_start"], r["count"]) for r in total) == [
-        (7, start, 3),
-        (8, start, 1),
+    want = [(7, start, 2), (7, start + dt.timedelta(hours=9), 1), (8, start, 1)]
+    for _ in range(2):
+        total = jobs.window_totals(spark, f"{base}/batch").collect()
+        assert sorted((r["cid"], r["window_start"], r["count"]) for r in total) == want
+        assert count_log.compact(spark, f"{base}/batch", jobs.CUBE_COUNTS) == 0
+
+
+def test_a_second_owner_is_refused(spark, tmp_path):
+    topic, base = str(tmp_path / "topic"), str(tmp_path)
+    _send(spark, topic, _enriched(spark, 1, 7))
+    source = topics.subscribe(spark, topic, position=True)
+    trips = jobs.decode_enriched(source)
+    run.drain(jobs.upsert_and_count(trips, f"{base}/kv", f"{base}/counts", f"{base}/cp1"))
+    for writer in (
+        jobs.upsert(trips, f"{base}/kv", f"{base}/cp2"),
+        jobs.batch_counts(trips, f"{base}/counts", f"{base}/cp3"),
+    ):
+        with pytest.raises(Exception, match="belongs to query"):
+            run.drain(writer)
+    assert keyed_table.latest(spark, f"{base}/kv").count() == 1
+
+
+def test_last_message_of_a_key_wins(spark, tmp_path):
+    topic, base = str(tmp_path / "topic"), str(tmp_path)
+    line = _enriched(spark, 1, 7)
+    _send(spark, topic, line.replace("40.7", "40.9"), line.replace("40.7", "40.1"))
+    time.sleep(1.1)
+    _send(spark, topic, line.replace("40.7", "40.5"))
+    trips = jobs.decode_enriched(topics.subscribe(spark, topic, position=True))
+    run.drain(jobs.upsert(trips, f"{base}/kv", f"{base}/cp"))
+    assert [r["lat"] for r in keyed_table.latest(spark, f"{base}/kv").collect()] == [40.5]
+    _send(spark, topic, line.replace("40.7", "40.3"), line.replace("40.7", "40.2"))
+    run.drain(jobs.upsert(trips, f"{base}/kv", f"{base}/cp"))
+    assert [r["lat"] for r in keyed_table.latest(spark, f"{base}/kv").collect()] == [40.2]
+
+
+def test_one_read_gives_good_rows_and_dead_letters(spark, tmp_path):
+    topic, base = str(tmp_path / "topic"), str(tmp_path)
+    bad = ["junk", "{}", "", '{"cid":1}', _enriched(spark, 1, 7).replace("40.7", "NaN")]
+    _send(spark, topic, _enriched(spark, 1, 7), *bad)
+    decoded = jobs.decoded_enriched(topics.subscribe(spark, topic, position=True))
+    run.drain(jobs.with_dead_letters(decoded, [jobs.write_puts(f"{base}/kv")], f"{base}/dead", f"{base}/cp"))
+    assert [r["rowkey"] for r in keyed_table.latest(spark, f"{base}/kv").collect()] == [
+        "7_B1_2014-08-01 00:01:00"
     ]
+    assert _values(topics.read(spark, f"{base}/dead")) == sorted(bad)
+    strict = jobs.decoded_enriched(topics.subscribe(spark, topic), strict=True)
+    with pytest.raises(Exception, match="malformed message"):
+        run.drain(jobs.with_dead_letters(strict, [jobs.write_batch_counts(f"{base}/c")], f"{base}/d", f"{base}/cp2"))
+
+
+@pytest.mark.parametrize("name", ["stream_kv_upsert", "stream_word_count", "stream_enrich", "stream_enrich_sorted"])
+def test_streams_are_right_in_several_micro_batches(spark, tmp_path, monkeypatch, name):
+    folder = tmp_path / "sf"
+    for table in ("events", "documents"):
+        rows = spark.read.parquet(f"/root/testdata/sf0.001/{table}.parquet").limit(90)
+        rows.repartition(3).write.parquet(str(folder / f"{table}.parquet"))
+    whole = queries.QUERIES[name](spark, str(folder))
+    want = sorted(map(tuple, whole.collect()), key=repr)
+    one_table, one_topic = tables.stream_table, topics.subscribe
+
+    def in_parts(session, sf_dir, table):
+        schema = spark.read.parquet(f"{sf_dir}/{table}.parquet").schema
+        reader = session.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+        return reader.parquet(f"{sf_dir}/{table}.parquet")
+
+    monkeypatch.setattr(tables, "stream_table", in_parts)
+    monkeypatch.setattr(topics, "subscribe", lambda s, t, **k: one_topic(s, t, **{**k, "maxFilesPerTrigger": 1}))
+    parts = queries.QUERIES[name](spark, str(folder))
+    assert one_table is not in_parts
+    assert sorted(map(tuple, parts.collect()), key=repr) == want
 
 
 def test_append_mode_emits_closed_windows_and_drops_late_rows(spark, tmp_path):
@@ -116,7 +183,7 @@ def test_append_mode_emits_closed_windows_and_drops_late_rows(spark, tmp_path):
         _send(spark, topic, *wave)
         trips = jobs.decode_enriched(topics.subscribe(spark, topic))
         run.drain(
-            jobs.window_counts(trips)
+            jobs.windows_with_watermark(trips, "10 minutes")
             .writeStream.outputMode("append")
             .format("parquet")
             .option("path", f"{base}/out")
@@ -131,14 +198,15 @@ def test_append_mode_emits_closed_windows_and_drops_late_rows(spark, tmp_path):
     ]
 
 
-def test_word_totals_over_two_batches(spark, tmp_path):
+def test_word_totals_over_three_batches_and_a_compaction(spark, tmp_path):
     topic, base = str(tmp_path / "topic"), str(tmp_path)
-    for lines in (["a b a"], ["b  c ", "d"]):
+    for lines in (["a b a"], ["b  c ", "d"], ["a"]):
         _send(spark, topic, *lines)
-        counts = jobs.word_counts(topics.subscribe(spark, topic))
-        run.drain(jobs.keep_totals(counts, ("word",), f"{base}/out", f"{base}/cp"))
-    got = keyed_table.latest(spark, f"{base}/out", ("word",)).collect()
-    assert {r["word"]: r["count"] for r in got} == {"a": 2, "b": 2, "": 1, "c": 1, "d": 1}
+        run.drain(jobs.batch_word_counts(topics.subscribe(spark, topic), f"{base}/out", f"{base}/cp"))
+    want = {"a": 3, "b": 2, "": 1, "c": 1, "d": 1}
+    assert {r["word"]: r["count"] for r in jobs.word_totals(spark, f"{base}/out").collect()} == want
+    assert count_log.compact(spark, f"{base}/out") == 1
+    assert {r["word"]: r["count"] for r in jobs.word_totals(spark, f"{base}/out").collect()} == want
 
 
 def test_empty_batches_are_skipped(spark, tmp_path):
@@ -146,11 +214,11 @@ def test_empty_batches_are_skipped(spark, tmp_path):
     topic = str(tmp_path / "topic")
     _send(spark, topic, "junk")
     trips = jobs.decode_enriched(topics.subscribe(spark, topic))
-    run.drain(run.per_batch(trips, lambda b, i: seen.append(i), str(tmp_path / "cp")))
-    run.drain(run.fan_out(trips, [lambda b, i: seen.append(i)], str(tmp_path / "cp2")))
+    run.drain(run.per_batch(trips, lambda b, i, o: seen.append(i), str(tmp_path / "cp")))
+    run.drain(run.fan_out(trips, [lambda b, i, o: seen.append(i)], str(tmp_path / "cp2")))
     assert seen == []
     _send(spark, topic, _enriched(spark, 1, 7))
-    run.drain(run.per_batch(trips, lambda b, i: seen.append(i), str(tmp_path / "cp")))
+    run.drain(run.per_batch(trips, lambda b, i, o: seen.append(i), str(tmp_path / "cp")))
     assert seen == [1]
 
 
@@ -226,7 +294,7 @@ def test_running_windows_follow_wall_clock_in_any_session_zone(spark, tmp_path,
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
-        counts = jobs.window_counts(jobs.decode_enriched(topics.subscribe(spark, topic)))
+        counts = jobs.windows_with_watermark(jobs.decode_enriched(topics.subscribe(spark, topic)), "10 minutes")
         run.drain(jobs.keep_totals(counts, keys, f"{base}/out", f"{base}/cp"))
         got = keyed_table.latest(spark, f"{base}/out", keys).collect()
     finally:
