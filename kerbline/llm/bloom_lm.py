@@ -1,17 +1,19 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Counts of tokens and of adjacent pairs are quantised to powers of two: level j stands for counts from 2^j up to 2^(j+1).
+Counts of tokens and of adjacent pairs are quantised to powers of two: level j stands for counts from 2^(j-1) up to 2^j.
 An n-gram of level j is entered as (n-gram, 1) to (n-gram, j), so its level is found by probing 1, 2, ... until a probe
-fails. The filter is cut into blocks of 64 KB; all entries of an n-gram are in one block, blocks are built in parallel,
-and the whole is broadcast. Its size is bounded by ``MAX_BYTES``: if the n-grams that occur twice or more do not fit, the
-lowest levels are left out, as with the count cut-off of any pruned model, and found counts start at the first level kept.
+fails. Pairs count from the second time on. The filter is cut into blocks of 64 KB; all entries of an n-gram are in one
+block, blocks are built in parallel, and the whole is broadcast. Its size is bounded by ``MAX_BYTES``: if the n-grams do
+not fit, the lowest levels are left out, as with the count cut-off of any pruned model, and found counts start at the
+first level kept.
 
 The model interpolates pairs with single tokens: P(w|u) = l * c(uw)/c(u) + (1 - l) * P(w), l = c(u) / (c(u) + KAPPA),
 P(w) = (c(w) + ALPHA) / (N + ALPHA * (V + 1)), with the counts that the filter gives. A text's score is the sum of log10 P
 over its tokens and the end, which is also what the first token follows.
 
-The base score is exact. The ``HEAD`` most frequent tokens are broadcast with their counts; what else a text holds is
-joined with the table of all counts, a few rare tokens per text.
+The base score uses exact counts. Tokens are told apart by 63-bit hashes: among V of them any two share one with a chance of
+V^2 / 2^64. The ``HEAD`` most frequent tokens are broadcast with their counts; what else a text holds is joined with the
+table of all counts, a few rare tokens per text.
 
 Edge cases: null text counts as empty and has one token, the end; without training texts N and V are 0 and all scores 0;
 repeated rows are separate texts; a null doc_id hashes as empty text; texts of any length are scored whole, tokens of any
@@ -24,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbline.llm.buffers import LOWER, SYMBOL_CODES, Hasher, column, mix, parts, word_bounds
+from kerbline.llm.buffers import LOWER, SYMBOL_CODES, Hasher, mix, parts, word_bounds
 from kerbline.llm.frames import as_text, mapped, written
 
 END = b"\n"  # no word holds white space
@@ -33,71 +35,41 @@ HEAD = 1 << 20
 MAX_BYTES = 32 << 20
 BLOCK_BYTES = 1 << 16
 BITS_PER_ENTRY, PROBES = 10, 6
+SPOTS = np.uint64(8 * BLOCK_BYTES - 1)
 PAIR = np.uint64(0x9FB21C651E98DF25)
-FLUSH = 300_000
+#: Codes of tokens are even, those of pairs odd.
+TOKEN = np.uint64((1 << 64) - 2)
+
+
+def _hashes(data, starts, ends):
+    return mix(Hasher(SYMBOL_CODES[data]).of(starts, ends)) & TOKEN
 
 
 def _token_codes(data, offsets):
-    """(codes, starts, ends, rows) of all tokens in text order; the end of a text has an empty span."""
+    """(codes, rows) of all tokens in text order; the end of a text is its last token."""
     starts, ends, rows = word_bounds(data, offsets)
     n_rows = len(offsets) - 1
-    words = mix(Hasher(SYMBOL_CODES[data]).of(starts, ends))
     last = np.cumsum(np.bincount(rows, minlength=n_rows))
-    codes = np.insert(words, last, END_CODE)
-    return codes, np.insert(starts, last, offsets[1:]), np.insert(ends, last, offsets[1:]), np.insert(rows, last, np.arange(n_rows))
-
-
-def codes_of(tokens):
-    """Codes of a binary Arrow column of tokens."""
-    data, offsets = column(pa.RecordBatch.from_arrays([tokens], ["t"]), "t")
-    return mix(Hasher(SYMBOL_CODES[data]).of(offsets[:-1], offsets[1:]))
+    return np.insert(_hashes(data, starts, ends), last, END_CODE), np.insert(rows, last, np.arange(n_rows))
 
 
-END_CODE = codes_of(pa.array([END]))[0]
+END_CODE = _hashes(np.frombuffer(END, np.uint8), np.array([0]), np.array([len(END)]))[0]
 
 
 def _pair_codes(codes, rows):
     """Code of each token with the one before it; the first follows the end."""
     before = np.full(len(codes), END_CODE, np.uint64)
     before[1:] = np.where(rows[1:] == rows[:-1], codes[:-1], END_CODE)
-    return before, mix(before * PAIR + codes)
+    return mix(before * PAIR + codes) | np.uint64(1)
 
 
-def _count_tokens(batches):
-    counts = {}
-
-    def rows():
-        out = pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["token", "n"]
-        )
-        counts.clear()
-        return out
-
+def _count(batches):
+    """(code, n) of the tokens and pairs of each chunk."""
     for batch in batches:
         for _, _, data, offsets in parts(batch, "text"):
-            codes, starts, ends, _ = _token_codes(LOWER[data], offsets)
-            raw = LOWER[data].tobytes()
-            _, first, sizes = np.unique(codes, return_index=True, return_counts=True)
-            for a, b, n in zip(starts[first].tolist(), ends[first].tolist(), sizes.tolist()):
-                token = raw[a:b] or END
-                counts[token] = counts.get(token, 0) + n
-        if len(counts) > FLUSH:
-            yield rows()
-    yield rows()
-
-
-def _count_pairs(batches):
-    for batch in batches:
-        for _, _, data, offsets in parts(batch, "text"):
-            codes, _, _, rows = _token_codes(LOWER[data], offsets)
-            found, n = np.unique(_pair_codes(codes, rows)[1], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["code", "n"])
-
-
-def _coded(batches):
-    for batch in batches:
-        codes = codes_of(batch.column("token")).view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(codes), batch.column("n")], ["code", "n"])
+            codes, rows = _token_codes(LOWER[data], offsets)
+            for found, n in (np.unique(x, return_counts=True) for x in (codes, _pair_codes(codes, rows))):
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["code", "n"])
 
 
 class Filter:
@@ -109,13 +81,17 @@ class Filter:
     def levels(self, codes):
         """Level of each n-gram, 0 where it is not held: probes of rising levels until one fails."""
         out = np.zeros(len(codes), np.int64)
+        if not self.blocks:
+            return out
+        base = block_of(codes, self.blocks) * BLOCK_BYTES
         alive, level = np.arange(len(codes)), 1
-        base = block_of(codes, self.blocks) * BLOCK_BYTES if self.blocks else None
-        while len(alive) and self.blocks:
-            for i in range(PROBES):
-                spot = spot_of(codes[alive], level, i)
-                hit = (self.bits[base[alive] + (spot >> 3)] >> (spot & 7).astype(np.uint8)) & 1
-                alive = alive[hit.astype(bool)]
+        while len(alive):
+            spot, step = spot_of(codes[alive], level)
+            for _ in range(PROBES):
+                place = (spot & SPOTS).astype(np.int64)
+                hit = (self.bits[base[alive] + (place >> 3)] >> (place & 7).astype(np.uint8)) & 1 > 0
+                alive, spot, step = alive[hit], spot[hit], step[hit]
+                spot = spot + step
             out[alive] = level
             level += 1
         return np.where(out > 0, out + self.floor - 1, 0)
@@ -123,18 +99,17 @@ class Filter:
     def counts(self, codes):
         """Middle of the counts that each level stands for."""
         level = self.levels(codes)
-        return np.where(level > 0, 2.0 ** (level + 0.5), 0.0)
+        return np.where(level > 0, 2.0 ** (level - 0.5), 0.0)
 
 
 def block_of(codes, blocks):
     return ((codes >> np.uint64(32)) % np.uint64(max(blocks, 1))).astype(np.int64)
 
 
-def spot_of(codes, level, probe):
-    """The bit inside its block that a probe of (n-gram, level) sets or tests."""
+def spot_of(codes, level):
+    """First bit of (n-gram, level) inside its block, and the step to the bits of the further probes; modulo the block."""
     code = mix(codes + np.uint64(level * int(PAIR) & (1 << 64) - 1))
-    step = (code >> np.uint64(40)) | np.uint64(1)
-    return ((code + np.uint64(probe) * step) & np.uint64(8 * BLOCK_BYTES - 1)).astype(np.int64)
+    return code, (code >> np.uint64(40)) | np.uint64(1)
 
 
 def _fill(blocks, floor):
@@ -143,9 +118,11 @@ def _fill(blocks, floor):
         level = table.column("level").to_numpy() - floor + 1
         bits = np.zeros(BLOCK_BYTES, np.uint8)
         for j in range(1, int(level.max()) + 1):
-            for i in range(PROBES):
-                spot = spot_of(codes[level >= j], j, i)
-                np.bitwise_or.at(bits, spot >> 3, (1 << (spot & 7)).astype(np.uint8))
+            spot, step = spot_of(codes[level >= j], j)
+            for _ in range(PROBES):
+                place = (spot & SPOTS).astype(np.int64)
+                np.bitwise_or.at(bits, place >> 3, (1 << (place & 7)).astype(np.uint8))
+                spot = spot + step
         number = block_of(codes[:1], blocks)
         return pa.table({"block": pa.array(number), "bits": pa.array([bits.tobytes()], pa.binary())})
 
@@ -181,27 +158,43 @@ class Model:
         order = np.argsort(codes)
         self.grams, self.n, self.v = grams, n, v
         self.codes, self.counts = codes[order], counts[order]
+        self.quantised = self.slots = None
+
+    def ready(self):
+        """Once in a worker: where codes with the same leading bits begin, and the filter's counts of frequent tokens."""
+        if self.slots is None:
+            bits = max(1, len(self.codes).bit_length())
+            self.shift = np.uint64(64 - bits)
+            self.slots = np.searchsorted(self.codes >> self.shift, np.arange((1 << bits) + 1))
+            self.quantised = self.grams.counts(self.codes)
+        return self
+
+    def place(self, codes):
+        """Index of each code among the frequent tokens, or -1: by its leading bits, then step by step."""
+        out = np.full(len(codes), -1)
+        lead = (codes >> self.shift).astype(np.int64)
+        at, stop = self.slots[lead], self.slots[lead + 1]
+        alive = np.flatnonzero(at < stop)
+        while len(alive):
+            same = self.codes[at[alive]] == codes[alive]
+            out[alive[same]] = at[alive[same]]
+            alive = alive[~same]
+            at[alive] += 1
+            alive = alive[at[alive] < stop[alive]]
+        return out
 
-    def exact(self, codes):
-        """Exact count of each frequent token, 0 for the others."""
-        if not len(self.codes):
-            return np.zeros(len(codes), np.int64)
-        spot = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-        return np.where(self.codes[spot] == codes, self.counts[spot], 0)
-
-    def log_probabilities(self, codes, rows):
+    def log_probabilities(self, codes, rows, place):
         """log10 of the model's probability of each token after the one before it."""
-        unique, back = np.unique(codes, return_inverse=True)
-        single = self.grams.counts(unique)
+        own = np.zeros(len(codes))
+        known = place >= 0
+        own[known] = self.quantised[place[known]]
+        own[~known] = self.grams.counts(codes[~known])
         end = self.grams.counts(np.array([END_CODE]))[0]
-        own = single[back]
-        first = np.ones(len(codes), bool)
-        first[1:] = rows[1:] != rows[:-1]
-        context = np.where(first, end, np.concatenate([[end], own[:-1]]))
-        _, pairs = _pair_codes(codes, rows)
+        context = np.full(len(codes), end)
+        context[1:] = np.where(rows[1:] == rows[:-1], own[:-1], end)
         joint = np.zeros(len(codes))
         both = (own > 0) & (context > 0)  # a pair is held only if both its tokens are
-        joint[both] = np.minimum(self.grams.counts(pairs[both]), context[both])
+        joint[both] = np.minimum(self.grams.counts(_pair_codes(codes, rows)[both]), context[both])
         weight = context / (context + KAPPA)
         alone = (own + ALPHA) / (self.n + ALPHA * (self.v + 1))
         share = np.divide(joint, context, out=np.zeros(len(codes)), where=context > 0)
@@ -210,8 +203,11 @@ class Model:
 
 def train(texts, max_bytes=MAX_BYTES, head=HEAD):
     """(model, table of all token counts, count from which tokens are in the model) from column ``text`` (bytes)."""
-    counts = mapped(texts.select("text"), _count_tokens, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    counts = written(counts, "tokens")
+    grams = mapped(texts.select("text"), _count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    is_token = F.col("code").bitwiseAND(1) == 0
+    # pairs seen once say little and are most of all pairs: the model leaves them out
+    grams = written(grams.where(is_token | (F.col("n") > 1)), "grams")
+    counts = grams.where(is_token)
     totals = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     octave = F.floor(F.log2("n") * 16)
     steps = counts.groupBy(octave.alias("octave")).agg(F.count("*").alias("v"), F.min("n").alias("n"))
@@ -222,13 +218,10 @@ def train(texts, max_bytes=MAX_BYTES, head=HEAD):
             break
         least = r["n"]
     frequent = counts.where(F.col("n") >= least).toArrow()
-    level = F.floor(F.log2("n")).cast("int").alias("level")
-    pairs = mapped(texts.select("text"), _count_pairs, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    singles = mapped(counts.where("n > 1"), _coded, "code long, n long")
-    grams = written(pairs.where("n > 1").unionByName(singles).select("code", level), "grams")
-    codes = codes_of(frequent.column("token").combine_chunks().cast(pa.binary()))
-    known = frequent.column("n").to_numpy()
-    return Model(build_filter(grams, max_bytes), totals["n"] or 0, totals["v"], codes, known), counts, least
+    level = (F.floor(F.log2("n")) + 1).cast("int").alias("level")
+    bits = build_filter(grams.select("code", level), max_bytes)
+    codes = frequent.column("code").to_numpy().view(np.uint64)
+    return Model(bits, totals["n"] or 0, totals["v"], codes, frequent.column("n").to_numpy()), counts, least
 
 
 def score(docs, model, counts, least):
@@ -240,36 +233,37 @@ def score(docs, model, counts, least):
     schema = slim.drop("text").schema
     for name, kind in (("rid", "long"), ("n_tokens", "long"), ("known", "long"), ("base", "double"), ("score", "double")):
         schema = schema.add(name, kind)
-    schema = schema.add("rare", T.ArrayType(T.BinaryType()))
+    schema = schema.add("rare", T.ArrayType(T.LongType()))
     scale = model.n + ALPHA * (model.v + 1)
 
     def run(batches):
-        model, rid = shared.value, TaskContext.get().partitionId() << 33
+        model, rid = shared.value.ready(), TaskContext.get().partitionId() << 33
         for batch in batches:
             for low, high, data, offsets in parts(batch, "text"):
-                data, n = LOWER[data], high - low
-                codes, starts, ends, rows = _token_codes(data, offsets)
-                exact = model.exact(codes)
-                rare = np.flatnonzero(exact == 0)
-                base = np.where(exact > 0, np.log10((exact + ALPHA) / scale), 0.0)
-                raw = data.tobytes()
-                tokens = [raw[a:b] or END for a, b in zip(starts[rare].tolist(), ends[rare].tolist())]
-                cuts = np.searchsorted(rows[rare], np.arange(n + 1)).astype(np.int32)
+                n = high - low
+                codes, rows = _token_codes(LOWER[data], offsets)
+                place = model.place(codes)
+                known = place >= 0
+                base = np.zeros(len(codes))
+                base[known] = np.log10((model.counts[place[known]] + ALPHA) / scale)
+                rare = codes[~known].view(np.int64)
+                cuts = np.searchsorted(rows[~known], np.arange(n + 1)).astype(np.int32)
+                logs = model.log_probabilities(codes, rows, place)
                 values = [
                     batch.column("doc").slice(low, n),
                     pa.array(np.arange(rid, rid + n)),
                     pa.array(np.bincount(rows, minlength=n)),
-                    pa.array(np.bincount(rows, weights=exact > 0, minlength=n).astype(np.int64)),
+                    pa.array(np.bincount(rows, weights=known, minlength=n).astype(np.int64)),
                     pa.array(np.bincount(rows, weights=base, minlength=n)),
-                    pa.array(np.bincount(rows, weights=model.log_probabilities(codes, rows), minlength=n)),
-                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(tokens, pa.binary())),
+                    pa.array(np.bincount(rows, weights=logs, minlength=n)),
+                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(rare)),
                 ]
                 rid += n
                 yield pa.RecordBatch.from_arrays(values, ["doc", "rid", "n_tokens", "known", "base", "score", "rare"])
 
     scored = written(mapped(slim, run, schema), "scored")
-    rare = scored.select("rid", F.explode("rare").alias("token"))
-    seen = rare.join(counts.where(F.col("n") < least), "token", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    rare = scored.select("rid", F.explode("rare").alias("code"))
+    seen = rare.join(counts.where(F.col("n") < least), "code", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     rest = seen.groupBy("rid").agg(
         F.sum((F.col("n") > 0).cast("long")).alias("more"), F.sum(F.log10((F.col("n") + ALPHA) / scale)).alias("rest")
     )
