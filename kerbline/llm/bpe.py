@@ -29,7 +29,8 @@ from kerbline.llm import buffers
 from kerbline.llm.frames import as_text, fresh, mapped, schema_with
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-CACHE = 500_000
+CACHE = 150_000
+CHUNK = 1 << 20
 LETTER, NUMBER, OTHER, SPACE = range(4)
 #: Symbols of the automaton; FIRST is added for the first code point of a text.
 S_LETTER, S_NUMBER, S_OTHER, S_SHORT, S_LONG, S_INNER, S_LAST, S_BLANK, FIRST = *range(8), 8
@@ -280,7 +281,7 @@ def encode(docs, path=None):
     def run(batches):
         own = codec(path)
         for batch in batches:
-            for low, high, data, offsets in buffers.parts(batch, raw):
+            for low, high, data, offsets in buffers.parts(batch, raw, CHUNK):
                 ids, starts, per_row = own.encode(data, offsets)
                 values = {"ids": _binaries(ids, 4 * per_row), "starts": _binaries(starts, 4 * per_row)}
                 yield buffers.with_columns(batch.slice(low, high - low).drop_columns([raw]), values)
@@ -296,7 +297,7 @@ def decode(encoded, path=None):
     def run(batches):
         own = codec(path)
         for batch in batches:
-            for low, high, ids, offsets in buffers.parts(batch, "ids"):
+            for low, high, ids, offsets in buffers.parts(batch, "ids", CHUNK):
                 starts, spots = buffers.column(batch.slice(low, high - low), "starts")
                 starts = starts[spots[0] : spots[-1]]
                 out, n_bytes = own.decode(ids.tobytes(), starts.tobytes(), np.diff(offsets) // 4)
