@@ -150,7 +150,8 @@ def narrow(units):
     """(repeated, alive): units repeated as a whole, and one unit of each span in groups that have several."""
     units = held(units)
     cores = units.groupBy("core").agg(F.count("*").alias("n"), F.min("span").alias("low"), F.max("span").alias("high"))
-    cores = cores.where("n > 1").select("core", (F.col("low") != F.col("high")).alias("several"))
+    # written, so that both sides of the join are plain exchanges, of which adaptive execution splits the large ones
+    cores = written(cores.where("n > 1").select("core", (F.col("low") != F.col("high")).alias("several")), "cores")
     shared = written(units.join(cores, "core"), "shared")
     units.unpersist()
     spans = shared.groupBy("core", "span", "several").agg(
