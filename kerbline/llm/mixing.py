@@ -102,16 +102,18 @@ def assign(docs, weights=WEIGHTS, share=SHARE, passes=PASSES, schedules=SCHEDULE
     )
     placed = written(placed.withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(0)), "placed")
 
+    # small tables, one row per source, are written: joins with them are broadcast within the session's bound, or split
     gaps = placed.groupBy("skey").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("gap"))
+    gaps = written(gaps, "gaps")
     near = placed.where("size > 0").join(gaps, "skey")
     can = (F.col("gap") > 0) & (F.col("copies") < passes) | (F.col("gap") < 0) & (F.col("copies") > 0)
     off = F.abs(F.abs("gap") - F.col("size"))
     near = near.where(can & (off < F.abs("gap"))).groupBy("skey").agg(F.min(off).alias("least"), F.first("gap").alias("gap"))
-    fitting = placed.where("size > 0").join(near, "skey")
+    fitting = placed.where("size > 0").join(written(near, "near"), "skey")
     can_now = (F.col("gap") > 0) & (F.col("copies") < passes) | (F.col("gap") < 0) & (F.col("copies") > 0)
     fitting = fitting.where(can_now & (F.abs(F.abs("gap") - F.col("size")) == F.col("least")))
     fitting = fitting.groupBy("skey").agg(F.min("start").alias("start"), F.first(F.signum("gap")).cast("int").alias("change"))
-    fitting = fitting.withColumn("chosen", F.lit(True))
+    fitting = written(fitting.withColumn("chosen", F.lit(True)), "fitting")
     out = placed.join(fitting, ["skey", "start"], "left")
     change = F.when(F.col("chosen") & (F.col("size") > 0), F.col("change")).otherwise(0)
     out = out.withColumn("copies", (F.col("copies") + change).cast("int"))
