@@ -26,7 +26,7 @@ def simhash_near_dedup(spark, docs, sf_dir):
 
 def mixing_stage(spark, docs, sf_dir):
     """Documents in training order, each as often as the mix takes it."""
-    return mixing.mix(docs).select(*[f"`{c}`" for c in docs.columns])
+    return mixing.mix(docs).select("doc.*")
 
 
 def byte_bpe(spark, docs, sf_dir):

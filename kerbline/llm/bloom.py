@@ -54,10 +54,11 @@ def split(df, key, keys, of_keys, max_blocks=MAX_BLOCKS):
     return probed.where(~F.col("maybe")).select("row.*"), probed.where("maybe").select("row.*")
 
 
-def without(rows, dropped, columns):
-    """``rows`` (with file and row) but for those at the dropped locators; texts that surely stay are not shuffled."""
+def without(rows, dropped):
+    """The documents of ``rows`` (see ``located``) but for those at the dropped places (file_id, row); texts that surely
+    stay are not shuffled."""
     place = F.struct(F.xxhash64("file").alias("file_id"), F.col("row"))
     dropped = written(dropped, "dropped")
     sure, maybe = split(rows, place, dropped, F.struct("file_id", "row"))
     same = (F.xxhash64(maybe["file"]) == dropped["file_id"]) & (maybe["row"] == dropped["row"])
-    return sure.select(*columns).unionByName(maybe.join(dropped, same, "left_anti").select(*columns))
+    return sure.select("doc.*").unionByName(maybe.join(dropped, same, "left_anti").select("doc.*"))

@@ -36,6 +36,7 @@ MAX_BYTES = 32 << 20
 BLOCK_BYTES = 1 << 16
 BITS_PER_ENTRY, PROBES = 10, 6
 SPOTS = np.uint64(8 * BLOCK_BYTES - 1)
+COUNT_BYTES = 2 << 20
 PAIR = np.uint64(0x9FB21C651E98DF25)
 #: Codes of tokens are even, those of pairs odd.
 TOKEN = np.uint64((1 << 64) - 2)
@@ -66,7 +67,7 @@ def _pair_codes(codes, rows):
 def _count(batches):
     """(code, n) of the tokens and pairs of each chunk."""
     for batch in batches:
-        for _, _, data, offsets in parts(batch, "text"):
+        for _, _, data, offsets in parts(batch, "text", COUNT_BYTES):
             codes, rows = _token_codes(LOWER[data], offsets)
             for found, n in (np.unique(x, return_counts=True) for x in (codes, _pair_codes(codes, rows))):
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["code", "n"])

@@ -121,7 +121,7 @@ def boundaries(codes, firsts, block=BLOCK):
         # a few symbols on, nearly all functions are constant, and stay so: one state per block is then enough
         if functions.shape[1] > 1 and i % 16 == 15 and (functions == functions[:, :1]).all():
             functions = functions[:, :1]
-    functions = np.ascontiguousarray(np.broadcast_to(functions, (width, STATES)))
+    functions = np.array(np.broadcast_to(functions, (width, STATES)))
     # inclusive scan of the block functions by doubling: the composition is associative
     reach = 1
     while reach < width:

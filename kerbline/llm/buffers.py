@@ -3,7 +3,7 @@
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 BASE = 0x9E3779B97F4A7C15 | 1
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -43,12 +43,12 @@ def powers(n, base=BASE):
     """base^i and base^-i modulo 2^64 for i < n."""
     have = _powers.get(base)
     if have is None or len(have[0]) < n:
-        size = max(n, 2 * CHUNK_BYTES) if n <= 2 * CHUNK_BYTES else n
         inverse = pow(base, -1, 1 << 64)
+        size = 1 << (n - 1).bit_length()
         up, down = np.full(size, base, np.uint64), np.full(size, inverse, np.uint64)
         up[0] = down[0] = 1
         have = np.multiply.accumulate(up), np.multiply.accumulate(down)
-        if n <= 2 * CHUNK_BYTES:
+        if size <= 4 * CHUNK_BYTES:
             _powers[base] = have
     return have[0][:n], have[1][:n]
 

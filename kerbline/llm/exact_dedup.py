@@ -41,10 +41,10 @@ def _rank():
     return size - F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_ID)).cast("decimal(20,0)")
 
 
-def described(docs, digest=sha256):
+def described(rows, digest=sha256):
     """doc_id, locator (file_id, row), normalised text, its digest, and size in code points of the original text."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    slim = docs.select("doc_id", F.xxhash64("file").alias("file_id"), "row", text.alias("text"))
+    text = F.coalesce(F.col("doc.text"), F.lit(""))
+    slim = rows.select(F.col("doc.doc_id").cast("long").alias("doc_id"), F.xxhash64("file").alias("file_id"), "row", text.alias("text"))
     slim = slim.withColumns({"norm": normalised(F.col("text")), "size": F.length("text").cast("long")}).drop("text")
     return slim.withColumn("digest", digest(F.col("norm")))
 
@@ -107,12 +107,16 @@ def impostors(rows, state, digest):
     return written(maybe.alias("hit").join(held.alias("held"), pair).select("hit.*"), "impostors")
 
 
-def dedup(docs, digest=sha256, batch_bytes=BATCH_BYTES, max_files=None):
+def dedup(docs, **options):
     """One row per document: doc_id, file_id, row, keep_id, group_size, kept and digest."""
-    spark = docs.sparkSession
-    rows = located(docs)
+    return dedup_rows(located(docs), **options)
+
+
+def dedup_rows(rows, digest=sha256, batch_bytes=BATCH_BYTES, max_files=None):
+    """The same for rows with their locators."""
+    spark = rows.sparkSession
     path = scratch_dir(spark, "arrivals")
-    described(rows, digest).withColumn("doc_id", F.col("doc_id").cast("long")).drop("norm").write.parquet(path)
+    described(rows, digest).drop("norm").write.parquet(path)
     came = spark.read.parquet(path)
     state = written(registry(spark, path, came.schema, batch_bytes, max_files), "state")
     out = came.join(state, "digest")
@@ -134,5 +138,5 @@ def dedup(docs, digest=sha256, batch_bytes=BATCH_BYTES, max_files=None):
 
 def distinct_texts(docs, **options):
     """The documents that stay, with all their columns."""
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    return bloom.without(located(docs), dedup(docs, **options).where(~F.col("kept")).select("file_id", "row"), own)
+    rows = located(docs)
+    return bloom.without(rows, dedup_rows(rows, **options).where(~F.col("kept")).select("file_id", "row"))

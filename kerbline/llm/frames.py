@@ -67,13 +67,16 @@ def schema_with(df, **added):
 
 
 def located(df):
-    """``df`` with ``file`` and ``row``: the place of each row in its Parquet files, a stable identifier and locator.
+    """(doc, file, row): each row of ``df`` as a struct, and its place in Parquet files, a stable identifier and locator.
 
-    Rows that do not come straight from files are written to the shared scratch folder first.
+    Rows that do not come straight from files are written to the shared scratch folder first, so call it once and pass
+    its result on: a second call would write other files.
     """
+    doc = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("doc")
     place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
-    own = [F.col(f"`{c}`") for c in df.columns if c.lower() not in ("file", "row")]
-    try:
-        return df.select(*own, *place)
-    except AnalysisException:
-        return written(df.select(*own), "rows").select(*own, *place)
+    if "_metadata#" in df._jdf.queryExecution().analyzed().metadataOutput().mkString(","):
+        try:
+            return df.select(doc, *place)
+        except AnalysisException:  # not a plain selection of file rows
+            pass
+    return written(df, "rows").select(doc, *place)

@@ -363,9 +363,12 @@ def padded(sequences):
 def train(pages, sample=SAMPLE, variants=VARIANTS, seed=SEED):
     """The labeller trained on a bounded sample of ``pages`` (page_id, html); None without main text in it."""
     short = pages.where(F.length("html") <= SAMPLE_CHARS)
-    rows = short.orderBy(F.xxhash64("page_id"), "page_id").select("html").limit(sample).collect()
+    ids = short.select("page_id").where("page_id IS NOT NULL").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
+    # ids first: ordering whole pages would send so many of them from every task
+    chosen = [r["page_id"] for r in ids.collect()]
+    rows = short.where(F.col("page_id").isin(chosen)).select("html").limit(2 * sample).collect() if chosen else []
     reader, rng, data, others, mains = Reader(), np.random.default_rng(seed), [], [], []
-    for row in rows:
+    for row in sorted(rows, key=lambda r: r["html"]):
         found = blocks(row["html"])
         labels = [label(path) for path, _, _ in found]
         if found and any(labels):

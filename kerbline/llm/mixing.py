@@ -74,16 +74,16 @@ def targets(sizes, weights=WEIGHTS, share=SHARE, passes=PASSES):
     return sources.select("skey", "place", "source_size", F.least(full, level * F.col("weight")).alias("target"))
 
 
-def assign(docs, weights=WEIGHTS, share=SHARE, passes=PASSES, schedules=SCHEDULES):
-    """Where and how often each document is taken: file, row, doc_id, size, source_size, target, copies, positions."""
-    rows = located(docs)
+def assign(rows, weights=WEIGHTS, share=SHARE, passes=PASSES, schedules=SCHEDULES):
+    """Where and how often each document of ``rows`` (see ``located``) is taken: file, row, doc_id, size, source_size,
+    target, copies, positions."""
     slim = rows.select(
         "file",
         "row",
-        "doc_id",
-        source_key(F.col("source")).alias("skey"),
-        text_size(F.col("text")).alias("size"),
-        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("order"),
+        "doc.doc_id",
+        source_key(F.col("doc.source")).alias("skey"),
+        text_size(F.col("doc.text")).alias("size"),
+        F.md5(F.coalesce(F.col("doc.doc_id").cast("string"), F.lit("")).cast("binary")).alias("order"),
     )
     slim = written(slim.withColumn("slice", F.substring("order", 1, SLICE_DIGITS)), "sizes")
     sources = targets(slim, weights, share, passes)
@@ -129,20 +129,16 @@ def assign(docs, weights=WEIGHTS, share=SHARE, passes=PASSES, schedules=SCHEDULE
 
 
 def mix(docs, **options):
-    """The documents in training order, one row per copy, with all their columns and ``position``."""
-    own = [c for c in docs.columns if c.lower() not in ("file", "row", "position")]
+    """The documents in training order, one row per copy: ``doc`` (a struct of their columns) and ``position``."""
     rows = located(docs)
-    taken = assign(docs, **options).where("copies > 0")
-    taken = taken.select(F.col("file").alias("_file"), F.col("row").alias("_row"), F.explode("positions").alias("position"))
+    taken = assign(rows, **options).where("copies > 0").select("file", "row", F.explode("positions").alias("position"))
     taken = taken.where(F.col("position").isNotNull())
-    joined = rows.join(taken, (F.col("file") == F.col("_file")) & (F.col("row") == F.col("_row")))
-    columns = [F.col(f"`{c}`") for c in own]
-    return joined.orderBy("position", "_file", "_row").select(*columns, "position")
+    return rows.join(taken, ["file", "row"]).orderBy("position", "file", "row").select("doc", "position")
 
 
 def report(docs, **options):
     """One row per document in order of its first position: doc_id, size, source_size, target, taken, position."""
-    out = assign(docs, **options)
+    out = assign(located(docs), **options)
     first = F.round(F.element_at("positions", 1), 6)
     out = out.withColumn("taken", F.col("copies") * F.col("size")).withColumn("position", first)
     out = out.orderBy(F.col("position").asc_nulls_last(), "doc_id", "file", "row")

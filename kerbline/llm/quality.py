@@ -32,7 +32,7 @@ LANGUAGES, TOP_WORDS = 64, 200
 CLASS_WORDS, COMMON_WORDS = 40, 60
 CLASS_LIMIT, WORD_LIMIT = 0.30, 0.55
 ALL = "*"
-FLUSH = 200_000
+FLUSH = 100_000
 
 
 def _class_table():
@@ -208,6 +208,18 @@ class Judge:
         return of_class, of_words
 
 
+def _verdicts(judge, data, offsets, class_limit, word_limit):
+    """Result columns of each row of a chunk."""
+    counts, starts, ends, rows = base_counts(data, offsets)
+    of_class, of_words = judge.distances(data, offsets, starts, ends, rows)
+    n = counts["n_words"]
+    failed = (n < MIN_WORDS) | (100 * counts["n_repeat_words"] > MAX_REPEAT_PERCENT * n)
+    near = ((n < CLASS_WORDS) | (of_class <= class_limit)) & ((n < COMMON_WORDS) | (of_words <= word_limit))
+    values = {name: pa.array(x, pa.int64()) for name, x in counts.items()}
+    values |= {"base_failed": pa.array(failed), "class_distance": pa.array(of_class)}
+    return values | {"word_distance": pa.array(of_words), "kept": pa.array(~failed & near)}
+
+
 def judge(docs, refs, class_limit=CLASS_LIMIT, word_limit=WORD_LIMIT):
     """Add the base counts, base_failed, both distances and kept to ``docs`` (column ``text``)."""
     shared = docs.sparkSession.sparkContext.broadcast(Judge(refs))  # bounded: LANGUAGES * TOP_WORDS words
@@ -217,25 +229,26 @@ def judge(docs, refs, class_limit=CLASS_LIMIT, word_limit=WORD_LIMIT):
     plain = docs.select([f"`{c}`" for c in docs.columns if c.lower() not in added])
 
     def run(batches):
-        judge = shared.value
         for batch in batches:
             for low, high, data, offsets in buffers.parts(batch, raw):
-                counts, starts, ends, rows = base_counts(data, offsets)
-                of_class, of_words = judge.distances(data, offsets, starts, ends, rows)
-                n = counts["n_words"]
-                failed = (n < MIN_WORDS) | (100 * counts["n_repeat_words"] > MAX_REPEAT_PERCENT * n)
-                near = ((n < CLASS_WORDS) | (of_class <= class_limit)) & ((n < COMMON_WORDS) | (of_words <= word_limit))
-                values = {name: pa.array(x, pa.int64()) for name, x in counts.items()}
-                values |= {"base_failed": pa.array(failed), "class_distance": pa.array(of_class)}
-                values |= {"word_distance": pa.array(of_words), "kept": pa.array(~failed & near)}
+                values = _verdicts(shared.value, data, offsets, class_limit, word_limit)
                 yield buffers.with_columns(batch.slice(low, high - low).drop_columns([raw]), values)
 
     return mapped(plain.withColumn(raw, as_text(F.col("text"))), run, schema_with(plain, **added))
 
 
-def passing(docs, refs, **limits):
-    """The documents that are kept, with their own columns only."""
-    (flag,) = fresh(docs, "own")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    judged = judge(docs.select(F.struct(*columns).alias(flag), F.col("text").alias("text")), refs, **limits)
-    return judged.where("kept").select(*[F.col(flag).getField(c).alias(c) for c in docs.columns])
+def passing(docs, refs, class_limit=CLASS_LIMIT, word_limit=WORD_LIMIT):
+    """The documents that are kept, with their own columns only; the text goes to the tasks once."""
+    shared = docs.sparkSession.sparkContext.broadcast(Judge(refs))
+    place = [c.lower() for c in docs.columns].index("text")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column("doc").field(place).cast(pa.large_binary())
+            texts = pa.RecordBatch.from_arrays([texts], ["text"])
+            for low, high, data, offsets in buffers.parts(texts, "text"):
+                kept = _verdicts(shared.value, data, offsets, class_limit, word_limit)["kept"]
+                yield batch.slice(low, high - low).filter(kept)
+
+    return mapped(whole, run, whole.schema).select("doc.*")

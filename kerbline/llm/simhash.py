@@ -71,8 +71,8 @@ def fingerprint(text, shingle=SHINGLE):
     return int.from_bytes(np.packbits(2 * counts > n).tobytes(), "big", signed=True)
 
 
-def fingerprints(docs, shingle=SHINGLE):
-    """doc_id, file, row and fp of every document."""
+def fingerprints(rows, shingle=SHINGLE):
+    """doc_id, file, row and fp of every document of ``rows`` (see ``located``)."""
 
     def run(batches):
         for batch in batches:
@@ -84,7 +84,7 @@ def fingerprints(docs, shingle=SHINGLE):
                 ["doc_id", "file", "row", "fp"],
             )
 
-    slim = located(docs).select(F.col("doc_id").cast("long"), "file", "row", as_text(F.col("text")).alias("text"))
+    slim = rows.select(F.col("doc.doc_id").cast("long").alias("doc_id"), "file", "row", as_text(F.col("doc.text")).alias("text"))
     return mapped(slim, run, "doc_id long, file string, row long, fp long")
 
 
@@ -134,7 +134,7 @@ def group_count(rows, distance=DISTANCE):
         probes = sum(sum(comb(width, r) for r in range(t + 1)) for t in radius)
         return (m + probes) * ROW_COST + probes * rows / 2.0**width
 
-    return min(range(1, distance + 2), key=work)
+    return min(range(min(2, distance + 1), distance + 2), key=work)
 
 
 def bit_groups(correlation, m):
@@ -161,7 +161,7 @@ def _flips(width, radius):
     """Masks of all changes of at most ``radius`` bits, by number of bits."""
     masks = [np.zeros(1, np.int64)]
     for r in range(1, radius + 1):
-        masks.append(np.array([sum(1 << b for b in bits) for bits in combinations(range(width), r)], np.int64))
+        masks.append(np.array([sum(1 << b for b in bits) for bits in combinations(range(width), r)], np.uint64).view(np.int64))
     return masks
 
 
@@ -255,8 +255,8 @@ def plan_for(fps, distance=DISTANCE):
     top = sizes.where("n > 1").orderBy(F.desc("n"), "key").limit(COMMON_VALUES * len(groups)).collect()
     common = [{} for _ in groups]
     for r in top:
-        place = r["key"] >> 58
-        common[place % len(groups)][r["key"] ^ (place << 58)] = r["n"]
+        place = r["key"] >> 58 if len(groups) > 1 else 0
+        common[place][r["key"] ^ (place << 58)] = r["n"]
     return Plan(groups, common, rows, distance), index_rows
 
 
@@ -281,9 +281,9 @@ def links(fps, distance=DISTANCE):
     return found.select(low.alias("u"), high.alias("v")).distinct()
 
 
-def near_groups(docs, shingle=SHINGLE, distance=DISTANCE):
-    """doc_id, file, row, fp, root (a fingerprint of the group) and component_id of every document."""
-    prints = written(fingerprints(docs, shingle), "fingerprints")
+def near_groups(rows, shingle=SHINGLE, distance=DISTANCE):
+    """doc_id, file, row, fp, root (a fingerprint of the group) and component_id of every document of ``rows``."""
+    prints = written(fingerprints(rows, shingle), "fingerprints")
     fps = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     fps = written(fps, "distinct")
     roots = components(links(fps, distance)).withColumnRenamed("node", "fp")
@@ -303,14 +303,15 @@ def survivors(groups):
 
 
 def report(docs, shingle=SHINGLE, distance=DISTANCE):
-    groups = near_groups(docs, shingle, distance)
+    groups = near_groups(located(docs), shingle, distance)
     return groups.select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 def distinct_groups(docs, shingle=SHINGLE, distance=DISTANCE):
     """The documents without the near-duplicates of the one that stays in each group."""
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    groups = written(near_groups(docs, shingle, distance).select("doc_id", "file", "row", "root", "component_id"), "groups")
+    rows = located(docs)
+    groups = near_groups(rows, shingle, distance).select("doc_id", "file", "row", "root", "component_id")
+    groups = written(groups, "groups")
     stay = survivors(groups).withColumn("stays", F.lit(True))
     gone = groups.join(stay, ["file", "row"], "left").where(F.col("stays").isNull())
-    return bloom.without(located(docs), gone.select(F.xxhash64("file").alias("file_id"), "row"), own)
+    return bloom.without(rows, gone.select(F.xxhash64("file").alias("file_id"), "row"))

@@ -214,7 +214,9 @@ def _cut_out(window):
 
 def remove_repeats(docs, window=WINDOW, gram=GRAM):
     """doc_id, n_bytes, kept (bytes), n_removed and n_spans of every document."""
-    texts = located(docs).select("doc_id", F.xxhash64("file").alias("file_id"), "row", as_text(F.col("text")).alias("text"))
+    texts = located(docs).select(
+        "doc.doc_id", F.xxhash64("file").alias("file_id"), "row", as_text(F.col("doc.text")).alias("text")
+    )
     found = repeated_units(texts, window, gram)
     place = ["file_id", "row"]
     lists = written(found.groupBy(*place).agg(F.collect_list(F.struct("s", "e")).alias("units")), "repeats")

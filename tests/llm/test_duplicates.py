@@ -1,0 +1,232 @@
+"""SimHash, components, repeated windows, page text, pipeline: brute force and edge cases."""
+
+import hashlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from kerbline.llm import html_text, simhash, suffix_dedup
+from kerbline.llm.components import components
+
+
+def _fingerprint(text):
+    words = (text or "").encode().lower().split()
+    shingles = [b" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([b" ".join(words)] if words else [])
+    counts = [0] * 64
+    for s in shingles:
+        h = xxhash.xxh64_intdigest(s, 42)
+        for b in range(64):
+            counts[b] += h >> b & 1
+    return sum(1 << b for b in range(64) if 2 * counts[b] > len(shingles))
+
+
+def _roots(n, pairs):
+    root = list(range(n))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return [find(x) for x in range(n)]
+
+
+@pytest.mark.parametrize("which", ["odd", "real"])
+def test_near_groups_match_brute_force(request, which):
+    docs = request.getfixturevalue(which)
+    rows = docs.select("doc_id", "text").collect()
+    prints = [_fingerprint(r["text"]) for r in rows]
+    pairs = [(i, j) for j in range(len(rows)) for i in range(j) if bin(prints[i] ^ prints[j]).count("1") <= 3]
+    roots = _roots(len(rows), pairs)
+    least = {}
+    for r, k in zip(rows, roots):
+        if r["doc_id"] is not None:
+            least[k] = min(least.get(k, r["doc_id"]), r["doc_id"])
+    want = sorted(((r["doc_id"], f"{p:016x}", least.get(k)) for r, p, k in zip(rows, prints, roots)), key=repr)
+    assert sorted(map(tuple, simhash.report(docs).collect()), key=repr) == want
+    stay = simhash.distinct_groups(docs)
+    assert stay.columns == docs.columns and stay.count() == len(set(roots))
+
+
+@pytest.mark.parametrize("groups", [2, 3, 4])
+def test_links_are_complete_for_any_number_of_groups(spark, monkeypatch, groups):
+    rng = np.random.default_rng(groups)
+    seeds = rng.integers(-(1 << 63), 1 << 63, 150)
+    near = [int(s) ^ sum(1 << int(b) for b in rng.choice(63, rng.integers(0, 6), False)) for s in seeds for _ in range(8)]
+    hot = [int(rng.integers(0, 1 << 40)) | 0x5A5A << 44 for _ in range(400)]
+    values = sorted(set(near + hot))
+    monkeypatch.setattr(simhash, "group_count", lambda rows, distance=3: groups)
+    fps = spark.createDataFrame([(v,) for v in values], "fp long")
+    got = {(r["u"], r["v"]) for r in simhash.links(fps).collect()}
+    a = np.array(values)
+    want = {(values[i], values[j]) for i, j in zip(*np.nonzero(np.bitwise_count(a[:, None] ^ a[None, :]) <= 3)) if i < j}
+    assert got == want and len(want) > 100
+
+
+def test_thresholds_sum_up_and_leave_hot_groups_out():
+    fps = np.arange(64, dtype=np.int64) * 0x1234567
+    groups = [list(range(i, i + 16)) for i in range(0, 64, 16)]
+    common = [{int(v): 10**6 for v in set(simhash.values_in(fps, groups[1]).tolist())} if i == 1 else {} for i in range(4)]
+    plan = simhash.Plan(groups, common, 10**7)
+    thresholds = plan.thresholds(fps)
+    assert (thresholds.sum(1) == 0).all() and (thresholds[:, 1] == -1).all()
+
+
+def test_fewer_and_wider_groups_for_more_fingerprints():
+    counts = [simhash.group_count(n) for n in (10**3, 10**6, 10**8, 10**10, 10**12)]
+    assert counts == sorted(counts, reverse=True) and counts[0] == 4 and counts[-1] < 4
+
+
+def test_long_texts_are_hashed_in_slices():
+    words = [f"w{i % 700}" for i in range(5000)]
+    text = " \n".join(words).encode()
+    assert [w for part in simhash.word_slices(text, 100) for w in part] == text.split()
+    assert simhash.fingerprint(text) % (1 << 64) == _fingerprint(text.decode())
+
+
+def test_components_of_chains_stars_and_nothing(spark):
+    pairs = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)] + [(200, 201), (200, 200)]
+    df = spark.createDataFrame(pairs, "u long, v long")
+    got = {r["node"]: r["root"] for r in components(df).collect()}
+    want = {i: 0 for i in range(1, 61)} | {i: 100 for i in range(101, 160)} | {201: 200}
+    assert got == want
+    assert components(df.where("false")).count() == 0
+
+
+def test_nothing_to_group(none):
+    assert simhash.report(none).count() == 0 and simhash.distinct_groups(none).count() == 0
+
+
+def _cut(texts, window):
+    raws = [(t or "").encode() for t in texts]
+    counts = Counter(r[i : i + window] for r in raws for i in range(len(r) - window + 1))
+    for r in raws:
+        flags = np.zeros(len(r), bool)
+        for i in range(len(r) - window + 1):
+            if counts[r[i : i + window]] > 1:
+                flags[i : i + window] = True
+        spans = int((flags[1:] & ~flags[:-1]).sum() + flags[:1].sum())
+        yield len(r), int(flags.sum()), spans, hashlib.sha256(np.frombuffer(r, np.uint8)[~flags].tobytes()).hexdigest()
+
+
+@pytest.mark.parametrize("window, gram", [(40, 8), (400, 64)])
+def test_repeats_match_brute_force(spark, monkeypatch, window, gram):
+    monkeypatch.setattr(suffix_dedup, "SEGMENT", 900)
+    rng = np.random.default_rng(window)
+    passage = "".join(rng.choice(list("abc d\u00e9"), 1100))
+    texts = [None, "", "ab" * 700, "x" * 1500, passage, passage[:450], "q" + passage + "q", passage + passage[30:800]]
+    for _ in range(60):
+        at = int(rng.integers(0, 600))
+        own = "".join(rng.choice(list("klmnop "), int(rng.integers(0, 400))))
+        part = list(passage[at : at + int(rng.integers(20, 700))])
+        if len(part) > 50 and rng.random() < 0.5:
+            part[int(rng.integers(len(part)))] = "#"
+        texts.append(own + "".join(part) + own[:50])
+    texts += texts[-3:]
+    docs = spark.createDataFrame([(i, t, "u", "f", "t") for i, t in enumerate(texts)], "doc_id long, text string, units string, file string, kept string")
+    got = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.report(docs.repartition(3), window, gram).collect()}
+    assert [got[i] for i in range(len(texts))] == list(_cut(texts, window))
+
+
+def test_repeats_of_odd_rows(odd, none):
+    rows = suffix_dedup.report(odd).collect()
+    assert len(rows) == odd.count()
+    long = [r for r in rows if r["doc_id"] in (5, 6, 7)]
+    assert all(r["n_removed"] == r["n_bytes"] and r["n_spans"] == 1 for r in long) and len(long) == 3
+    assert all(r["n_removed"] == 0 for r in rows if r["doc_id"] not in (5, 6, 7))
+    assert suffix_dedup.report(none).count() == 0
+
+
+def test_blocks_of_a_page():
+    page = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{}</style><script>var a="</p><p>x";</script></head><body>
+      <!-- no <p>text</p> --><div class="Side-Bar x" id=menu><ul><li><a href="/a>b">One<li>Two</ul></div>
+      <p>A&nbsp;<b>bo</b>ld &lt;word&gt;<br>next<p>un<i>closed</div> 5 < 6 <SCRIPT>x</SCRIPT>end<textarea>form"""
+    found = html_text.blocks(page)
+    assert [t for _, t, _ in found] == ["T & t", "One", "Two", "A bold <word>", "next", "unclosed", "5 < 6 end", "form"][: len(found)] or [
+        t for _, t, _ in found
+    ][:4] == ["T & t", "One", "Two", "A bold <word>"]
+    paths = {t: p for p, t, _ in found}
+    assert (".side" in paths["One"][-4] or any(".side" in f for f in paths["One"])) and paths["Two"][-1] == ("li",)
+    assert html_text.blocks("") == [] and html_text.blocks("<p></p><script>x") == []
+
+
+def test_page_text_on_the_given_and_on_other_layouts(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    model = html_text.train(pages)
+    out = {r["page_id"]: r for r in html_text.extract(pages, model).collect()}
+    right = 0
+    for r in pages.collect():
+        found = html_text.blocks(r["html"])
+        want = " ".join(t for p, t, _ in found if html_text.label(p))
+        right += out[r["page_id"]]["text"] == want
+        assert out[r["page_id"]]["n_chars"] == len(out[r["page_id"]]["text"])
+    assert right >= 0.97 * len(out)
+    other = """<body><header class="site-header"><a href="/">Home</a></header><div class="cookie-notice">We use cookies.</div>
+      <main><h1>A title here</h1><p>First part of the text, long enough.</p><p>Second one of it.</p></main><aside class="sidebar">
+      <ul><li><a>One</a></li></ul></aside><section id="comments"><div class="comment"><p>I like this very much.</p></div></section>
+      <form><label>Email</label><button>Subscribe</button></form><footer>Copyright</footer></body>"""
+    assert html_text.main_texts(model, html_text.Reader(), [other]) == [
+        "A title here First part of the text, long enough. Second one of it."
+    ]
+
+
+def test_odd_pages(spark, sf_dir):
+    rows = [(1, None, None, "t"), (2, "u", "", "t"), (2, "u", "", "t"), (3, "u", "<p>" * 3000 + "deep", "t"), (4, "u", "word " * 50_000, "t")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    for model in (None, html_text.train(spark.read.parquet(f"{sf_dir}/pages.parquet"), sample=20, variants=1)):
+        out = html_text.extract(pages, model)
+        assert out.columns == ["page_id", "url", "html", "text", "n_chars"]
+        got = sorted((r["page_id"], r["n_chars"] == len(r["text"])) for r in out.collect())
+        assert got == [(1, True), (2, True), (2, True), (3, True), (4, True)]
+    assert html_text.train(pages.where("false")) is None
+    assert html_text.extract(pages.where("false"), None).count() == 0
+
+
+def test_gradients_of_the_labeller():
+    rng = np.random.default_rng(0)
+    model = html_text.Labeller(5, hidden=3, seed=1)
+    model.p = {k: rng.normal(0, 0.5, v.shape) for k, v in model.p.items()}
+    x, mask = html_text.padded([rng.normal(0, 1, (4, 5)), rng.normal(0, 1, (2, 5))])
+    labels = np.array([[1, 0], [0, 1], [1, 0], [0, 0]], np.float32)
+
+    def loss():
+        out = model.logits(x.astype(np.float64), mask)[0]
+        return ((np.logaddexp(0, out) - labels * out) * mask).sum() / mask.sum()
+
+    grad = model.gradients(x, mask, labels)
+    for name, values in model.p.items():
+        for spot in list(np.ndindex(values.shape))[:: max(1, values.size // 6)]:
+            old = values[spot]
+            values[spot] = old + 1e-3
+            up = loss()
+            values[spot] = old - 1e-3
+            down = loss()
+            values[spot] = old
+            assert abs((up - down) / 2e-3 - grad[name][spot]) < 2e-3, name
+
+
+def test_pipeline_stages(spark, sf_dir, odd):
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert names == ["quality_rules", "exact_dedup", "simhash_near_dedup", "mixing", "byte_bpe"]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    sizes = []
+    for source in (docs, odd):
+        rows = source
+        for name, stage in corpus_pipeline.STAGES:
+            rows = stage(spark, rows, sf_dir)
+            sizes.append(rows.count())
+            if name != "byte_bpe":
+                assert rows.columns == source.columns
+    assert sizes[0] >= sizes[1] >= sizes[2] > 0 and sizes[3] == sizes[4]
+    out = corpus_pipeline.run(spark, sf_dir)
+    assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and out.count() == sizes[4]
+    text = {r["doc_id"]: hashlib.sha256(r["text"].encode()).hexdigest() for r in docs.collect()}
+    assert all(text[r["doc_id"]] == r["decoded_sha256"] for r in out.collect())
+    assert out.groupBy("doc_id").count().agg(F.max("count")).first()[0] <= 2
