@@ -47,6 +47,12 @@ def _read_text(spark, path):
         stream.close()
 
 
+def complete(spark, folder):
+    """The folder was written to its end."""
+    fs, place = _fs(spark, f"{folder}/_SUCCESS")
+    return fs.exists(place)
+
+
 def query_id(spark, checkpoint):
     """The id that a streaming query keeps for the life of its checkpoint."""
     text = _read_text(spark, f"{checkpoint}/metadata")

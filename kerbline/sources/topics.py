@@ -74,11 +74,17 @@ def read(spark, topics, kind="file", position=False, **options):
 
 
 def publish_batch(messages, topic, batch_id, kind="file", owner=batch_log.MANUAL, **options):
-    """Publish one micro-batch; in a file topic it owns the folder ``batch_id=N``, so a replay replaces it."""
+    """Publish one micro-batch; in a file topic it owns the folder ``batch_id=N``.
+
+    A replayed batch holds the same messages, so a folder that is complete stays: a consumer that has read its files
+    meets no copies of them.
+    """
     if kind == "kafka":
         return publish(messages, topic, kind, **options)
-    batch_log.claim(messages.sparkSession, topic, owner)
-    messages.select("value").write.mode("overwrite").text(f"{topic}/batch_id={batch_id}", lineSep="\n")
+    spark, folder = messages.sparkSession, f"{topic}/batch_id={batch_id}"
+    batch_log.claim(spark, topic, owner)
+    if not batch_log.complete(spark, folder):
+        messages.select("value").write.mode("overwrite").text(folder, lineSep="\n")
 
 
 def publish(messages, topic, kind="file", **options):

@@ -70,8 +70,8 @@ def _publish_enriched(centers, topic, in_order, kind, **options):
 def enrich(messages, centers, topic, checkpoint, kind="file", dead=None, in_order=False, strict=False, **options):
     """Decode, assign, join the centre, encode and publish, in one read; lines that do not decode go to ``dead``.
 
-    ``in_order`` publishes each batch in time order. For a file topic a batch owns the folder ``batch_id=N``, so a replay
-    replaces it.
+    ``in_order`` publishes each batch in time order. In a file topic a batch owns the folder ``batch_id=N``, so a replay
+    adds nothing.
     """
     handler = _publish_enriched(centers, topic, in_order, kind, **options)
     lines = decoded_lines(messages, strict)

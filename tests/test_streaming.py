@@ -63,7 +63,7 @@ def test_kafka_needs_the_connector(spark):
         topics.subscribe(spark, "a,b", kind="kafka", **{"kafka.bootstrap.servers": "broker:9092"})
 
 
-def test_sorted_enrich_orders_each_batch_and_replay_replaces_it(spark, tmp_path):
+def test_sorted_enrich_orders_each_batch_and_replay_adds_nothing(spark, tmp_path):
     lines, out = str(tmp_path / "lines"), str(tmp_path / "out")
     _send(spark, lines, *[GOOD.replace("00:00:00", f"00:{m:02d}:00") for m in (30, 10, 20)])
     publish = jobs._publish_enriched(CITY_CENTERS, out, True, "file")
