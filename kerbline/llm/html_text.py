@@ -40,7 +40,7 @@ BLOCK_TAGS = frozenset(
     "option p pre search section select summary table tbody td tfoot th thead title tr ul".split()
 )
 EMPTY_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = frozenset("script style template noscript svg math iframe object canvas".split())
+RAW_TAGS = frozenset("script style template noscript svg math iframe object canvas textarea".split())
 #: What an opening tag closes if it is open inside the nearest container.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("td", "th", "tr"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 CONTAINERS = frozenset("article aside body div section main td th table ul ol dl form nav header footer blockquote fieldset".split())

@@ -239,7 +239,7 @@ def _pairs(keys, fps):
 
 
 def plan_for(fps, distance=DISTANCE):
-    """Group the bits and count the commonest values of each group over all fingerprints."""
+    """(plan, index rows): the bits in groups, and the commonest values of each group over all fingerprints."""
     correlation, rows = correlations(fps)
     groups = bit_groups(correlation, group_count(rows, distance))
     blank = Plan(groups, [{} for _ in groups], rows, distance)
