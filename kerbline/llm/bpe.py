@@ -29,7 +29,7 @@ from kerbline.llm import buffers
 from kerbline.llm.frames import as_text, fresh, mapped, schema_with
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-CACHE = 150_000
+CACHE = 300_000
 CHUNK = 1 << 20
 LETTER, NUMBER, OTHER, SPACE = range(4)
 #: Symbols of the automaton; FIRST is added for the first code point of a text.
