@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from kerbline.llm import html_text, simhash, suffix_dedup
 from kerbline.llm.components import components
+from odd_rows import none, odd, real  # noqa: F401
 
 
 def _fingerprint(text):

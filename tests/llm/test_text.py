@@ -13,6 +13,7 @@ import tiktoken
 
 from kerbline.llm import bloom_lm, bpe, langid, quality
 from kerbline.llm.queries import QUERIES
+from odd_rows import none, odd, real  # noqa: F401
 
 PATH = public_tokenizers.path(bpe.VOCABULARY)
 
