@@ -32,6 +32,7 @@ LANGUAGES, TOP_WORDS = 64, 200
 CLASS_WORDS, COMMON_WORDS = 40, 60
 CLASS_LIMIT, WORD_LIMIT = 0.30, 0.55
 ALL = "*"
+SLICES = 32
 FLUSH = 100_000
 
 
@@ -142,9 +143,13 @@ def references(docs, languages=LANGUAGES, top_words=TOP_WORDS):
     everything = tallies.groupBy("key").agg(F.sum("n").alias("n")).withColumn("lang", F.lit(ALL))
     wanted = wanted.where(F.col("lang") != ALL).unionByName(everything)
     is_word = F.substring("key", 1, 1) == F.lit(b"w")
-    best = W.partitionBy("lang").orderBy(F.desc("n"), "key")
-    # the rank limit is applied in every task before the exchange, so a language's vocabulary never meets in one task
-    top = wanted.where(is_word).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top_words)
+    # first in slices of the vocabulary, so that what meets for a language is SLICES * top_words rows, however many tasks
+    # there are; each rank limit is also applied in every task before its exchange
+    ranked = [F.desc("n"), "key"]
+    top = wanted.where(is_word).withColumn("slice", F.pmod(F.xxhash64("key"), F.lit(SLICES)))
+    for keys in (("lang", "slice"), ("lang",)):
+        place = F.row_number().over(W.partitionBy(*keys).orderBy(*ranked))
+        top = top.withColumn("rank", place).where(F.col("rank") <= top_words)
     totals = wanted.where(is_word).groupBy("lang").agg(F.sum("n").alias("n"))
     out = {}
     for r in wanted.where(~is_word).collect():
