@@ -2,10 +2,10 @@
 
 Counts of tokens and of adjacent pairs are quantised to powers of two: level j stands for counts from 2^(j-1) up to 2^j.
 An n-gram of level j is entered as (n-gram, 1) to (n-gram, j), so its level is found by probing 1, 2, ... until a probe
-fails. Pairs count from the second time on. The filter is cut into blocks of 64 KB; all entries of an n-gram are in one
-block, blocks are built in parallel, and the whole is broadcast. Its size is bounded by ``MAX_BYTES``: if the n-grams do
-not fit, the lowest levels are left out, as with the count cut-off of any pruned model, and found counts start at the
-first level kept.
+fails. Pairs count from the second time on. The filter is cut into blocks of 64 KB; all entries of an n-gram are in one block,
+and the number of blocks grows with the entries. The filter is a table and is never held whole: it is dealt out in slices
+of at most ``SLICE_BYTES``, the distinct n-grams of a run of texts are sent to the slices that hold them, and the levels
+found, a byte each, go back to the texts.
 
 The model interpolates pairs with single tokens: P(w|u) = l * c(uw)/c(u) + (1 - l) * P(w), l = c(u) / (c(u) + KAPPA),
 P(w) = (c(w) + ALPHA) / (N + ALPHA * (V + 1)), with the counts that the filter gives. A text's score is the sum of log10 P
@@ -32,8 +32,9 @@ from kerbline.llm.frames import as_text, mapped, written
 END = b"\n"  # no word holds white space
 ALPHA, KAPPA = 0.1, 5.0
 HEAD = 1 << 20
-MAX_BYTES = 32 << 20
 BLOCK_BYTES = 1 << 16
+SLICE_BYTES, SLICES = 32 << 20, 256
+PROBE_CODES = 4096
 BITS_PER_ENTRY, PROBES = 10, 6
 SPOTS = np.uint64(8 * BLOCK_BYTES - 1)
 COUNT_BYTES = 2 << 20
@@ -74,17 +75,17 @@ def _count(batches):
 
 
 class Filter:
-    """Bits of the filter, its number of blocks and the lowest level that it holds."""
+    """Bits of the filter from block ``first`` on, its number of blocks in all and the lowest level that it holds."""
 
-    def __init__(self, bits, blocks, floor):
-        self.bits, self.blocks, self.floor = bits, blocks, floor
+    def __init__(self, bits, blocks, floor=1, first=0):
+        self.bits, self.blocks, self.floor, self.first = bits, blocks, floor, first
 
     def levels(self, codes):
         """Level of each n-gram, 0 where it is not held: probes of rising levels until one fails."""
         out = np.zeros(len(codes), np.int64)
         if not self.blocks:
             return out
-        base = block_of(codes, self.blocks) * BLOCK_BYTES
+        base = (block_of(codes, self.blocks) - self.first) * BLOCK_BYTES
         alive, level = np.arange(len(codes)), 1
         while len(alive):
             spot, step = spot_of(codes[alive], level)
@@ -97,10 +98,10 @@ class Filter:
             level += 1
         return np.where(out > 0, out + self.floor - 1, 0)
 
-    def counts(self, codes):
-        """Middle of the counts that each level stands for."""
-        level = self.levels(codes)
-        return np.where(level > 0, 2.0 ** (level - 0.5), 0.0)
+
+def middle(level):
+    """Middle of the counts that each level stands for."""
+    return np.where(level > 0, 2.0 ** (level - 0.5), 0.0)
 
 
 def block_of(codes, blocks):
@@ -130,44 +131,65 @@ def _fill(blocks, floor):
     return run
 
 
-def build_filter(grams, max_bytes=MAX_BYTES):
-    """The filter of n-grams given as code and level (1 and up, one row each)."""
-    sizes = {r["level"]: r["n"] for r in grams.groupBy("level").agg(F.count("*").alias("n")).collect()}
-    floor, top = 1, max(sizes, default=0)
+def blocks_for(entries):
+    return -(-entries * BITS_PER_ENTRY // (8 * BLOCK_BYTES))
+
+
+def slices_for(blocks):
+    """Number of slices: none is above ``SLICE_BYTES``, and a small filter is still dealt to many tasks."""
+    return min(blocks, max(SLICES, -(-blocks * BLOCK_BYTES // SLICE_BYTES)))
+
+
+def filled(grams, blocks, floor=1):
+    """(block, bits) of the used blocks, from code and level."""
+    number = F.pmod(F.shiftrightunsigned("code", 32), F.lit(blocks))
+    rows = grams.where(F.col("level") >= floor).withColumn("block", number)
+    return rows.groupBy("block").applyInArrow(_fill(blocks, floor), "block long, bits binary")
+
+
+def _sizes(grams):
+    return {r["level"]: r["n"] for r in grams.groupBy("level").agg(F.count("*").alias("n")).collect()}
+
+
+def build_filter(grams, max_bytes=None):
+    """The filter of n-grams given as code and level (1 and up, one row each) in one piece on the driver, for small sets.
+
+    Only if ``max_bytes`` is given, the lowest levels are left out until the rest fits; ``train`` has no such bound.
+    """
+    sizes = _sizes(grams)
+    floor = 1
 
     def entries(floor):
         return sum((level - floor + 1) * n for level, n in sizes.items() if level >= floor)
 
-    while entries(floor) * BITS_PER_ENTRY > 8 * max_bytes:
+    while max_bytes is not None and entries(floor) * BITS_PER_ENTRY > 8 * max_bytes:
         floor += 1
-    if not entries(floor):
-        return Filter(np.zeros(0, np.uint8), 0, 1)
-    blocks = -(-entries(floor) * BITS_PER_ENTRY // (8 * BLOCK_BYTES))
-    number = F.pmod(F.shiftrightunsigned("code", 32), F.lit(blocks))
-    rows = grams.where(F.col("level") >= floor).withColumn("block", number)
-    filled = rows.groupBy("block").applyInArrow(_fill(blocks, floor), "block long, bits binary").collect()
+    blocks = blocks_for(entries(floor))
     bits = np.zeros(blocks * BLOCK_BYTES, np.uint8)
-    for r in filled:  # at most max_bytes in all
+    for r in filled(grams, blocks, floor).collect() if blocks else ():
         bits[r["block"] * BLOCK_BYTES : (r["block"] + 1) * BLOCK_BYTES] = np.frombuffer(r["bits"], np.uint8)
     return Filter(bits, blocks, floor)
 
 
 class Model:
-    """What the tasks need: the filter, N, V, and the frequent tokens with exact counts."""
+    """What the tasks need: N, V, the number of filter blocks, and the frequent tokens with exact counts; ``bits`` is the
+    table of the filter's blocks, which stays on the driver's side."""
 
-    def __init__(self, grams, n, v, codes, counts):
+    def __init__(self, bits, blocks, n, v, codes, counts):
         order = np.argsort(codes)
-        self.grams, self.n, self.v = grams, n, v
+        self.bits, self.blocks, self.n, self.v = bits, blocks, n, v
         self.codes, self.counts = codes[order], counts[order]
-        self.quantised = self.slots = None
+        self.slots = None
+
+    def __getstate__(self):
+        return self.__dict__ | {"bits": None}
 
     def ready(self):
-        """Once in a worker: where codes with the same leading bits begin, and the filter's counts of frequent tokens."""
+        """Once in a worker: where codes with the same leading bits begin."""
         if self.slots is None:
             bits = max(1, len(self.codes).bit_length())
             self.shift = np.uint64(64 - bits)
             self.slots = np.searchsorted(self.codes >> self.shift, np.arange((1 << bits) + 1))
-            self.quantised = self.grams.counts(self.codes)
         return self
 
     def place(self, codes):
@@ -184,25 +206,147 @@ class Model:
             alive = alive[at[alive] < stop[alive]]
         return out
 
-    def log_probabilities(self, codes, rows, place):
-        """log10 of the model's probability of each token after the one before it."""
-        own = np.zeros(len(codes))
-        known = place >= 0
-        own[known] = self.quantised[place[known]]
-        own[~known] = self.grams.counts(codes[~known])
-        end = self.grams.counts(np.array([END_CODE]))[0]
-        context = np.full(len(codes), end)
-        context[1:] = np.where(rows[1:] == rows[:-1], own[:-1], end)
-        joint = np.zeros(len(codes))
-        both = (own > 0) & (context > 0)  # a pair is held only if both its tokens are
-        joint[both] = np.minimum(self.grams.counts(_pair_codes(codes, rows)[both]), context[both])
+
+
+def _probes(codes, rows, blocks, slices):
+    """(distinct codes of the tokens and pairs in the order of their slices, slice of each, place of each token, of each
+    pair): the same for the same texts."""
+    found, place = np.unique(np.concatenate([codes, _pair_codes(codes, rows)]), return_inverse=True)
+    number = block_of(found, blocks) * slices // max(blocks, 1)
+    order = np.argsort(number, kind="stable")
+    back = np.empty(len(order), np.int64)
+    back[order] = np.arange(len(order))
+    place = back[place]
+    return found[order], number[order], place[: len(codes)], place[len(codes) :]
+
+
+def _pieces(number):
+    """(slice, first, last + 1) of rows of at most ``PROBE_CODES`` codes in one slice."""
+    edges = np.flatnonzero(np.diff(number, prepend=-1))
+    for low, high in zip(edges, [*edges[1:], len(number)]):
+        for at in range(low, high, PROBE_CODES):
+            yield int(number[low]), at, min(at + PROBE_CODES, high)
+
+
+def _runs(batch):
+    """(first row, bytes, offsets from 0) of runs of one chunk's consecutive texts, of COUNT_BYTES at most or one text."""
+    chunk, rid = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("chunk", "rid"))
+    cuts = np.flatnonzero((chunk[1:] != chunk[:-1]) | (rid[1:] != rid[:-1] + 1)) + 1
+    for low, high in zip([0, *cuts], [*cuts, batch.num_rows]):
+        for a, _, data, offsets in parts(batch.slice(low, high - low), "text", COUNT_BYTES):
+            yield low + a, data, offsets
+
+
+def _ask(blocks, slices):
+    """Probes of each run of texts; the run is named by the chunk and the number of its first text."""
+
+    def run(batches):
+        for batch in batches:
+            chunks, rids = batch.column("chunk").to_pylist(), batch.column("rid").to_pylist()
+            for low, data, offsets in _runs(batch):
+                codes, number, _, _ = _probes(*_token_codes(LOWER[data], offsets), blocks, slices)
+                pieces = list(_pieces(number))
+                n = len(pieces)
+                values = [
+                    pa.array([p[0] for p in pieces], pa.int64()),
+                    pa.array([chunks[low]] * n, pa.int64()),
+                    pa.array([rids[low]] * n, pa.int64()),
+                    pa.array([p[1] for p in pieces], pa.int64()),
+                    pa.array([codes[a:b].tobytes() for _, a, b in pieces], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(values, ["slice", "chunk", "rid", "at", "data"])
+
+    return run
+
+
+def _answer(blocks, slices):
+    """Levels of the probes; rows come by slice, the slice's blocks (``chunk`` is null, ``at`` the block) before its probes."""
+
+    def run(batches):
+        held, part = None, None
+        for batch in batches:
+            out = []
+            columns = [batch.column(c).to_pylist() for c in ("slice", "chunk", "rid", "at")]
+            for number, chunk, rid, at, data in zip(*columns, batch.column("data")):
+                if number != held:
+                    first, last = -(-number * blocks // slices), -(-(number + 1) * blocks // slices)
+                    part = Filter(np.zeros((last - first) * BLOCK_BYTES, np.uint8), blocks, first=first)
+                    held = number
+                raw = np.frombuffer(data.as_buffer(), np.uint8)
+                if chunk is None:
+                    low = (at - part.first) * BLOCK_BYTES
+                    part.bits[low : low + BLOCK_BYTES] = raw
+                else:
+                    out.append((chunk, rid, at, part.levels(raw.view(np.uint64)).astype(np.uint8).tobytes()))
+            chunks, rids, ats, levels = zip(*out) if out else ((), (), (), ())
+            values = [pa.array(x, pa.int64()) for x in (chunks, rids, ats)] + [pa.array(levels, pa.binary())]
+            yield pa.RecordBatch.from_arrays(values, ["chunk", "rid", "at", "data"])
+
+    return run
+
+
+def _log_scores(model_n, model_v, blocks, slices):
+    """(rid, score) of each text; rows come by chunk and number, the levels of a run (``at`` is not null) before its texts."""
+
+    def log_probabilities(data, offsets, level):
+        codes, rows = _token_codes(LOWER[data], offsets)
+        _, _, tokens, pairs = _probes(codes, rows, blocks, slices)
+        counts = middle(level)
+        own = counts[tokens]
+        context = np.full(len(codes), own[-1])  # the last token is the end
+        context[1:] = np.where(rows[1:] == rows[:-1], own[:-1], own[-1])
+        joint = np.where((own > 0) & (context > 0), np.minimum(counts[pairs], context), 0.0)  # held only if both tokens are
         weight = context / (context + KAPPA)
-        alone = (own + ALPHA) / (self.n + ALPHA * (self.v + 1))
+        alone = (own + ALPHA) / (model_n + ALPHA * (model_v + 1))
         share = np.divide(joint, context, out=np.zeros(len(codes)), where=context > 0)
-        return np.log10(weight * share + (1 - weight) * alone)
+        return np.bincount(rows, weights=np.log10(weight * share + (1 - weight) * alone), minlength=len(offsets) - 1)
+
+    def run(batches):
+        levels, rids, texts = [], [], []
+
+        def scored():
+            offsets = np.cumsum([0, *map(len, texts)])
+            level = np.frombuffer(b"".join(levels), np.uint8).astype(np.int64)
+            score = log_probabilities(np.frombuffer(b"".join(texts), np.uint8), offsets, level)
+            out = pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(score)], ["rid", "score"])
+            for x in (levels, rids, texts):
+                x.clear()
+            return out
+
+        for batch in batches:
+            for rid, at, data in zip(batch.column("rid").to_pylist(), batch.column("at").to_pylist(), batch.column("data")):
+                if at is not None:
+                    if rids:
+                        yield scored()
+                    levels.append(data.as_py())
+                else:
+                    rids.append(rid)
+                    texts.append(data.as_py())
+        if rids:
+            yield scored()
+
+    return run
 
 
-def train(texts, max_bytes=MAX_BYTES, head=HEAD):
+def log_scores(texts, model):
+    """(rid, score) of ``texts`` (chunk, rid, text): neighbouring rows of a chunk are scored together."""
+    blocks, slices = model.blocks, slices_for(model.blocks)
+    run = _log_scores(model.n, model.v, blocks, slices)
+    asked = mapped(texts, _ask(blocks, slices), "slice long, chunk long, rid long, at long, data binary")
+    if not blocks:  # nothing was learned: no n-gram has a level
+        levels = asked.select("chunk", "rid", "at", F.expr("cast(repeat('\\0', cast(length(data) / 8 AS int)) AS binary)").alias("data"))
+    else:
+        nothing = F.lit(None).cast("long")
+        number = F.expr(f"block * {slices} div {blocks}")
+        held = model.bits.select(number.alias("slice"), nothing.alias("chunk"), nothing.alias("rid"), F.col("block").alias("at"), F.col("bits").alias("data"))
+        by_slice = held.unionByName(asked).repartition("slice").sortWithinPartitions("slice", F.asc_nulls_first("chunk"))
+        levels = mapped(by_slice, _answer(blocks, slices), "chunk long, rid long, at long, data binary")
+    own = texts.select("chunk", "rid", F.lit(None).cast("long").alias("at"), F.col("text").alias("data"))
+    by_chunk = levels.unionByName(own).repartition("chunk").sortWithinPartitions("chunk", "rid", F.asc_nulls_last("at"))
+    return mapped(by_chunk, run, "rid long, score double")
+
+
+def train(texts, head=HEAD):
     """(model, table of all token counts, count from which tokens are in the model) from column ``text`` (bytes)."""
     grams = mapped(texts.select("text"), _count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
     is_token = F.col("code").bitwiseAND(1) == 0
@@ -220,19 +364,21 @@ def train(texts, max_bytes=MAX_BYTES, head=HEAD):
         least = r["n"]
     frequent = counts.where(F.col("n") >= least).toArrow()
     level = (F.floor(F.log2("n")) + 1).cast("int").alias("level")
-    bits = build_filter(grams.select("code", level), max_bytes)
+    leveled = grams.select("code", level)
+    blocks = blocks_for(sum(level * n for level, n in _sizes(leveled).items()))
+    bits = written(filled(leveled, blocks), "filter") if blocks else None
     codes = frequent.column("code").to_numpy().view(np.uint64)
-    return Model(bits, totals["n"] or 0, totals["v"], codes, frequent.column("n").to_numpy()), counts, least
+    return Model(bits, blocks, totals["n"] or 0, totals["v"], codes, frequent.column("n").to_numpy()), counts, least
 
 
 def score(docs, model, counts, least):
     """Add n_tokens, n_known, train_tokens, base_score and score to ``docs`` (column ``text``)."""
     added = {"n_tokens": "long", "n_known": "long", "train_tokens": "long", "base_score": "double", "score": "double"}
     own = [c for c in docs.columns if c.lower() not in added]
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: MAX_BYTES and HEAD
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: HEAD
     slim = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("doc"), as_text(F.col("text")).alias("text"))
     schema = slim.drop("text").schema
-    for name, kind in (("rid", "long"), ("n_tokens", "long"), ("known", "long"), ("base", "double"), ("score", "double")):
+    for name, kind in (("rid", "long"), ("chunk", "long"), ("n_tokens", "long"), ("known", "long"), ("base", "double")):
         schema = schema.add(name, kind)
     schema = schema.add("rare", T.ArrayType(T.LongType()))
     scale = model.n + ALPHA * (model.v + 1)
@@ -240,7 +386,7 @@ def score(docs, model, counts, least):
     def run(batches):
         model, rid = shared.value.ready(), TaskContext.get().partitionId() << 33
         for batch in batches:
-            for low, high, data, offsets in parts(batch, "text"):
+            for low, high, data, offsets in parts(batch, "text", COUNT_BYTES):
                 n = high - low
                 codes, rows = _token_codes(LOWER[data], offsets)
                 place = model.place(codes)
@@ -249,18 +395,17 @@ def score(docs, model, counts, least):
                 base[known] = np.log10((model.counts[place[known]] + ALPHA) / scale)
                 rare = codes[~known].view(np.int64)
                 cuts = np.searchsorted(rows[~known], np.arange(n + 1)).astype(np.int32)
-                logs = model.log_probabilities(codes, rows, place)
                 values = [
                     batch.column("doc").slice(low, n),
                     pa.array(np.arange(rid, rid + n)),
+                    pa.array(np.full(n, rid)),
                     pa.array(np.bincount(rows, minlength=n)),
                     pa.array(np.bincount(rows, weights=known, minlength=n).astype(np.int64)),
                     pa.array(np.bincount(rows, weights=base, minlength=n)),
-                    pa.array(np.bincount(rows, weights=logs, minlength=n)),
                     pa.ListArray.from_arrays(pa.array(cuts), pa.array(rare)),
                 ]
                 rid += n
-                yield pa.RecordBatch.from_arrays(values, ["doc", "rid", "n_tokens", "known", "base", "score", "rare"])
+                yield pa.RecordBatch.from_arrays(values, ["doc", "rid", "chunk", "n_tokens", "known", "base", "rare"])
 
     scored = written(mapped(slim, run, schema), "scored")
     rare = scored.select("rid", F.explode("rare").alias("code"))
@@ -268,7 +413,8 @@ def score(docs, model, counts, least):
     rest = seen.groupBy("rid").agg(
         F.sum((F.col("n") > 0).cast("long")).alias("more"), F.sum(F.log10((F.col("n") + ALPHA) / scale)).alias("rest")
     )
-    out = scored.drop("rare").join(rest, "rid", "left")
+    logs = log_scores(scored.select("chunk", "rid", as_text(F.col("doc.text")).alias("text")), model)
+    out = scored.drop("rare").join(logs, "rid").join(rest, "rid", "left")
     return out.select(
         *[F.col("doc").getField(c).alias(c) for c in own],
         "n_tokens",

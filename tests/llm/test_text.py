@@ -162,6 +162,44 @@ def test_filter_gives_levels_and_stays_within_its_bound(spark):
     assert (small.levels(codes.view(np.uint64))[kept] >= level[kept]).all()
 
 
+def test_language_model_grows_with_the_entries(spark, real):
+    from kerbline.llm.frames import as_text
+
+    docs = real.select("doc_id", "text").where("doc_id is not null")
+    learned = docs.where("doc_id % 3 > 0")
+    model, counts, least = bloom_lm.train(learned.select(as_text(learned["text"]).alias("text")))
+    lower = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+    words, pairs = Counter(), Counter()
+
+    def tokens(text):
+        return [b"\n", *(text or "").encode().translate(lower).split(), b"\n"]
+
+    for r in learned.collect():
+        own = tokens(r["text"])
+        words.update(own[1:])
+        pairs.update(zip(own, own[1:]))
+    pairs = Counter({k: c for k, c in pairs.items() if c > 1})
+    n, v = sum(words.values()), len(words)
+    entries = sum(c.bit_length() for grams in (words, pairs) for c in grams.values())
+    assert model.blocks == bloom_lm.blocks_for(entries) and bloom_lm.slices_for(model.blocks) == model.blocks > 0
+    assert bloom_lm.blocks_for(1000 * entries) > 500 * model.blocks  # grows with the entries, no bound
+    assert bloom_lm.slices_for(10**6) * bloom_lm.SLICE_BYTES >= 10**6 * bloom_lm.BLOCK_BYTES
+
+    def middle(count):
+        return 2.0 ** (count.bit_length() - 0.5) if count else 0.0
+
+    off = []
+    for r in bloom_lm.score(docs.repartition(3), model, counts, least).collect():
+        want, own = 0.0, tokens(r["text"])
+        for u, w in zip(own, own[1:]):
+            a, b = middle(words[u]), middle(words[w])
+            share = min(middle(pairs[u, w]), a) / a if a else 0.0
+            weight = a / (a + bloom_lm.KAPPA)
+            want += math.log10(weight * share + (1 - weight) * (b + bloom_lm.ALPHA) / (n + bloom_lm.ALPHA * (v + 1)))
+        off.append(abs(r["score"] / want - 1))
+    assert sorted(off)[len(off) * 9 // 10] < 0.02  # the rest is the filter's false positives
+
+
 @pytest.fixture(scope="module")
 def reference():
     with open(PATH, "rb") as lines:
