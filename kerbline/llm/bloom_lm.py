@@ -2,7 +2,7 @@
 
 Counts of tokens and of adjacent pairs are quantised to powers of two: level j stands for counts from 2^(j-1) up to 2^j.
 An n-gram of level j is entered as (n-gram, 1) to (n-gram, j), so its level is found by probing 1, 2, ... until a probe
-fails. Pairs count from the second time on. The filter is cut into blocks of 64 KB; all entries of an n-gram are in one block,
+fails. All tokens and pairs are entered. The filter is cut into blocks of 64 KB; all entries of an n-gram are in one block,
 and the number of blocks grows with the entries. The filter is a table and is never held whole: it is dealt out in slices
 of at most ``SLICE_BYTES``, the distinct n-grams of a run of texts are sent to the slices that hold them, and the levels
 found, a byte each, go back to the texts.
@@ -350,8 +350,7 @@ def train(texts, head=HEAD):
     """(model, table of all token counts, count from which tokens are in the model) from column ``text`` (bytes)."""
     grams = mapped(texts.select("text"), _count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
     is_token = F.col("code").bitwiseAND(1) == 0
-    # pairs seen once say little and are most of all pairs: the model leaves them out
-    grams = written(grams.where(is_token | (F.col("n") > 1)), "grams")
+    grams = written(grams, "grams")
     counts = grams.where(is_token)
     totals = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     octave = F.floor(F.log2("n") * 16)
