@@ -6,11 +6,13 @@ nearest reference counts, so a missing or wrong language label does not matter.
 further than ``CLASS_LIMIT``, or its words further than ``WORD_LIMIT``, from all references. Short texts say little about
 either: below ``CLASS_WORDS`` or ``COMMON_WORDS`` words the respective test is not made.
 
-References: all languages up to ``LANGUAGES``, the ones with the most documents first, and one over all documents; each
-is at most ``TOP_WORDS`` words, which bounds what is broadcast.
+A text whose script is that of no reference, like Russian where all languages are written in Latin letters, is compared with
+nothing that says anything about it: neither test is made, and both distances are 0.
 
-Edge cases: null and empty texts have no words and fail the base rules; null languages count in the reference over all
-documents; repeated rows are judged alike; an empty table gives no rows; very long texts are processed whole, one per chunk.
+References: one for every language, one over the documents without a label, and one over all documents; each is at most
+``TOP_WORDS`` words. They are broadcast in blocks of ``LANGUAGES``, and a text keeps its least distances from block to block.
+
+Edge cases: null and empty texts have no words and fail the base rules; repeated rows are judged alike; an empty table gives no rows; very long texts are processed whole, one per chunk.
 """
 
 from collections import Counter
@@ -31,7 +33,9 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 LANGUAGES, TOP_WORDS = 64, 200
 CLASS_WORDS, COMMON_WORDS = 40, 60
 CLASS_LIMIT, WORD_LIMIT = 0.30, 0.55
-ALL = "*"
+ALL, UNLABELLED = "*", "*null"
+#: Scripts by the first two bytes of a letter: 0 is Latin, -1 no letter of a script.
+SCRIPTS = 40
 SLICES = 32
 FLUSH = 100_000
 
@@ -49,6 +53,18 @@ def _class_table():
     return table
 
 
+def _script_table():
+    table = np.full((256, 256), -1, np.int64)
+    table[65:91], table[97:123], table[0xC3:0xCD] = 0, 0, 0
+    spans = (0xCD, 0xCF), (0xD0, 0xD4), (0xD5, 0xD6), (0xD7, 0xD7), (0xD8, 0xDD), (0xDE, 0xDF), (0xE3, 0xE9), (0xEA, 0xED)
+    for i, (low, high) in enumerate(spans):
+        table[low : high + 1] = i + 1
+    table[0xE0] = 16 + ((np.arange(256) >> 1) & 15)
+    table[0xE1] = 32 + ((np.arange(256) >> 3) & 7)
+    return table
+
+
+SCRIPT_OF = _script_table()
 CLASS_OF = _class_table()
 IS_SYMBOL = np.isin(np.arange(256), list(SYMBOLS))
 
@@ -66,6 +82,21 @@ def class_counts(data, offsets):
     return np.bincount(cells, minlength=(len(offsets) - 1) * len(CLASS_NAMES)).reshape(-1, len(CLASS_NAMES))
 
 
+def script_counts(data, offsets):
+    """Letters of each script in each row."""
+    n_rows = len(offsets) - 1
+    first = np.flatnonzero(~_continues(data))
+    script = SCRIPT_OF[data[first], data[np.minimum(first + 1, len(data) - 1)]]
+    rows = np.repeat(np.arange(n_rows), np.diff(offsets))[first]
+    cells = (rows * SCRIPTS + script)[script >= 0]
+    return np.bincount(cells, minlength=n_rows * SCRIPTS).reshape(-1, SCRIPTS)
+
+
+def main_script(counts):
+    """Script of more than half of the letters of each row, or -1."""
+    return np.where(2 * counts.max(1) > counts.sum(1), counts.argmax(1), -1)
+
+
 def repeated_words(hashes, rows, n_rows, window=WINDOW):
     """Words of each row in windows of ``window`` words found twice or more in the row."""
     n = len(hashes)
@@ -105,14 +136,16 @@ def base_counts(data, offsets):
 
 
 def _tallies(batches):
-    """(lang, key, n) of a task: words under w, character classes under c; languages also under ``ALL``."""
-    words, classes = {}, {}
+    """(lang, key, n) of a task: words under w, character classes under c, scripts under s; texts without a label under ``UNLABELLED``."""
+    words, classes, scripts = {}, {}, {}
 
     def rows():
         out = [(lang, b"w" + key, n) for lang, tally in words.items() for key, n in tally.items()]
         out += [(lang, b"c%d" % i, int(n)) for lang, sums in classes.items() for i, n in enumerate(sums)]
+        out += [(lang, b"s%d" % i, int(n)) for lang, sums in scripts.items() for i, n in enumerate(sums) if n]
         words.clear()
         classes.clear()
+        scripts.clear()
         langs, keys, counts = zip(*out) if out else ((), (), ())
         return pa.RecordBatch.from_arrays(
             [pa.array(langs, pa.string()), pa.array(keys, pa.binary()), pa.array(counts, pa.int64())], ["lang", "key", "n"]
@@ -121,27 +154,26 @@ def _tallies(batches):
     for batch in batches:
         langs = batch.column("lang").to_pylist()
         for low, _, data, offsets in buffers.parts(batch, "text"):
-            sums = class_counts(data, offsets)
+            sums, letters = class_counts(data, offsets), script_counts(data, offsets)
             raw = buffers.LOWER[data].tobytes()
             for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:])):
-                lang = langs[low + i] if langs[low + i] is not None else ALL
+                lang = langs[low + i] if langs[low + i] is not None else UNLABELLED
                 words.setdefault(lang, Counter()).update(raw[a:b].split())
                 classes[lang] = classes.get(lang, 0) + sums[i]
+                scripts[lang] = scripts.get(lang, 0) + letters[i]
             if sum(map(len, words.values())) > FLUSH:
                 yield rows()
     yield rows()
 
 
-def references(docs, languages=LANGUAGES, top_words=TOP_WORDS):
-    """{language: (class counts, {word: count}, other words)} over all documents, with one under ``ALL`` for all."""
+def references(docs, top_words=TOP_WORDS):
+    """{language: (class counts, {word: count}, other words, main script)}, with one under ``ALL`` for all documents and one
+    under ``UNLABELLED`` for those without a language."""
     slim = docs.select(F.col("lang").cast("string").alias("lang"), as_text(F.col("text")).alias("text"))
     tallies = mapped(slim, _tallies, "lang string, key binary, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
     tallies = written(tallies, "tallies")
-    chars = tallies.where(F.substring("key", 1, 1) == F.lit(b"c")).groupBy("lang").agg(F.sum("n").alias("n"))
-    named = [r["lang"] for r in chars.where(F.col("lang") != ALL).orderBy(F.desc("n"), "lang").limit(languages).collect()]
-    wanted = tallies.withColumn("lang", F.when(F.col("lang").isin(named), F.col("lang")).otherwise(ALL))
     everything = tallies.groupBy("key").agg(F.sum("n").alias("n")).withColumn("lang", F.lit(ALL))
-    wanted = wanted.where(F.col("lang") != ALL).unionByName(everything)
+    wanted = tallies.unionByName(everything)
     is_word = F.substring("key", 1, 1) == F.lit(b"w")
     # first in slices of the vocabulary, so that what meets for a language is SLICES * top_words rows, however many tasks
     # there are; each rank limit is also applied in every task before its exchange
@@ -153,11 +185,16 @@ def references(docs, languages=LANGUAGES, top_words=TOP_WORDS):
     totals = wanted.where(is_word).groupBy("lang").agg(F.sum("n").alias("n"))
     out = {}
     for r in wanted.where(~is_word).collect():
-        out.setdefault(r["lang"], (np.zeros(len(CLASS_NAMES)), {}, 0))[0][int(bytes(r["key"])[1:])] = r["n"]
+        key = bytes(r["key"])
+        own = out.setdefault(r["lang"], (np.zeros(len(CLASS_NAMES)), {}, np.zeros((1, SCRIPTS))))
+        if key[:1] == b"c":
+            own[0][int(key[1:])] = r["n"]
+        else:
+            own[2][0, int(key[1:])] = r["n"]
     for r in top.select("lang", "key", "n").collect():
         out[r["lang"]][1][bytes(r["key"])[1:]] = r["n"]
     sums = {r["lang"]: r["n"] for r in totals.collect()}
-    return {k: (c, w, sums.get(k, 0) - sum(w.values())) for k, (c, w, _) in sorted(out.items()) if c.sum()}
+    return {k: (c, w, sums.get(k, 0) - sum(w.values()), int(main_script(x)[0])) for k, (c, w, x) in sorted(out.items()) if c.sum()}
 
 
 def js_distance(p, q):
@@ -177,11 +214,12 @@ def js_distance(p, q):
 
 
 class Judge:
-    """Distances of texts from the references; shipped to the tasks."""
+    """Distances of texts from a block of references; shipped to the tasks."""
 
     def __init__(self, references):
-        self.classes = [c for c, _, _ in references.values()]
-        vocabulary = sorted({word for _, words, _ in references.values() for word in words})
+        self.classes = [c for c, _, _, _ in references.values()]
+        self.scripts = {script for name, (_, _, _, script) in references.items() if name != ALL}
+        vocabulary = sorted({word for _, words, _, _ in references.values() for word in words})
         place = {word: i for i, word in enumerate(vocabulary)}
         raw = np.frombuffer(b"".join(vocabulary), np.uint8)
         ends = np.cumsum([0, *map(len, vocabulary)])
@@ -190,7 +228,7 @@ class Judge:
         self.hashes = hashes[self.order]
         self.words = [
             (np.array([place[w] for w in words], np.int64), np.array([*words.values(), other], float))
-            for _, words, other in references.values()
+            for _, words, other, _ in references.values()
         ]
 
     def distances(self, data, offsets, starts, ends, rows):
@@ -213,10 +251,22 @@ class Judge:
         return of_class, of_words
 
 
-def _verdicts(judge, data, offsets, class_limit, word_limit):
+def judges(spark, refs):
+    """Broadcasts of the references in blocks: at most LANGUAGES * TOP_WORDS words each."""
+    names = list(refs)
+    blocks = [names[i : i + LANGUAGES] for i in range(0, len(names), LANGUAGES)] or [[]]
+    return [spark.sparkContext.broadcast(Judge({name: refs[name] for name in block})) for block in blocks]
+
+
+def _verdicts(shared, data, offsets, class_limit, word_limit):
     """Result columns of each row of a chunk."""
     counts, starts, ends, rows = base_counts(data, offsets)
-    of_class, of_words = judge.distances(data, offsets, starts, ends, rows)
+    judges = [block.value for block in shared]
+    found = [judge.distances(data, offsets, starts, ends, rows) for judge in judges]
+    of_class, of_words = (np.min(x, 0) for x in zip(*found))
+    script = main_script(script_counts(data, offsets))
+    foreign = (script > 0) & ~np.isin(script, [x for judge in judges for x in judge.scripts])
+    of_class, of_words = np.where(foreign, 0.0, of_class), np.where(foreign, 0.0, of_words)
     n = counts["n_words"]
     failed = (n < MIN_WORDS) | (100 * counts["n_repeat_words"] > MAX_REPEAT_PERCENT * n)
     near = ((n < CLASS_WORDS) | (of_class <= class_limit)) & ((n < COMMON_WORDS) | (of_words <= word_limit))
@@ -227,7 +277,7 @@ def _verdicts(judge, data, offsets, class_limit, word_limit):
 
 def judge(docs, refs, class_limit=CLASS_LIMIT, word_limit=WORD_LIMIT):
     """Add the base counts, base_failed, both distances and kept to ``docs`` (column ``text``)."""
-    shared = docs.sparkSession.sparkContext.broadcast(Judge(refs))  # bounded: LANGUAGES * TOP_WORDS words
+    shared = judges(docs.sparkSession, refs)
     (raw,) = fresh(docs, "raw")
     added = dict.fromkeys(("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"), "long")
     added |= {"base_failed": "boolean", "class_distance": "double", "word_distance": "double", "kept": "boolean"}
@@ -236,7 +286,7 @@ def judge(docs, refs, class_limit=CLASS_LIMIT, word_limit=WORD_LIMIT):
     def run(batches):
         for batch in batches:
             for low, high, data, offsets in buffers.parts(batch, raw):
-                values = _verdicts(shared.value, data, offsets, class_limit, word_limit)
+                values = _verdicts(shared, data, offsets, class_limit, word_limit)
                 yield buffers.with_columns(batch.slice(low, high - low).drop_columns([raw]), values)
 
     return mapped(plain.withColumn(raw, as_text(F.col("text"))), run, schema_with(plain, **added))
@@ -244,7 +294,7 @@ def judge(docs, refs, class_limit=CLASS_LIMIT, word_limit=WORD_LIMIT):
 
 def passing(docs, refs, class_limit=CLASS_LIMIT, word_limit=WORD_LIMIT):
     """The documents that are kept, with their own columns only; the text goes to the tasks once."""
-    shared = docs.sparkSession.sparkContext.broadcast(Judge(refs))
+    shared = judges(docs.sparkSession, refs)
     place = [c.lower() for c in docs.columns].index("text")
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
 
@@ -253,7 +303,7 @@ def passing(docs, refs, class_limit=CLASS_LIMIT, word_limit=WORD_LIMIT):
             texts = batch.column("doc").field(place).cast(pa.large_binary())
             texts = pa.RecordBatch.from_arrays([texts], ["text"])
             for low, high, data, offsets in buffers.parts(texts, "text"):
-                kept = _verdicts(shared.value, data, offsets, class_limit, word_limit)["kept"]
+                kept = _verdicts(shared, data, offsets, class_limit, word_limit)["kept"]
                 yield batch.slice(low, high - low).filter(kept)
 
     return mapped(whole, run, whole.schema).select("doc.*")

@@ -105,6 +105,33 @@ def test_quality_of_nothing(none, odd):
     assert quality.judge(odd, refs).count() == odd.count()
 
 
+def _prose(alphabet, seed, n):
+    """Invented prose: a few common words among many rare ones."""
+    rng = random.Random(seed)
+    common = ["".join(rng.choices(alphabet, k=rng.randint(2, 4))) for _ in range(30)]
+    return " ".join(rng.choice(common) if rng.random() < 0.5 else "".join(rng.choices(alphabet, k=rng.randint(4, 9))) for _ in range(n))
+
+
+LATIN, RUSSIAN, GREEK = "abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуя", "αβγδεζηθικλμνοπρστυ"
+
+
+def test_quality_keeps_every_language(spark):
+    rows = [(f"l{i:03}", _prose(LATIN, i, 4000)) for i in range(quality.LANGUAGES + 3)]
+    rows += [("zz", _prose(RUSSIAN, 1, 300))]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    refs = quality.references(docs)
+    assert set(refs) == {lang for lang, _ in rows} | {quality.ALL}
+    assert len(quality.judges(spark, refs)) == 2
+    assert all(r["kept"] for r in quality.judge(docs, refs).collect())
+    # a script without a reference is not tested; one with a reference is
+    more = spark.createDataFrame([("g", _prose(GREEK, 5, 300))], "lang string, text string")
+    assert quality.judge(more, refs).first()["kept"]
+    junk = spark.createDataFrame([("g", "б#$%*&|<> " * 30 + "".join(chr(33 + i % 14) + " " for i in range(300)))], "lang string, text string")
+    assert not quality.judge(junk, refs).first()["kept"]
+    unlabelled = spark.createDataFrame([(None, _prose(RUSSIAN, 2, 300)), ("en", _prose(LATIN, 500, 4000))], "lang string, text string")
+    assert all(r["kept"] for r in quality.judge(unlabelled, quality.references(unlabelled)).collect())
+
+
 def test_js_distance():
     q = np.array([1.0, 1.0, 0.0])
     p = np.array([[2.0, 2.0, 0.0], [0.0, 0.0, 5.0], [0.0, 0.0, 0.0], [1.0, 0.0, 0.0]])
