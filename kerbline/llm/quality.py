@@ -6,6 +6,11 @@ nearest reference counts, so a missing or wrong language label does not matter.
 further than ``CLASS_LIMIT``, or its words further than ``WORD_LIMIT``, from all references. Short texts say little about
 either: below ``CLASS_WORDS`` or ``COMMON_WORDS`` words the respective test is not made.
 
+The word distance is told relative to the reference: a text with none of its common words is at a distance that depends on
+how much of the language they cover. ``WORD_SHARE`` of that distance, if it is below ``WORD_LIMIT``, is scaled to
+``WORD_LIMIT``, so words alone that a language does not know fail. The reference over all documents mixes languages and is
+not used for words where there is another one.
+
 A text whose script is that of no reference, like Russian where all languages are written in Latin letters, is compared with
 nothing that says anything about it: neither test is made, and both distances are 0.
 
@@ -33,6 +38,7 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 LANGUAGES, TOP_WORDS = 64, 200
 CLASS_WORDS, COMMON_WORDS = 40, 60
 CLASS_LIMIT, WORD_LIMIT = 0.30, 0.55
+WORD_SHARE = 0.97
 ALL, UNLABELLED = "*", "*null"
 #: Scripts by the first two bytes of a letter: 0 is Latin, -1 no letter of a script.
 SCRIPTS = 40
@@ -213,6 +219,13 @@ def js_distance(p, q):
     return np.where(total[:, 0] > 0, np.sqrt(divergence), 0.0)
 
 
+def _scale(counts):
+    """What brings ``WORD_SHARE`` of the distance of a text without common words to ``WORD_LIMIT``; 1 if it is above."""
+    blank = np.zeros((1, len(counts)))
+    blank[0, -1] = 1
+    return max(1.0, WORD_LIMIT / (WORD_SHARE * max(js_distance(blank, counts)[0], 1e-9)))
+
+
 class Judge:
     """Distances of texts from a block of references; shipped to the tasks."""
 
@@ -227,27 +240,34 @@ class Judge:
         self.order = np.argsort(hashes)
         self.hashes = hashes[self.order]
         self.words = [
-            (np.array([place[w] for w in words], np.int64), np.array([*words.values(), other], float))
-            for _, words, other, _ in references.values()
+            (np.array([place[w] for w in words], np.int64), np.array([*words.values(), other], float), name == ALL)
+            for name, (_, words, other, _) in references.items()
+            if words
         ]
 
-    def distances(self, data, offsets, starts, ends, rows):
+    def named(self):
+        """Whether the block has a reference other than that over all documents."""
+        return not all(over_all for _, _, over_all in self.words)
+
+    def distances(self, data, offsets, starts, ends, rows, over_all=True):
         n, size = len(offsets) - 1, len(self.hashes)
         chars = class_counts(data, offsets).astype(float)
         of_class = np.min([js_distance(chars, q) for q in self.classes], 0) if self.classes else np.zeros(n)
         if not size:
-            return of_class, np.zeros(n)
+            return of_class, np.full(n, np.inf)
         found = buffers.Hasher(buffers.SYMBOL_CODES[buffers.LOWER[data]]).of(starts, ends)
         spot = np.minimum(np.searchsorted(self.hashes, found), size - 1)
         known = self.hashes[spot] == found
         cells = rows[known] * size + self.order[spot[known]]
         table = np.bincount(cells, minlength=n * size).reshape(n, size).astype(float)
         n_words = np.bincount(rows, minlength=n)
-        of_words = np.full(n, 1.0)
-        for places, counts in self.words:
+        of_words = np.full(n, np.inf)
+        for places, counts, mixed in self.words:
+            if mixed and not over_all:
+                continue
             own = table[:, places]
             rest = (n_words - own.sum(1))[:, None]
-            of_words = np.minimum(of_words, js_distance(np.hstack([own, rest]), counts))
+            of_words = np.minimum(of_words, js_distance(np.hstack([own, rest]), counts) * _scale(counts))
         return of_class, of_words
 
 
@@ -262,8 +282,10 @@ def _verdicts(shared, data, offsets, class_limit, word_limit):
     """Result columns of each row of a chunk."""
     counts, starts, ends, rows = base_counts(data, offsets)
     judges = [block.value for block in shared]
-    found = [judge.distances(data, offsets, starts, ends, rows) for judge in judges]
+    over_all = not any(judge.named() for judge in judges)
+    found = [judge.distances(data, offsets, starts, ends, rows, over_all) for judge in judges]
     of_class, of_words = (np.min(x, 0) for x in zip(*found))
+    of_words = np.where(np.isinf(of_words), 0.0, np.minimum(of_words, 1.0))
     script = main_script(script_counts(data, offsets))
     foreign = (script > 0) & ~np.isin(script, [x for judge in judges for x in judge.scripts])
     of_class, of_words = np.where(foreign, 0.0, of_class), np.where(foreign, 0.0, of_words)

@@ -132,6 +132,19 @@ def test_quality_keeps_every_language(spark):
     assert all(r["kept"] for r in quality.judge(unlabelled, quality.references(unlabelled)).collect())
 
 
+def test_quality_drops_words_that_no_language_knows(spark, sf_dir):
+    docs = spark.read.parquet(sf_dir.replace("0.001", "0.01") + "/documents.parquet").select("text", "lang")
+    refs = quality.references(docs)
+    rng = random.Random(2)
+    sizes = [rng.randint(3, 9) for _ in range(400)]
+    letters = "e" * 12 + "t" * 9 + "a" * 8 + "o" * 7 + "inshrdlu" * 5 + "cmfwypvbgk"
+    gibberish = [" ".join("".join(rng.choices(letters, k=n + 6)) for n in rng.sample(sizes, 300)).capitalize() + "." for _ in range(5)]
+    rows = [(text, "en") for text in gibberish]
+    out = quality.judge(spark.createDataFrame(rows, "text string, lang string"), refs).collect()
+    assert not any(r["base_failed"] for r in out) and all(r["class_distance"] <= quality.CLASS_LIMIT for r in out)
+    assert not any(r["kept"] for r in out)
+
+
 def test_js_distance():
     q = np.array([1.0, 1.0, 0.0])
     p = np.array([[2.0, 2.0, 0.0], [0.0, 0.0, 5.0], [0.0, 0.0, 0.0], [1.0, 0.0, 0.0]])
