@@ -2,8 +2,9 @@
 
 Texts are folded first: letters lower-cased, every run of other characters one blank. Each n-gram of one to three folded
 characters falls into one of 2^16 buckets. Training counts buckets per language inside the tasks and adds the counts up
-in Spark; the matrix of smoothed log-probabilities (languages x buckets, at most ``LANGUAGES`` rows, the most frequent
-ones) is broadcast, and tasks score a chunk of texts at a time as a sparse row-times-matrix product in numpy.
+in Spark; the matrix of smoothed log-probabilities (languages x buckets) is broadcast in blocks of at most ``LANGUAGES``
+rows, and tasks score a chunk of texts at a time as a sparse row-times-matrix product in numpy. The best language, its score
+and the sum of all scores go on from block to block, so any number of languages is learned.
 
 Edge cases: a null text, or one without a letter, gives ``und`` and score 0, and so does an empty training set. Equal
 scores give the language that sorts first. Rows without a label are not learned from. Repeated rows count repeatedly.
@@ -104,54 +105,63 @@ def _count(batches):
 
 
 def fit(docs, smoothing=SMOOTHING):
-    """(languages, log priors, log-probabilities by bucket and language) from columns ``text`` and ``lang``."""
+    """Blocks of (languages, log priors, log-probabilities by bucket and language) from columns ``text`` and ``lang``."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     slim = known.select(F.col("lang").cast("string").alias("lang"), as_text(F.col("text")).alias("text"))
     counts = mapped(slim, _count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     counts = counts.persist()
-    texts = counts.where("bucket = -1").orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    langs = sorted(r["lang"] for r in texts)
-    found = counts.where(F.col("bucket") >= 0).where(F.col("lang").isin(langs)).toPandas()
+    size = {r["lang"]: r["n"] for r in counts.where("bucket = -1").collect()}
+    names, model = sorted(size), []
+    for low in range(0, len(names), LANGUAGES):
+        langs = names[low : low + LANGUAGES]
+        found = counts.where(F.col("bucket") >= 0).where(F.col("lang").isin(langs)).toPandas()
+        matrix = np.zeros((len(langs), BUCKETS))
+        place = {lang: i for i, lang in enumerate(langs)}
+        matrix[found["lang"].map(place).to_numpy(int), found["bucket"].to_numpy()] = found["n"].to_numpy()
+        matrix += smoothing
+        logs = np.log(matrix / matrix.sum(1, keepdims=True)).astype(np.float32)
+        priors = np.log(np.array([size[lang] for lang in langs], float) / max(1, sum(size.values())))
+        model.append((langs, priors, logs))
     counts.unpersist()
-    matrix = np.zeros((len(langs), BUCKETS))
-    place = {lang: i for i, lang in enumerate(langs)}
-    matrix[found["lang"].map(place).to_numpy(int), found["bucket"].to_numpy()] = found["n"].to_numpy()
-    matrix += smoothing
-    logs = np.log(matrix / matrix.sum(1, keepdims=True)).astype(np.float32)
-    size = {r["lang"]: r["n"] for r in texts}
-    priors = np.log(np.array([size[lang] for lang in langs], float) / max(1, sum(size.values())))
-    return langs, priors, logs
-
-
-def scores(model, data, offsets):
-    """(best language index or -1, posterior probability) of each row."""
-    langs, priors, logs = model
+    return model
+
+
+def scores(blocks, data, offsets):
+    """(best language index over all blocks or -1, posterior probability) of each row."""
     n = len(offsets) - 1
+    best, top, odds, low = np.full(n, -1), np.full(n, -np.inf), np.zeros(n), 0
     codes, rows, letters = folded(data, offsets)
-    if not langs:
-        return np.full(n, -1), np.zeros(n)
-    total = np.tile(priors, (n, 1))
-    for bucket, row in grams(codes, rows):
-        for i in range(len(langs)):
-            total[:, i] += np.bincount(row, weights=logs[i][bucket], minlength=n)
-    best = total.argmax(1)
-    odds = np.exp(total - total.max(1, keepdims=True)).sum(1)
+    found = list(grams(codes, rows))
+    for langs, priors, logs in blocks:
+        total = np.tile(priors, (n, 1))
+        for bucket, row in found:
+            for i in range(len(langs)):
+                total[:, i] += np.bincount(row, weights=logs[i][bucket], minlength=n)
+        here = total.max(1)
+        best = np.where(here > top, low + total.argmax(1), best)
+        most = np.maximum(top, here)
+        odds = odds * np.exp(top - most) + np.exp(total - most[:, None]).sum(1)
+        top, low = most, low + len(langs)
+    if not low:
+        return best, np.zeros(n)
     return np.where(letters > 0, best, -1), np.where(letters > 0, 1 / odds, 0.0)
 
 
 def predict(docs, model):
     """Add lang_pred and score to ``docs`` (column ``text``)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: LANGUAGES * BUCKETS floats
+    context = docs.sparkSession.sparkContext
+    shared = [context.broadcast(block) for block in model]  # bounded: LANGUAGES * BUCKETS floats each
     (raw,) = fresh(docs, "raw")
     added = {"lang_pred": "string", "score": "double"}
     plain = docs.select([f"`{c}`" for c in docs.columns if c.lower() not in added])
 
+    known = [lang for langs, _, _ in model for lang in langs]
+
     def run(batches):
-        model = shared.value
-        names = np.array([*model[0], UNKNOWN], object)
+        names = np.array([*known, UNKNOWN], object)
         for batch in batches:
             for low, high, data, offsets in buffers.parts(batch, raw):
-                best, score = scores(model, data, offsets)
+                best, score = scores((block.value for block in shared), data, offsets)
                 values = {"lang_pred": pa.array(names[best], pa.string()), "score": pa.array(score)}
                 yield buffers.with_columns(batch.slice(low, high - low).drop_columns([raw]), values)
 

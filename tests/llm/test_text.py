@@ -43,6 +43,21 @@ def test_language_edge_cases(odd, none):
     assert {r["lang_pred"] for r in langid.predict(odd, empty).collect()} == {"und"}
 
 
+def test_language_of_more_than_one_block(spark):
+    letters = [chr(0x4E00 + i) for i in range(langid.LANGUAGES + 3)]
+    rows = [(f"l{i:03}", (c + " ") * 20) for i, c in enumerate(letters)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    model = langid.fit(docs)
+    assert [len(langs) for langs, _, _ in model] == [langid.LANGUAGES, 3]
+    got = langid.predict(docs, model).collect()
+    assert len(got) == len(rows) and all(r["lang_pred"] == r["lang"] for r in got)
+    raw = [t.encode() for _, t in rows] + [letters[0].encode(), b"none of these"]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+    whole = [tuple(np.concatenate([block[k] for block in model]) for k in range(3))]
+    for one, many in zip(langid.scores(whole, data, offsets), langid.scores(model, data, offsets)):
+        assert np.allclose(one, many)
+
+
 def test_language_scores_are_naive_bayes():
     texts = ["abab ba", "cdcd dc", "ab cd"]
     raw = [t.encode() for t in texts]
