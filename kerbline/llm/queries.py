@@ -2,7 +2,19 @@
 
 from pyspark.sql import functions as F
 
-from kerbline.llm import bloom_lm, bpe, exact_dedup, html_text, langid, mixing, quality, simhash, suffix_dedup, url_filter
+from kerbline.llm import (
+    bloom_lm,
+    bpe,
+    exact_dedup,
+    html_text,
+    langid,
+    mixing,
+    periodic,
+    quality,
+    simhash,
+    suffix_dedup,
+    url_filter,
+)
 from kerbline.llm.frames import as_text, table
 
 
@@ -57,6 +69,10 @@ def op10_byte_bpe(spark, sf_dir):
     return bpe.digests(bpe.decode(bpe.encode(docs).drop("text")))
 
 
+def op13_periodic_runs(spark, sf_dir):
+    return periodic.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_simhash": op2_simhash,
@@ -68,4 +84,5 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_url_filter": op9_url_filter,
     "op10_byte_bpe": op10_byte_bpe,
+    "op13_periodic_runs": op13_periodic_runs,
 }
