@@ -3,10 +3,12 @@
 from pyspark.sql import functions as F
 
 from kerbline.llm import (
+    alignment,
     bloom_lm,
     bpe,
     exact_dedup,
     html_text,
+    jaccard,
     langid,
     mixing,
     periodic,
@@ -69,6 +71,14 @@ def op10_byte_bpe(spark, sf_dir):
     return bpe.digests(bpe.decode(bpe.encode(docs).drop("text")))
 
 
+def op11_tokenizer_alignment(spark, sf_dir):
+    return alignment.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_jaccard_join(spark, sf_dir):
+    return jaccard.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op13_periodic_runs(spark, sf_dir):
     return periodic.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -84,5 +94,7 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_url_filter": op9_url_filter,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
+    "op12_jaccard_join": op12_jaccard_join,
     "op13_periodic_runs": op13_periodic_runs,
 }
