@@ -18,7 +18,7 @@ from kerbline.plans import batch_jobs  # noqa: E402
 from kerbline.schemas import TRIP_CATALOG  # noqa: E402
 from kerbline.session import get_spark  # noqa: E402
 from kerbline.sources import count_log, keyed_table, topics  # noqa: E402
-from kerbline.streaming import jobs, run  # noqa: E402
+from kerbline.streaming import jobs, run, totals  # noqa: E402
 
 
 def _source(spark, args, position=False):
@@ -104,8 +104,10 @@ def window_counts(spark, args):
     if args.watermark:
         counts = jobs.windows_with_watermark(jobs.decode_enriched(_source(spark, args)), args.watermark)
         keys = ("cid", "window_start", "window_end")
-        query = _finish(jobs.keep_totals(counts, keys, args.target, args.checkpoint), args)
-        print(f"rows dropped as later than {args.watermark}: {run.rows_dropped(query)}")
+        with totals.listening(spark) as sums:
+            query = _finish(jobs.keep_totals(counts, keys, args.target, args.checkpoint), args)
+            found = sums.of(query)
+        print(f"groups of rows dropped as later than {args.watermark}: {found.get(totals.DROPPED, 0)}")
     else:
         _trips(spark, args, [jobs.write_batch_counts(args.target)])
         jobs.window_totals(spark, args.target).orderBy("window_start", "cid").show()
@@ -137,14 +139,11 @@ def scan(spark, args):
 
 
 def compact(spark, args):
-    if args.target:
-        keyed_table.copy_current(spark, args.table, args.target)
-    else:
-        keyed_table.compact(spark, args.table)
+    keyed_table.copy_current(spark, args.table, args.target)
 
 
 def compact_counts(spark, args):
-    count_log.compact(spark, args.counts, args.columns.split(","))
+    count_log.copy_totals(spark, args.counts, args.target, args.columns.split(","))
 
 
 def produce(spark, args):
@@ -226,8 +225,8 @@ def parser():
     sub.add_argument("--prefix")
     sub.add_argument("--cluster", type=int)
     sub.add_argument("--rows", type=int, default=20)
-    command("compact", compact, "table").add_argument("--target", help="write a copy instead")
-    sub = command("compact-counts", compact_counts, "counts")
+    command("compact", compact, "table", "target")
+    sub = command("compact-counts", compact_counts, "counts", "target")
     sub.add_argument("--columns", default="n_rows,n_cid", help="columns that add up")
     stream("produce", produce, "target").add_argument("--count", type=int, default=jobs.ITEM_COUNT)
     stream("replay", replay, "folder", "target").add_argument("--files-per-batch", type=int)

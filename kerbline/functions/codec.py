@@ -64,7 +64,10 @@ def decode_json(messages, schema, value="value", strict=False, required=()):
     """
     raw = F.col(value)
     record = F.from_json(raw, f"{_ddl(schema)}, {CORRUPT} string", PERMISSIVE)
-    broken = F.col(CORRUPT).isNotNull() | F.coalesce(*[F.col(f.name).cast("string") for f in schema]).isNull()
+    nothing = F.lit(True)
+    for field in schema:
+        nothing = nothing & F.col(field.name).isNull()
+    broken = F.col(CORRUPT).isNotNull() | nothing
     for name in required:
         broken = broken | F.col(name).isNull()
     for field in schema:
@@ -93,6 +96,27 @@ def json_to_map(column):
     return F.from_json(column, "map<string,string>")
 
 
+def json_to_variants(column):
+    """JSON object text to MAP<STRING, VARIANT>: values keep their types, numbers, booleans, lists and objects alike.
+
+    Text that is no JSON, or no object, gives a null map; a JSON null is a value. ``variant_value`` reads one.
+    """
+    return F.try_variant_get(F.try_parse_json(column), "$", "map<string,variant>")
+
+
+def variant_value(variants, key, kind, path="$"):
+    """A value of a map of VARIANT as ``kind``, from ``path`` inside it; null if it is missing or of another kind."""
+    return F.try_variant_get(F.try_element_at(variants, F.lit(key)), path, kind)
+
+
+def encode_map(variants):
+    """A map as JSON text: keys in code point order, values of any type, null values written as null. A null map is null."""
+    ordered = F.transform(
+        F.array_sort(F.map_keys(variants)), lambda key: F.struct(key.alias("key"), F.element_at(variants, key).alias("value"))
+    )
+    return F.when(variants.isNotNull(), F.to_json(F.map_from_entries(ordered)))
+
+
 def _wire(df, names):
     # A cast keeps all six fraction digits; the JSON and CSV writers cut to three.
     types = dict(df.dtypes)

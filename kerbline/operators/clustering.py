@@ -6,13 +6,14 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from kerbline.functions import codec
+from kerbline.operators import center_index
 from kerbline.schemas import CENTER
 
 SPLIT_SEED = 5043
 FIT_SEED = 5043
 
-# Distances to so many centres are unrolled in one step of ``nearest``: the generated methods stay below the 8,000 bytes
-# of code that HotSpot compiles, for any number of centres.
+# Distances to so many centres are unrolled in ``nearest``: the generated methods stay below the 8,000 bytes of code that
+# HotSpot compiles. More centres are looked up in an index.
 BLOCK = 50
 
 # Proven size bound of a broadcast centre table: 100,000 rows of 20 bytes.
@@ -107,25 +108,22 @@ def _distances(centers):
 def nearest(df, centers, distance=None):
     """Add ``cid``, the nearest centre; ties go to the lowest id.
 
-    The centres are literals in the plan: assignment is row-local, with no join
-    and no shuffle. They are taken in blocks, each of which keeps the nearest so
-    far, so the cost per centre does not depend on their number. A row without
-    finite coordinates gets a null id. ``distance`` names an extra column for the
-    squared distance.
+    Up to ``BLOCK`` centres are literals in the plan: assignment is row-local, with no join and no shuffle. More of them are
+    looked up in an index of plane cells (``center_index``), so that neither the plan nor the cost of a row grows with
+    their number. A row without finite coordinates gets a null id. ``distance`` names an extra column for the squared
+    distance.
 
-    The result of a block leaves through a one-row generator. Expressions above it,
-    as a filter on ``cid``, would otherwise be merged with copies of all distances.
+    The result of the literals leaves through a one-row generator. Expressions above it, as a filter on ``cid``, would
+    otherwise be merged with copies of all distances.
     """
-    out, own = df, list(df.columns)
-    for low in range(0, len(centers), BLOCK):
-        measured = out.withColumn("_d", _distances(centers[low : low + BLOCK])).withColumn("_b", F.array_min("_d"))
-        place = (F.array_position("_d", F.col("_b")) - 1 + low).cast("int")
-        best = F.col("_b")
-        if low:
-            closer = F.col("_b") < F.col("_m")
-            place = F.when(closer, place).otherwise(F.col("_c"))
-            best = F.when(closer, best).otherwise(F.col("_m"))
-        out = measured.select(*own, F.inline(F.array(F.struct(best.alias("_m"), place.alias("_c")))))
+    own = list(df.columns)
+    if len(centers) > BLOCK:
+        out = center_index.nearest(df, centers, codec.finite("lat") & codec.finite("lon"))
+        best = [F.col("_best.cid").alias("cid")] + ([F.col("_best.d2").alias(distance)] if distance else [])
+        return out.select(*own, *best)
+    measured = df.withColumn("_d", _distances(centers)).withColumn("_m", F.array_min("_d"))
+    place = (F.array_position("_d", F.col("_m")) - 1).cast("int")
+    out = measured.select(*own, F.inline(F.array(F.struct("_m", place.alias("_c")))))
     known = F.col("_m") < float("inf")
     added = [F.when(known, F.col("_c")).alias("cid")]
     if distance:

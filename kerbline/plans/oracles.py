@@ -1,7 +1,7 @@
 """The same results in ANSI SQL, used to check ``queries`` against another engine."""
 
 from kerbline.operators.centers import CITY_CENTERS
-from kerbline.plans.queries import LLOYD_K, LLOYD_ROUNDS, many_centers
+from kerbline.plans.queries import EAST, LLOYD_K, LLOYD_ROUNDS, NORTH, PICKUP_CENTERS, many_centers
 
 TRIPS = """trips AS (
   SELECT event_id, ts AS dt,
@@ -33,6 +33,16 @@ NEAREST = f"""ranked AS (
 clustered AS (
   SELECT event_id, dt, lat, lon, base, cid, clat, clon, d2 FROM ranked WHERE place = 1)"""
 
+PICKUPS = f"""centers AS (
+  SELECT CAST(row_number() OVER (ORDER BY event_id) - 1 AS INTEGER) AS cid,
+         lat + CAST({NORTH!r} AS DOUBLE) AS clat, lon + CAST({EAST!r} AS DOUBLE) AS clon
+  FROM trips ORDER BY event_id LIMIT {PICKUP_CENTERS}),
+least AS (SELECT event_id, min({D2}) AS d2 FROM trips CROSS JOIN centers GROUP BY event_id),
+near AS (
+  SELECT event_id, any_value(lat) AS lat, any_value(lon) AS lon, min(cid) AS cid, any_value(d2) AS d2
+  FROM trips JOIN least USING (event_id) CROSS JOIN centers WHERE {D2} = d2 GROUP BY event_id)"""
+ON_PICKUPS = f"WITH {TRIPS}, {PICKUPS} "
+
 ON_TRIPS = f"WITH {TRIPS} "
 ON_CLUSTERED = f"WITH {TRIPS}, {CENTERS}, {NEAREST} "
 
@@ -68,6 +78,18 @@ SELECT word, count(*) AS count FROM (
   FROM documents)
 GROUP BY word"""
 
+# Late rows: their window ended at or before the latest time of the parts before theirs, less the watermark.
+LATE_ROWS = """parts AS (
+  SELECT *, date_trunc('hour', dt) AS window_start, date_trunc('hour', dt) + INTERVAL 1 HOUR AS window_end,
+         CASE WHEN event_id % 10 = 0 OR dt >= TIMESTAMP '2024-01-22 00:00:00' THEN 2
+              WHEN dt >= TIMESTAMP '2024-01-12 00:00:00' THEN 1 ELSE 0 END AS part
+  FROM clustered WHERE dt IS NOT NULL),
+marks AS (
+  SELECT part, date_trunc('millisecond', max(last) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+               - INTERVAL 5 DAY AS mark
+  FROM (SELECT part, max(dt) AS last FROM parts GROUP BY part)),
+judged AS (SELECT parts.*, coalesce(window_end <= mark, false) AS late FROM parts JOIN marks USING (part))"""
+
 ENRICHED = "dt, lat, lon, cid, clat, clon, base"
 
 
@@ -134,6 +156,9 @@ def _bundle():
 ORACLES = {
     "cluster_assign": f"{ON_CLUSTERED} SELECT event_id, lat, lon, base, cid FROM clustered",
     "cluster_assign_many": f"WITH {TRIPS}, {MANY}, {NEAREST} SELECT event_id, lat, lon, base, cid FROM clustered",
+    "cluster_assign_pickups": f"{ON_PICKUPS} SELECT event_id, cid, d2 FROM near",
+    "enrich_pickups": f"{ON_PICKUPS} SELECT cid, clat, clon, count(*) AS count, round(max(pow(lat - clat, 2) "
+    "+ pow(lon - clon, 2)), 9) AS farthest FROM near JOIN centers USING (cid) GROUP BY cid, clat, clon",
     "enrich_join": f"{ON_CLUSTERED} SELECT event_id, {ENRICHED} FROM clustered",
     "center_table": f"WITH {TRIPS}, {CENTERS}, " + _lloyd("SELECT * FROM centers", 1),
     "clustering_cost": f"{ON_CLUSTERED} SELECT round(sum(d2), 4) AS cost FROM clustered",
@@ -188,9 +213,22 @@ ORACLES = {
   CASE WHEN event_type = 'error' THEN '' ELSE ',"event_type":"' || event_type || '"' END ||
   '}' AS value FROM events""",
     "json_to_map": "SELECT props->>'$.k' AS k, count(*) AS count FROM events GROUP BY 1",
+    "json_typed_map": """SELECT event_id,
+  CASE event_id % 6 WHEN 0 THEN 'k' WHEN 1 THEN 'k,on' WHEN 2 THEN 'k,on' WHEN 3 THEN 'k,on' END AS keys,
+  CASE event_id % 6 WHEN 0 THEN CAST(props->>'$.k' AS DOUBLE) WHEN 1 THEN CAST(CAST(value AS DECIMAL(18, 2)) AS DOUBLE) END AS number,
+  CASE event_id % 6 WHEN 0 THEN props->>'$.k' WHEN 1 THEN regexp_replace(CAST(CAST(value AS DECIMAL(18, 2)) AS VARCHAR), '\\.?0+$', '')
+       WHEN 2 THEN '{"tags":["a","' || event_type || '"],"user":' || user_id || '}' WHEN 3 THEN event_type END AS text,
+  CASE event_id % 6 WHEN 2 THEN user_id END AS user_id,
+  CASE event_id % 6 WHEN 2 THEN event_type END AS tag,
+  CASE event_id % 6 WHEN 1 THEN true WHEN 2 THEN false END AS switched FROM events""",
+    "map_encode": """SELECT event_id, '{"even":' || CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END ||
+  ',"place":{"event_id":' || event_id || ',"user_id":' || user_id || '},"type":' ||
+  CASE WHEN event_type = 'error' THEN 'null' ELSE '"' || event_type || '"' END || ',"user":' || user_id || '}' AS value,
+  true AS same FROM events""",
     "word_count": WORDS,
     "kv_rowkey": f"{ON_KEYED} SELECT event_id, rowkey FROM keyed",
     "kv_upsert": f"{ON_KEYED} SELECT rowkey, lat, lon, version FROM kv",
+    "kv_replay": f"{ON_KEYED} SELECT rowkey, lat, lon, version FROM kv",
     "kv_compact": f"{ON_KEYED} SELECT rowkey, lat, lon, version FROM kv",
     "kv_compact_replay": f"{ON_KEYED} SELECT rowkey, lat, lon, version FROM kv",
     "kv_range_scan": f"{ON_KEYED} SELECT rowkey AS key, lat, lon FROM kv WHERE rowkey <= '11'",
@@ -207,6 +245,15 @@ ORACLES = {
     "stream_batch_counts": f"{ON_CLUSTERED} SELECT cid, window_start, count FROM ({WINDOWS})",
     "stream_window_count": f"{ON_CLUSTERED} {WINDOWS}",
     "stream_word_count": WORDS,
+    "stream_window_append": f"{ON_CLUSTERED}, {LATE_ROWS} SELECT cid, window_start, window_end, count(*) AS count "
+    "FROM judged WHERE NOT late GROUP BY 1, 2, 3 "
+    "HAVING window_end <= (SELECT date_trunc('millisecond', max(dt)) - INTERVAL 5 DAY FROM parts)",
+    "stream_late_rows": f"{ON_CLUSTERED}, {LATE_ROWS} SELECT CAST(part AS INTEGER) AS part, count(*) AS input, "
+    "count(DISTINCT (cid, window_start)) FILTER (WHERE late) AS late_groups FROM judged GROUP BY part",
+    "stream_word_totals": WORDS,
+    "stream_row_counts": "SELECT unnest(['batches', 'input', 'good', 'rejected']) AS metric, unnest([120, count(*), "
+    "count(*) FILTER (WHERE event_type <> 'error'), count(*) FILTER (WHERE event_type = 'error')]) AS n FROM events",
+    "stream_topic_archive": f"{ON_CLUSTERED} SELECT {ENRICHED} FROM clustered",
     "stream_dead_letters": "SELECT CASE event_type WHEN 'error' THEN 'junk' WHEN 'signup' THEN 'incomplete' "
     "ELSE 'good' END AS outcome, count(*) AS n FROM events GROUP BY 1",
     "stream_kv_upsert": f"{ON_KEYED} SELECT cid, count(DISTINCT rowkey) AS keys, "

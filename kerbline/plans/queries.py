@@ -8,14 +8,33 @@ from kerbline.operators.centers import CITY_CENTERS
 from kerbline.plans import batch_jobs
 from kerbline.schemas import TRIP_CATALOG, TRIP_CLUSTERED, TRIP_ENRICHED, conform
 from kerbline.session import scratch_dir
-from kerbline.sources import files, keyed_table, tables, topics
-from kerbline.streaming import jobs, run
+from kerbline.sources import bucketed_table, files, keyed_table, tables, topics
+from kerbline.streaming import jobs, run, totals
 
 CLUSTERS = range(len(CITY_CENTERS))
 TRIP_COLUMNS = ("dt", "lat", "lon", "base")
 LLOYD_K, LLOYD_ROUNDS = 8, 3
+PICKUP_CENTERS, NORTH, EAST = 10_000, 0.00037, -0.00021
 EARLY = "coalesce(dt < TIMESTAMP_NTZ '2024-01-16 00:00:00', false)"
 LATE = f"NOT {EARLY}"
+#: Trips sent in three parts, out of order: one in ten only comes with the last part.
+STRAGGLER = "coalesce(event_id % 10 = 0, false)"
+PARTS = [
+    f"NOT {STRAGGLER} AND coalesce(dt < TIMESTAMP_NTZ '2024-01-12 00:00:00', false)",
+    f"NOT {STRAGGLER} AND coalesce(dt >= TIMESTAMP_NTZ '2024-01-12 00:00:00' AND dt < TIMESTAMP_NTZ '2024-01-22 00:00:00', false)",
+    f"{STRAGGLER} OR coalesce(dt >= TIMESTAMP_NTZ '2024-01-22 00:00:00', true)",
+]
+WATERMARK = "5 days"
+MANY_BATCHES, FIRST_BATCHES = 120, 110
+#: What the properties of every sixth event look like on the wire; the last two are no JSON, and no object.
+TYPED_PROPS = [
+    "props",
+    """concat('{"k": ', CAST(value AS DECIMAL(18, 2)), ', "on": true}')""",
+    """concat('{"on": false, "k": {"user": ', user_id, ', "tags": ["a", "', event_type, '"]}}')""",
+    """concat('{"k": "', event_type, '", "on": null}')""",
+    """concat('{"k": ', user_id, ', ')""",
+    """concat('[', user_id, ']')""",
+]
 
 
 def many_centers(count=150):
@@ -61,6 +80,25 @@ def cluster_assign_many(spark, sf_dir):
     return clustering.nearest(trips(spark, sf_dir), many_centers()).select("event_id", "lat", "lon", "base", "cid")
 
 
+def pickup_centers(spark, sf_dir):
+    """So many centres as a model of a dense city has: the first pickups, each moved a little."""
+    points = clustering.first_points(trips(spark, sf_dir), PICKUP_CENTERS, "event_id")
+    return [(lat + NORTH, lon + EAST) for lat, lon in points]
+
+
+def cluster_assign_pickups(spark, sf_dir):
+    """Up to 10,000 centres, with the squared distance."""
+    out = clustering.nearest(trips(spark, sf_dir), pickup_centers(spark, sf_dir), "d2")
+    return out.select("event_id", "cid", "d2")
+
+
+def enrich_pickups(spark, sf_dir):
+    """The centre join for as many centres, by cluster: rows, and the farthest pickup of the cluster."""
+    out = clustering.enrich(trips(spark, sf_dir), pickup_centers(spark, sf_dir))
+    gap = F.pow(F.col("lat") - F.col("clat"), 2) + F.pow(F.col("lon") - F.col("clon"), 2)
+    return out.groupBy("cid", "clat", "clon").agg(F.count(F.lit(1)).alias("count"), F.round(F.max(gap), 9).alias("farthest"))
+
+
 def enrich_join(spark, sf_dir):
     return enriched(spark, sf_dir).select("event_id", *[f.name for f in TRIP_ENRICHED])
 
@@ -308,6 +346,45 @@ def json_to_map(spark, sf_dir):
     )
 
 
+def json_typed_map(spark, sf_dir):
+    """Properties of several types as a map of VARIANT: the keys, and the values read by type."""
+    props = F.expr("element_at(array({}), CAST(event_id % {} + 1 AS INT))".format(", ".join(TYPED_PROPS), len(TYPED_PROPS)))
+    found = tables.table(spark, sf_dir, "events").select("event_id", codec.json_to_variants(props).alias("m"))
+
+    def read(key, kind, path="$"):
+        return codec.variant_value(F.col("m"), key, kind, path)
+
+    return found.select(
+        "event_id",
+        F.array_join(F.array_sort(F.map_keys("m")), ",").alias("keys"),
+        read("k", "double").alias("number"),
+        read("k", "string").alias("text"),
+        read("k", "bigint", "$.user").alias("user_id"),
+        read("k", "string", "$.tags[1]").alias("tag"),
+        read("on", "boolean").alias("switched"),
+    )
+
+
+def map_encode(spark, sf_dir):
+    """Maps of values of several types as JSON text with ordered keys, and whether reading it back gives the same values."""
+    kind = F.nullif("event_type", F.lit("error"))
+    values = {"user": F.col("user_id"), "type": kind, "even": F.col("event_id") % 2 == 0, "place": F.struct("event_id", "user_id")}
+
+    def variant(column, name):
+        return F.to_variant_object(column) if name == "place" else column.cast("variant")
+
+    pairs = [x for name, c in values.items() for x in (F.lit(name), variant(c, name))]
+    events = tables.table(spark, sf_dir, "events").select("*", codec.encode_map(F.create_map(*pairs)).alias("json"))
+    back = codec.json_to_variants(F.col("json"))
+    same = (
+        (codec.variant_value(back, "user", "bigint") == F.col("user_id"))
+        & codec.variant_value(back, "type", "string").eqNullSafe(kind)
+        & (codec.variant_value(back, "even", "boolean") == (F.col("event_id") % 2 == 0))
+        & (codec.variant_value(back, "place", "bigint", "$.event_id") == F.col("event_id"))
+    )
+    return events.select("event_id", F.col("json").alias("value"), same.alias("same"))
+
+
 def word_count(spark, sf_dir):
     return jobs.word_counts(tables.table(spark, sf_dir, "documents"), "text")
 
@@ -321,57 +398,63 @@ def kv_rowkey(spark, sf_dir):
     )
 
 
-def _kv_table(spark, sf_dir):
+def _kv_table(spark, sf_dir, table=bucketed_table):
     """All trips upserted in two batches, earlier pickups first."""
     path = scratch_dir(spark, "kv") + "/trips"
     source = trips(spark, sf_dir)
-    write = jobs.write_puts(path, "event_id", unique_version=True)
+    write = jobs.write_puts(path, "event_id", unique_version=True, table=table)
     write(keyed(source.where(EARLY)), 0)
     write(keyed(source.where(LATE)), 1)
     return path
 
 
-def _current(spark, path):
+def _current(spark, path, table=bucketed_table):
     """Current rows of a table whose versions are event ids."""
-    return keyed_table.latest(spark, path).withColumn("version", F.col("version").cast("bigint"))
+    return table.latest(spark, path).withColumn("version", F.col("version").cast("bigint"))
 
 
 def kv_upsert(spark, sf_dir):
     return _current(spark, _kv_table(spark, sf_dir))
 
 
-def kv_compact(spark, sf_dir):
+def kv_replay(spark, sf_dir):
+    """The first batch written again after the second: no older row comes back."""
     path = _kv_table(spark, sf_dir)
+    early = keyed(trips(spark, sf_dir).where(EARLY))
+    jobs.write_puts(path, "event_id", unique_version=True, table=bucketed_table)(early, 0)
+    return _current(spark, path)
+
+
+def kv_compact(spark, sf_dir):
+    path = _kv_table(spark, sf_dir, keyed_table)
     target = f"{path}-compact"
     keyed_table.copy_current(spark, path, target)
-    return _current(spark, target)
+    return _current(spark, target, keyed_table)
 
 
 def kv_compact_replay(spark, sf_dir):
-    """Two batches, folded, and the last one replayed: no key is lost and no older row comes back."""
-    path = _kv_table(spark, sf_dir)
-    keyed_table.compact(spark, path)
+    """Two batches, compacted into a new table, and the last one replayed there: no key is lost and no older row comes back."""
+    path = _kv_table(spark, sf_dir, keyed_table)
+    target = f"{path}-compact"
+    keyed_table.copy_current(spark, path, target)
     late = keyed(trips(spark, sf_dir).where(LATE))
-    jobs.write_puts(path, "event_id", unique_version=True)(late, 1)
-    keyed_table.compact(spark, path)
-    return _current(spark, path)
+    jobs.write_puts(target, "event_id", unique_version=True)(late, 1)
+    return _current(spark, target, keyed_table)
 
 
 def kv_range_scan(spark, sf_dir):
-    rows = keyed_table.scan_catalog(spark, _kv_table(spark, sf_dir), TRIP_CATALOG)
+    rows = bucketed_table.scan_catalog(spark, _kv_table(spark, sf_dir), TRIP_CATALOG)
     return rows.where(text.key_at_most("key", "11")).select("key", "lat", "lon")
 
 
 def kv_prefix_scan(spark, sf_dir):
-    rows = keyed_table.latest(
-        spark, _kv_table(spark, sf_dir), columns=["lat", "lon"]
-    )
+    rows = bucketed_table.latest(spark, _kv_table(spark, sf_dir), columns=["lat", "lon"])
     return rows.where(text.key_of_cluster("rowkey", 2))
 
 
 def kv_cluster_scan(spark, sf_dir):
     """Clusters below 11 by number, which the string range does not give."""
-    rows = keyed_table.latest(spark, _kv_table(spark, sf_dir), columns=["lat", "lon"])
+    rows = bucketed_table.latest(spark, _kv_table(spark, sf_dir), columns=["lat", "lon"])
     return rows.where(text.key_cluster("rowkey") < 11)
 
 
@@ -379,7 +462,7 @@ def kv_catalog_scan(spark, sf_dir):
     catalog = """{"table": {"namespace": "default", "name": "trips"}, "rowkey": "key",
       "columns": {"key": {"cf": "rowkey", "col": "key", "type": "string"},
                   "latitude": {"cf": "data", "col": "lat", "type": "double"}}}"""
-    return keyed_table.scan_catalog(spark, _kv_table(spark, sf_dir), catalog)
+    return bucketed_table.scan_catalog(spark, _kv_table(spark, sf_dir), catalog)
 
 
 # Streams
@@ -474,6 +557,82 @@ def stream_word_count(spark, sf_dir):
     return jobs.word_totals(spark, f"{base}/counts")
 
 
+def _windows_in_state(spark, sf_dir, path):
+    """Closed windows of trips sent in three parts, each part a run that resumes the state; the sums of each run."""
+    base = scratch_dir(spark, "state")
+    sums = []
+    with totals.listening(spark) as listener:
+        for part in PARTS:
+            topics.publish(codec.encode_enriched(enriched(spark, sf_dir).where(part)), f"{base}/topic")
+            rows = jobs.decode_enriched(topics.subscribe(spark, f"{base}/topic"))
+            # the rows of a cluster and hour in one partition: a late group is then counted once
+            rows = rows.repartition(F.col("cid"), F.date_trunc("hour", "dt"))
+            query = run.drain(jobs.append_windows(rows, WATERMARK, path, f"{base}/checkpoint"))
+            sums.append(listener.of(query))
+    return sums
+
+
+def stream_window_append(spark, sf_dir):
+    """One-hour windows in keyed state: those that a watermark of five days has closed, without the rows that came late."""
+    path = scratch_dir(spark, "closed") + "/windows"
+    _windows_in_state(spark, sf_dir, path)
+    return spark.read.parquet(path)
+
+
+def stream_late_rows(spark, sf_dir):
+    """Messages read in each of the three runs, and the groups of rows (cluster and hour) that came after their window closed."""
+    sums = _windows_in_state(spark, sf_dir, scratch_dir(spark, "closed") + "/windows")
+    rows = [(i, s[totals.INPUT], s[totals.DROPPED]) for i, s in enumerate(sums)]
+    return spark.createDataFrame(rows, "part int, input long, late_groups long")
+
+
+def stream_word_totals(spark, sf_dir):
+    """Running word counts in state, upserted by word: half of the documents, a restart, the other half."""
+    base = scratch_dir(spark, "word-totals")
+    documents = tables.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("value"))
+    for half in (0, 1):
+        documents.where(F.coalesce(F.col("doc_id") % 2, F.lit(0)) == half).write.mode("append").parquet(f"{base}/lines")
+        lines = spark.readStream.schema(documents.schema).parquet(f"{base}/lines")
+        run.drain(jobs.running_word_counts(lines, f"{base}/words", f"{base}/checkpoint"))
+    return keyed_table.latest(spark, f"{base}/words", ("word",)).select("word", "count")
+
+
+def stream_row_counts(spark, sf_dir):
+    """Messages read, good and rejected over 120 batches, in two runs: more than the progress of a query remembers."""
+    base = scratch_dir(spark, "row-counts")
+    wire = codec.encode_enriched(enriched(spark, sf_dir), carry=["base", "event_id"])
+    wire = wire.withColumn("value", F.when(F.col("base") == "error", F.lit("junk")).otherwise(F.col("value")))
+    share = F.col("event_id") % MANY_BATCHES
+    for part, files in ((share < FIRST_BATCHES, FIRST_BATCHES), (share >= FIRST_BATCHES, MANY_BATCHES - FIRST_BATCHES)):
+        topics.publish(wire.where(part).repartitionByRange(files, share).select("value"), f"{base}/topic")
+        with totals.listening(spark) as sums:
+            source = topics.subscribe(spark, f"{base}/topic", **topics.let_go(files_per_batch=1))
+            writer = jobs.count_messages(jobs.decoded_enriched(source), f"{base}/checkpoint")
+            sums.of(run.drain(writer))
+            sums.keep(spark, f"{base}/totals")
+    counts = totals.kept(spark, f"{base}/totals").where(F.col("metric") != totals.DROPPED)
+    return counts.select("metric", "n")
+
+
+def stream_topic_archive(spark, sf_dir):
+    """A consumer that archives what it has read, in batches of two files and over a restart: each message is in the topic or
+    in the archive once, and has been read once."""
+    base = scratch_dir(spark, "archive")
+    wire = codec.encode_enriched(enriched(spark, sf_dir), carry=["event_id"])
+    for half in (0, 1, None):
+        if half is not None:
+            part = wire.where(F.col("event_id") % 2 == half).repartition(5, F.col("event_id")).select("value")
+            topics.publish(part, f"{base}/topic")
+        options = topics.let_go(archive=f"{base}/archive", files_per_batch=2)
+        source = topics.subscribe(spark, f"{base}/topic", **options)
+        run.drain(topics.publish_stream(source, f"{base}/read", f"{base}/checkpoint"))
+    there = topics.read(spark, f"{base}/topic").withColumn("held", F.lit(1)).withColumn("got", F.lit(0))
+    gone = topics.read(spark, f"{base}/archive", recursiveFileLookup=True).withColumn("held", F.lit(1)).withColumn("got", F.lit(0))
+    got = topics.read(spark, f"{base}/read").withColumn("held", F.lit(0)).withColumn("got", F.lit(1))
+    per = there.unionAll(gone).unionAll(got).groupBy("value").agg(F.sum("held").alias("held"), F.sum("got").alias("got"))
+    return jobs.decode_enriched(per.where("held = 1 AND got = 1").select("value"))
+
+
 def stream_dead_letters(spark, sf_dir):
     """Good and rejected messages of one read, by what was sent; junk for errors, no time or cluster for sign-ups."""
     base = scratch_dir(spark, "dead")
@@ -528,6 +687,8 @@ def item_publish(spark, sf_dir):
 QUERIES = {
     "cluster_assign": cluster_assign,
     "cluster_assign_many": cluster_assign_many,
+    "cluster_assign_pickups": cluster_assign_pickups,
+    "enrich_pickups": enrich_pickups,
     "enrich_join": enrich_join,
     "center_table": center_table,
     "clustering_cost": clustering_cost,
@@ -561,9 +722,12 @@ QUERIES = {
     "json_dead_letters": json_dead_letters,
     "json_encode": json_encode,
     "json_to_map": json_to_map,
+    "json_typed_map": json_typed_map,
+    "map_encode": map_encode,
     "word_count": word_count,
     "kv_rowkey": kv_rowkey,
     "kv_upsert": kv_upsert,
+    "kv_replay": kv_replay,
     "kv_compact": kv_compact,
     "kv_compact_replay": kv_compact_replay,
     "kv_range_scan": kv_range_scan,
@@ -577,6 +741,11 @@ QUERIES = {
     "stream_batch_counts": stream_batch_counts,
     "stream_window_count": stream_window_count,
     "stream_word_count": stream_word_count,
+    "stream_window_append": stream_window_append,
+    "stream_late_rows": stream_late_rows,
+    "stream_word_totals": stream_word_totals,
+    "stream_row_counts": stream_row_counts,
+    "stream_topic_archive": stream_topic_archive,
     "stream_dead_letters": stream_dead_letters,
     "stream_kv_upsert": stream_kv_upsert,
     "item_publish": item_publish,

@@ -1,119 +1,30 @@
-"""A log of micro-batches below one folder, with an owner and a compacted base.
+"""A log of micro-batches: one Parquet partition for each, ``path/batch_id=N``. A replayed batch replaces its own.
 
-    path/batch_id=N     what batch N wrote; a replayed batch replaces its folder
-    path/_base/upto=N   batches up to N folded into one; the highest complete one counts
-    path/_owner         id of the only query that may write
-
-Folding leaves the newest batch alone: it is the only one that a restart can replay. A batch that is already in the base
-is not read again, so a late replay of it changes nothing. Folding may run while the owner writes.
+Batch ids come from one streaming query and order what it wrote, so a log has one writer.
 """
 
-import json
-import re
-
 from pyspark.sql import functions as F
 
 BATCH = "batch_id"
-MANUAL = "manual"
+#: Batch id of what a copy of a log starts with; it comes before all batches of a query.
+OLDER = -1
 
 
-def _fs(spark, path):
+def exists(spark, path):
+    """Whether there is a file or folder, in any file system that Spark knows."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
-
-
-def _numbered(spark, path, name):
-    """{number: folder} of the complete folders ``name=number`` below ``path``."""
-    fs, place = _fs(spark, path)
-    if not fs.exists(place):
-        return {}
-    found = {}
-    for status in fs.listStatus(place):
-        folder = status.getPath()
-        match = re.fullmatch(rf"{name}=(-?\d+)", folder.getName())
-        if match and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")):
-            found[int(match.group(1))] = folder.toString()
-    return found
-
-
-def _read_text(spark, path):
-    fs, place = _fs(spark, path)
-    if not fs.exists(place):
-        return None
-    stream = fs.open(place)
-    try:
-        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
-    finally:
-        stream.close()
-
-
-def complete(spark, folder):
-    """The folder was written to its end."""
-    fs, place = _fs(spark, f"{folder}/_SUCCESS")
-    return fs.exists(place)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
-def query_id(spark, checkpoint):
-    """The id that a streaming query keeps for the life of its checkpoint."""
-    text = _read_text(spark, f"{checkpoint}/metadata")
-    return json.loads(text)["id"] if text else MANUAL
-
-
-def claim(spark, path, owner):
-    """Let ``owner`` write to the log: the first one keeps it, any other is refused."""
-    held = _read_text(spark, f"{path}/_owner")
-    if held is None:
-        fs, place = _fs(spark, f"{path}/_owner")
-        out = fs.create(place, False)
-        try:
-            out.write(bytearray(owner.encode()))
-        finally:
-            out.close()
-    elif held != owner:
-        raise PermissionError(f"{path} belongs to query {held}, not to {owner}")
-
-
-def append(df, path, batch_id, owner=MANUAL):
+def append(df, path, batch_id):
     """Write one batch; the same batch id replaces what it wrote before."""
-    claim(df.sparkSession, path, owner)
     df.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
 
 def read(spark, path, schema=None):
-    """All rows with their batch id; rows of the base carry the last id folded in. ``schema`` is for a log without batches."""
-    bases = _numbered(spark, f"{path}/_base", "upto")
-    upto = max(bases, default=None)
-    folders = [f for n, f in sorted(_numbered(spark, path, BATCH).items()) if upto is None or n > upto]
-    parts = []
-    if upto is not None:
-        parts.append(spark.read.parquet(bases[upto]).withColumn(BATCH, F.lit(upto).cast("bigint")))
-    if folders:
-        rows = spark.read.option("basePath", path).parquet(*folders)
-        parts.append(rows.withColumn(BATCH, F.col(BATCH).cast("bigint")))
-    if not parts:
-        if schema is None:
-            raise FileNotFoundError(f"no batch in {path}, and no schema to make an empty one from")
-        return spark.createDataFrame([], schema).withColumn(BATCH, F.lit(None).cast("bigint"))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-
-
-def fold(spark, path, merge, prune=True):
-    """Fold all batches but the newest into the base with ``merge(rows)``; returns the last id folded in, or None.
-
-    ``prune`` deletes what the base before this one had folded in already, so a reader that began before is not disturbed.
-    """
-    done = sorted(_numbered(spark, path, BATCH))
-    bases = sorted(_numbered(spark, f"{path}/_base", "upto"))
-    last = bases[-1] if bases else None
-    old = [n for n in done[:-1] if last is None or n > last]
-    if not old:
-        return last
-    upto = old[-1]
-    rows = read(spark, path).where(F.col(BATCH) <= upto)
-    merge(rows).drop(BATCH).write.mode("overwrite").parquet(f"{path}/_base/upto={upto}")
-    if prune and last is not None:
-        gone = [f"{path}/{BATCH}={n}" for n in done if n <= last] + [f"{path}/_base/upto={n}" for n in bases[:-1]]
-        for folder in gone:
-            fs, place = _fs(spark, folder)
-            fs.delete(place, True)
-    return upto
+    """All rows with their batch id. ``schema`` is for a log without batches."""
+    if exists(spark, path):
+        return spark.read.parquet(path).withColumn(BATCH, F.col(BATCH).cast("bigint"))
+    if schema is None:
+        raise FileNotFoundError(f"no batch in {path}, and no schema to make an empty one from")
+    return spark.createDataFrame([], schema).withColumn(BATCH, F.lit(None).cast("bigint"))

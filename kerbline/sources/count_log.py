@@ -6,11 +6,11 @@ No state is kept between batches and no watermark is needed, so no row is ever t
 from pyspark.sql import functions as F
 
 from kerbline.sources import batch_log
-from kerbline.sources.batch_log import BATCH, MANUAL
+from kerbline.sources.batch_log import BATCH, OLDER
 
 
-def write(counts, path, batch_id, owner=MANUAL):
-    batch_log.append(counts, path, batch_id, owner)
+def write(counts, path, batch_id):
+    batch_log.append(counts, path, batch_id)
 
 
 def _sums(rows, counts):
@@ -23,6 +23,10 @@ def totals(spark, path, counts=("count",), schema=None):
     return _sums(batch_log.read(spark, path, schema), counts)
 
 
-def compact(spark, path, counts=("count",)):
-    """Fold all batches but the newest into one."""
-    return batch_log.fold(spark, path, lambda rows: _sums(rows, counts))
+def copy_totals(spark, path, target, counts=("count",)):
+    """Write the log to a new one with two batches: the sums of all batches but the newest, and the newest, which is the
+    only one that a restart of the query can replay."""
+    rows = batch_log.read(spark, path)
+    newest = rows.agg(F.max(BATCH)).first()[0]
+    older = _sums(rows.where(F.col(BATCH) < newest), counts).withColumn(BATCH, F.lit(OLDER).cast("bigint"))
+    older.unionByName(rows.where(F.col(BATCH) == newest)).write.partitionBy(BATCH).parquet(target)

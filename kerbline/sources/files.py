@@ -13,7 +13,8 @@ _OFFSET = r"\s*(Z|[+-]\d{2}:?\d{2})$"
 
 
 def _scan(reader, kind, path, schema, corrupt, **options):
-    """Read times as text and parse them here: plain, or with an offset, which is cut off to give wall-clock time.
+    """Read times as text and parse them here: plain, or with an offset, which is left out to give wall-clock time. The cast
+    does so itself for most forms; only what it cannot read is tried again without its offset.
 
     A file record that cannot be read, or a time that cannot be parsed, is reported in ``_corrupt`` if ``corrupt`` is set;
     its other cells are kept.
@@ -25,7 +26,8 @@ def _scan(reader, kind, path, schema, corrupt, **options):
     bad = F.col(CORRUPT)
     parsed = {}
     for name in times:
-        parsed[name] = F.regexp_replace(name, _OFFSET, "").try_cast("timestamp_ntz")
+        plain = F.regexp_replace(name, _OFFSET, "").try_cast("timestamp_ntz")
+        parsed[name] = F.coalesce(F.col(name).try_cast("timestamp_ntz"), plain)
         bad = F.coalesce(bad, F.when(F.col(name).isNotNull() & parsed[name].isNull(), F.col(name)))
     out = [parsed.get(f.name, F.col(f.name)).alias(f.name) for f in schema]
     return rows.select(*out, *([bad.alias(CORRUPT)] if corrupt else []))

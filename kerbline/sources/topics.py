@@ -50,6 +50,20 @@ def numbered(batch):
     return batch.withColumn(POSITION, (F.col(POSITION) * F.lit(1 << 33).cast("decimal(10,0)") + row).cast("decimal(38,0)"))
 
 
+def let_go(archive=None, files_per_batch=None, max_age=None):
+    """Options for ``subscribe`` to a file topic that is not kept for ever.
+
+    ``archive``: a folder outside the topic where files move once a later batch has begun, so that listing the topic stays
+    short; a consumer of its own is needed, since others no longer find them. ``files_per_batch`` cuts the input into
+    batches, also when it is drained. ``max_age``: files older than the newest by more than this, such as ``7d``, are
+    passed over.
+    """
+    options = {"cleanSource": "archive", "sourceArchiveDir": archive} if archive else {}
+    return options | {
+        name: str(value) for name, value in (("maxFilesPerTrigger", files_per_batch), ("maxFileAge", max_age)) if value
+    }
+
+
 def subscribe(spark, topics, kind="file", position=False, **options):
     """Stream the values of a comma-separated topic list from the earliest message.
 
@@ -73,7 +87,7 @@ def read(spark, topics, kind="file", position=False, **options):
     return _files(spark.read.options(lineSep="\n", **options).text(_names(topics)), position)
 
 
-def publish_batch(messages, topic, batch_id, kind="file", owner=batch_log.MANUAL, **options):
+def publish_batch(messages, topic, batch_id, kind="file", **options):
     """Publish one micro-batch; in a file topic it owns the folder ``batch_id=N``.
 
     A replayed batch holds the same messages, so a folder that is complete stays: a consumer that has read its files
@@ -82,8 +96,7 @@ def publish_batch(messages, topic, batch_id, kind="file", owner=batch_log.MANUAL
     if kind == "kafka":
         return publish(messages, topic, kind, **options)
     spark, folder = messages.sparkSession, f"{topic}/batch_id={batch_id}"
-    batch_log.claim(spark, topic, owner)
-    if not batch_log.complete(spark, folder):
+    if not batch_log.exists(spark, f"{folder}/_SUCCESS"):
         messages.select("value").write.mode("overwrite").text(folder, lineSep="\n")
 
 

@@ -7,13 +7,13 @@ from kerbline.operators import clustering, hourly, reports
 from kerbline.operators.ordering import order_spread
 from kerbline.schemas import TRIP, TRIP_ENRICHED
 from kerbline.sources import batch_log, count_log, keyed_table, topics
-from kerbline.sources.batch_log import MANUAL
 from kerbline.streaming.run import fan_out, per_batch
 
 ITEM_COUNT = 10
 #: An enriched message without its time or cluster counts in no report and has no row key.
 REQUIRED = ("dt", "cid")
 CUBE_COUNTS = ("n_rows", "n_cid")
+GOOD, REJECTED = "good", "rejected"
 
 
 def rejected(target):
@@ -22,20 +22,35 @@ def rejected(target):
 
 
 def _dead_letters(topic, kind="file", **options):
-    def handle(batch, batch_id, owner):
+    def handle(batch, batch_id):
         bad = codec.dead_letters(batch)
         if not bad.isEmpty():
-            topics.publish_batch(bad, topic, batch_id, kind, owner, **options)
+            topics.publish_batch(bad, topic, batch_id, kind, **options)
 
     return handle
 
 
 def _on_good(handler):
-    return lambda batch, batch_id, owner: handler(codec.good(batch), batch_id, owner)
+    return lambda batch, batch_id: handler(codec.good(batch), batch_id)
+
+
+def observed(decoded):
+    """Decoded messages that count themselves: good and rejected ones of every batch are in the query's progress."""
+    corrupt = F.col(codec.CORRUPT)
+    return decoded.observe("messages", F.count_if(corrupt.isNull()).alias(GOOD), F.count(corrupt).alias(REJECTED))
+
+
+def count_messages(decoded, checkpoint):
+    """Only the counts of decoded messages; nothing is written but the positions."""
+    return observed(decoded).writeStream.format("noop").option("checkpointLocation", checkpoint)
 
 
 def with_dead_letters(decoded, handlers, dead, checkpoint, kind="file", **options):
-    """One read of decoded messages: good rows to the handlers, the raw text of the others to the topic ``dead``."""
+    """One read of decoded messages: good rows to the handlers, the raw text of the others to the topic ``dead``.
+
+    The numbers of good and rejected messages are observed on the way, for ``totals``.
+    """
+    decoded = observed(decoded)
     outputs = [_on_good(h) for h in handlers] + [_dead_letters(dead, kind, **options)]
     return fan_out(decoded, outputs, checkpoint)
 
@@ -58,11 +73,11 @@ def enrich_messages(trips, centers):
 
 
 def _publish_enriched(centers, topic, in_order, kind, **options):
-    def handle(trips, batch_id, owner):
+    def handle(trips, batch_id):
         trips = trips.select(*TRIP.names)
         rows = clustering.enrich(trips, centers)
         wire = codec.encode_enriched(order_spread(rows, "dt") if in_order else rows)
-        topics.publish_batch(wire, topic, batch_id, kind, owner, **options)
+        topics.publish_batch(wire, topic, batch_id, kind, **options)
 
     return handle
 
@@ -92,8 +107,8 @@ def reject_lines(messages, topic, checkpoint, kind="file", **options):
 def write_batch_counts(path):
     """Handler: the batch's own counts, as a cube tagged with its batch id."""
 
-    def handle(batch, batch_id, owner=MANUAL):
-        count_log.write(hourly.cube(batch), path, batch_id, owner)
+    def handle(batch, batch_id):
+        count_log.write(hourly.cube(batch), path, batch_id)
 
     return handle
 
@@ -118,8 +133,8 @@ def window_totals(spark, path):
 def windows_with_watermark(trips, watermark):
     """Running one-hour counts in state that a watermark bounds: rows later than it are dropped.
 
-    Spark counts them as ``numRowsDroppedByWatermark`` in the progress of the query (``run.rows_dropped``). A watermark
-    needs TIMESTAMP, so wall-clock times are placed on the UTC line and taken back from it, whatever the session time
+    Spark counts them as ``numRowsDroppedByWatermark`` in the progress of the query (``totals``), after it has added up the
+    rows of a batch that share a partition, a cluster and a window. A watermark needs TIMESTAMP, so wall-clock times are placed on the UTC line and taken back from it, whatever the session time
     zone.
     """
     since_epoch = "CAST(dt - TIMESTAMP_NTZ '1970-01-01 00:00:00' AS INTERVAL SECOND)"
@@ -134,6 +149,13 @@ def windows_with_watermark(trips, watermark):
     return counts.select("cid", wall_clock("window_start"), wall_clock("window_end"), "count")
 
 
+def append_windows(trips, watermark, path, checkpoint):
+    """Windows that the watermark has closed, each written once to a folder of Parquet files: append mode, exactly once."""
+    counts = windows_with_watermark(trips, watermark)
+    writer = counts.writeStream.outputMode("append").format("parquet").option("path", path)
+    return writer.option("checkpointLocation", checkpoint)
+
+
 def word_counts(lines, column="value"):
     """Words with their counts."""
     return (
@@ -146,8 +168,8 @@ def word_counts(lines, column="value"):
 def batch_word_counts(lines, path, checkpoint):
     """Each batch's own word counts; ``word_totals`` adds them up."""
 
-    def handle(batch, batch_id, owner):
-        count_log.write(word_counts(batch), path, batch_id, owner)
+    def handle(batch, batch_id):
+        count_log.write(word_counts(batch), path, batch_id)
 
     return per_batch(lines, handle, checkpoint)
 
@@ -156,11 +178,16 @@ def word_totals(spark, path):
     return count_log.totals(spark, path)
 
 
+def running_word_counts(lines, path, checkpoint, column="value"):
+    """Word counts in state: every batch upserts the new totals of its words, by word."""
+    return keep_totals(word_counts(lines, column), ("word",), path, checkpoint)
+
+
 def keep_totals(counts, keys, path, checkpoint):
     """Keep stateful counts in a keyed table: only changed rows are written per batch."""
 
-    def write(batch, batch_id, owner):
-        keyed_table.write_batch(batch, path, keys, batch_id, unique=True, owner=owner)
+    def write(batch, batch_id):
+        keyed_table.write_batch(batch, path, keys, batch_id, unique=True)
 
     return per_batch(counts, write, checkpoint, mode="update", skip_empty=False)
 
@@ -175,14 +202,15 @@ def puts(trips, version):
     )
 
 
-def write_puts(path, version=topics.POSITION, unique_version=None):
-    """Handler: upsert the batch; positions of messages are unique, other versions are taken as not unique."""
+def write_puts(path, version=topics.POSITION, unique_version=None, table=keyed_table):
+    """Handler: upsert the batch into a ``keyed_table`` or ``bucketed_table``; positions of messages are unique, other
+    versions are taken as not unique."""
     unique = version == topics.POSITION if unique_version is None else unique_version
 
-    def handle(batch, batch_id, owner=MANUAL):
+    def handle(batch, batch_id):
         rows = puts(topics.numbered(batch) if version == topics.POSITION else batch, version)
-        keyed_table.write_batch(
-            rows, path, ("rowkey",), batch_id, "version", unique_version=unique, owner=owner
+        table.write_batch(
+            rows, path, ("rowkey",), batch_id, "version", unique_version=unique
         )
 
     return handle

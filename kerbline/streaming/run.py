@@ -1,7 +1,5 @@
 """Start, run to the end of the data, and stop streaming queries."""
 
-from kerbline.sources import batch_log
-
 BATCH_INTERVAL = "2 seconds"
 
 
@@ -23,25 +21,20 @@ def drain(writer, timeout=None):
 
 
 def rows_read(query):
-    """Input rows over the recent batches of a query."""
+    """Input rows over the last batches of a query, 100 at most; ``totals`` adds up all of them."""
     return sum(p.numInputRows for p in query.recentProgress)
 
 
-def rows_dropped(query):
-    """Rows that a watermark dropped as too late, over the recent batches of a query."""
-    return sum(o.numRowsDroppedByWatermark for p in query.recentProgress for o in p.stateOperators)
-
-
 def per_batch(stream, handler, checkpoint, mode="append", skip_empty=True):
-    """Writer that hands each batch to ``handler(batch, batch_id, owner)``.
+    """Writer that hands each batch to ``handler(batch, batch_id)``.
 
-    ``owner`` is the id of the query, which lives as long as its checkpoint. Empty batches are skipped. The test for that
+    Empty batches are skipped. The test for that
     is a job of its own, so turn ``skip_empty`` off for a stateful stream, whose state it would compute twice.
     """
 
     def handle(batch, batch_id):
         if not (skip_empty and batch.isEmpty()):
-            handler(batch, batch_id, batch_log.query_id(batch.sparkSession, checkpoint))
+            handler(batch, batch_id)
 
     return (
         stream.writeStream.outputMode(mode)
@@ -57,9 +50,8 @@ def fan_out(stream, handlers, checkpoint):
         kept = batch.persist()
         try:
             if not kept.isEmpty():
-                owner = batch_log.query_id(batch.sparkSession, checkpoint)
                 for handler in handlers:
-                    handler(kept, batch_id, owner)
+                    handler(kept, batch_id)
         finally:
             kept.unpersist()
 

@@ -38,14 +38,13 @@ def test_pipeline(spark, sf_dir, tmp_path, capfd):
     run("batch-report --counts {d}/bc --report hour")
     assert "batch_id" in capfd.readouterr().out
     run("window-counts --target {d}/wc0" + source + "wc0")
-    run("compact-counts --counts {d}/wc0")
+    run("compact-counts --counts {d}/wc0 --target {d}/wc0-copy")
     run("window-counts --target {d}/wc" + source + "wc", watermark="1 day")
-    assert "rows dropped as later than 1 day: 0" in capfd.readouterr().out
+    assert "dropped as later than 1 day: 0" in capfd.readouterr().out
     run("word-count --target {d}/words" + source + "words")
     run("upsert --target {d}/kv --counts {d}/kvc" + source + "kv")
     run("upsert --target {d}/kv2" + source + "kv2")
     run("compact --table {d}/kv --target {d}/kvx")
-    run("compact --table {d}/kv")
     one, two = keyed_table.latest(spark, f"{d}/kvx"), keyed_table.latest(spark, f"{d}/kv2")
     assert one.select("rowkey").exceptAll(two.select("rowkey")).isEmpty() and one.count() == two.count()
     capfd.readouterr()

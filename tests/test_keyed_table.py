@@ -70,34 +70,18 @@ def test_catalog_scan(spark, tmp_path):
         )
 
 
-def test_compaction_keeps_the_view_under_replay_and_further_batches(spark, tmp_path):
-    path = str(tmp_path / "t")
+def test_a_compacted_copy_keeps_the_view_under_replay_and_further_batches(spark, tmp_path):
+    path, copy = str(tmp_path / "t"), str(tmp_path / "c")
     for batch_id in range(3):
         _put(spark, path, batch_id, *[(1, i, "B", 40.0 + batch_id, -73.9) for i in range(5)])
     before = _rows(keyed_table.latest(spark, path))
-    assert keyed_table.compact(spark, path) == 1
-    assert _rows(keyed_table.latest(spark, path)) == before
-    _put(spark, path, 2, *[(1, i, "B", 42.0, -73.9) for i in range(5)])
-    assert _rows(keyed_table.latest(spark, path)) == before
-    _put(spark, path, 1, (1, 0, "B", 1.0, 1.0))  # already folded in
-    assert _rows(keyed_table.latest(spark, path)) == before
-    _put(spark, path, 3, (1, 0, "B", 9.0, 9.0))
-    for _ in range(2):
-        assert keyed_table.compact(spark, path) == 2
-        got = {r["rowkey"][0]: r["lat"] for r in keyed_table.latest(spark, path).collect()}
-        assert got == {"0": 9.0, "1": 42.0, "2": 42.0, "3": 42.0, "4": 42.0}
-    copy = str(tmp_path / "c")
     keyed_table.copy_current(spark, path, copy)
-    assert _rows(keyed_table.latest(spark, copy)) == _rows(keyed_table.latest(spark, path))
-    assert keyed_table.log(spark, copy).count() == 5
-
-
-def test_an_unfinished_batch_is_not_read(spark, tmp_path):
-    path = str(tmp_path / "t")
-    _put(spark, path, 0, (1, 0, "B", 40.0, -73.9))
-    _put(spark, path, 1, (1, 0, "B", 41.0, -73.9))
-    (tmp_path / "t" / "batch_id=1" / "_SUCCESS").unlink()
-    assert [r["lat"] for r in keyed_table.latest(spark, path).collect()] == [40.0]
+    assert _rows(keyed_table.latest(spark, copy)) == before and keyed_table.log(spark, copy).count() == 5
+    _put(spark, copy, 2, *[(1, i, "B", 42.0, -73.9) for i in range(5)])
+    assert _rows(keyed_table.latest(spark, copy)) == before
+    _put(spark, copy, 3, (1, 0, "B", 9.0, 9.0))
+    got = {r["rowkey"][0]: r["lat"] for r in keyed_table.latest(spark, copy).collect()}
+    assert got == {"0": 9.0, "1": 42.0, "2": 42.0, "3": 42.0, "4": 42.0}
 
 
 def test_a_table_without_batches_is_empty(spark, tmp_path):
