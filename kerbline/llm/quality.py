@@ -1,8 +1,12 @@
 """Quality rules: counts of each text, and its divergence from language references.
 
 A reference holds, for one language, how often each character class and each of its commonest words occurs over all
-documents of that language. A document is compared with every reference by Jensen-Shannon distance (base 2, 0 to 1); the
-nearest reference counts, so a missing or wrong language label does not matter. A document fails if its characters are
+documents of that language. It needs at least ``REFERENCE_TEXTS`` different texts and ``REFERENCE_WORDS`` words: a label
+with less says nothing about a language, and its texts are judged by the other references. No text is its own measure: its
+counts are taken off the reference of its own label, and off the one over all documents, before the two are compared.
+
+A document is compared with every reference by Jensen-Shannon distance (base 2, 0 to 1); the nearest reference counts, so a
+missing or wrong language label does not matter. A document fails if its characters are
 further than ``CLASS_LIMIT``, or its words further than ``WORD_LIMIT``, from all references. Short texts say little about
 either: below ``CLASS_WORDS`` or ``COMMON_WORDS`` words the respective test is not made.
 
@@ -12,12 +16,14 @@ how much of the language they cover. ``WORD_SHARE`` of that distance, if it is b
 not used for words where there is another one.
 
 A text whose script is that of no reference, like Russian where all languages are written in Latin letters, is compared with
-nothing that says anything about it: neither test is made, and both distances are 0.
+nothing that says anything about it: neither test is made, and both distances are 0. So it is where there is no reference.
 
-References: one for every language, one over the documents without a label, and one over all documents; each is at most
-``TOP_WORDS`` words. They are broadcast in blocks of ``LANGUAGES``, and a text keeps its least distances from block to block.
+References: one for every language, one over the documents without a label, and one over all documents, if they meet the
+guards above; each is at most ``TOP_WORDS`` words. They are broadcast in blocks of ``LANGUAGES``, and a text keeps its least distances from block to block.
 
-Edge cases: null and empty texts have no words and fail the base rules; repeated rows are judged alike; an empty table gives no rows; very long texts are processed whole, one per chunk.
+Edge cases: null and empty texts have no words and fail the base rules; a null label counts as a label of its own, and so do
+rows without a column ``lang``; repeated rows are judged alike and are one text for the guard; an empty table gives no rows;
+very long texts are processed whole, one per chunk.
 """
 
 from collections import Counter
@@ -36,6 +42,8 @@ CLASS_NAMES = ("upper", "lower", "digit", "space", "line", "stop", "quote", "sym
 WINDOW = 8
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 LANGUAGES, TOP_WORDS = 64, 200
+#: Guards of the references: different texts and words.
+REFERENCE_TEXTS, REFERENCE_WORDS = 20, 4_000
 CLASS_WORDS, COMMON_WORDS = 40, 60
 CLASS_LIMIT, WORD_LIMIT = 0.30, 0.55
 WORD_SHARE = 0.97
@@ -172,9 +180,18 @@ def _tallies(batches):
     yield rows()
 
 
-def references(docs, top_words=TOP_WORDS):
+def _different_texts(slim):
+    """{label: number of different texts}, with the number of all under ``ALL``."""
+    label = F.coalesce("lang", F.lit(UNLABELLED)).alias("lang")
+    digests = slim.select(label, F.xxhash64("text").alias("digest"))
+    count = F.count_distinct("digest").alias("n")
+    rows = digests.groupBy("lang").agg(count).unionAll(digests.agg(count).select(F.lit(ALL), "n")).collect()
+    return {r["lang"]: r["n"] for r in rows}
+
+
+def references(docs, top_words=TOP_WORDS, texts=REFERENCE_TEXTS, words=REFERENCE_WORDS):
     """{language: (class counts, {word: count}, other words, main script)}, with one under ``ALL`` for all documents and one
-    under ``UNLABELLED`` for those without a language."""
+    under ``UNLABELLED`` for those without a language; those with less than so many texts and words are left out."""
     slim = docs.select(F.col("lang").cast("string").alias("lang"), as_text(F.col("text")).alias("text"))
     tallies = mapped(slim, _tallies, "lang string, key binary, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
     tallies = written(tallies, "tallies")
@@ -200,14 +217,21 @@ def references(docs, top_words=TOP_WORDS):
     for r in top.select("lang", "key", "n").collect():
         out[r["lang"]][1][bytes(r["key"])[1:]] = r["n"]
     sums = {r["lang"]: r["n"] for r in totals.collect()}
-    return {k: (c, w, sums.get(k, 0) - sum(w.values()), int(main_script(x)[0])) for k, (c, w, x) in sorted(out.items()) if c.sum()}
+    different = _different_texts(slim)
+    return {
+        k: (c, w, sums.get(k, 0) - sum(w.values()), int(main_script(x)[0]))
+        for k, (c, w, x) in sorted(out.items())
+        if sums.get(k, 0) >= words and different.get(k, 0) >= texts
+    }
 
 
 def js_distance(p, q):
-    """Jensen-Shannon distance of each row of ``p`` from ``q``; rows without counts are at distance 0."""
+    """Jensen-Shannon distance of each row of ``p`` from ``q``, which has one row or as many; rows without counts are at
+    distance 0."""
     total = p.sum(1, keepdims=True)
     p = np.divide(p, total, out=np.zeros(p.shape), where=total > 0)
-    q = q / q.sum()
+    sums = q.sum(-1, keepdims=True)
+    q = np.divide(q, sums, out=np.zeros(q.shape), where=sums > 0)
     m = (p + q) / 2
 
     def part(x):
@@ -226,10 +250,16 @@ def _scale(counts):
     return max(1.0, WORD_LIMIT / (WORD_SHARE * max(js_distance(blank, counts)[0], 1e-9)))
 
 
+def _without(counts, own, belongs):
+    """The counts of a reference for each row: less the row's own where it belongs to the reference."""
+    return np.maximum(counts - np.where(belongs[:, None], own, 0), 0)
+
+
 class Judge:
     """Distances of texts from a block of references; shipped to the tasks."""
 
     def __init__(self, references):
+        self.names = list(references)
         self.classes = [c for c, _, _, _ in references.values()]
         self.scripts = {script for name, (_, _, _, script) in references.items() if name != ALL}
         vocabulary = sorted({word for _, words, _, _ in references.values() for word in words})
@@ -239,35 +269,41 @@ class Judge:
         hashes = buffers.Hasher(buffers.SYMBOL_CODES[raw]).of(ends[:-1], ends[1:])
         self.order = np.argsort(hashes)
         self.hashes = hashes[self.order]
-        self.words = [
-            (np.array([place[w] for w in words], np.int64), np.array([*words.values(), other], float), name == ALL)
-            for name, (_, words, other, _) in references.items()
-            if words
-        ]
+        self.words = []
+        for name, (_, words, other, _) in references.items():
+            spots = np.full(len(vocabulary), -1, np.int32)
+            spots[[place[w] for w in words]] = np.arange(len(words))
+            counts = np.array([*words.values(), other], float)
+            self.words.append((name, spots, counts, _scale(counts)))
 
     def named(self):
         """Whether the block has a reference other than that over all documents."""
-        return not all(over_all for _, _, over_all in self.words)
+        return any(name != ALL for name in self.names)
 
-    def distances(self, data, offsets, starts, ends, rows, over_all=True):
+    def distances(self, data, offsets, starts, ends, rows, labels, over_all=True):
         n, size = len(offsets) - 1, len(self.hashes)
+        of_class, of_words = np.full(n, np.inf), np.full(n, np.inf)
         chars = class_counts(data, offsets).astype(float)
-        of_class = np.min([js_distance(chars, q) for q in self.classes], 0) if self.classes else np.zeros(n)
+        for name, counts in zip(self.names, self.classes):
+            belongs = (labels == name) | (name == ALL)
+            of_class = np.minimum(of_class, js_distance(chars, _without(counts, chars, belongs)))
         if not size:
-            return of_class, np.full(n, np.inf)
+            return of_class, of_words
         found = buffers.Hasher(buffers.SYMBOL_CODES[buffers.LOWER[data]]).of(starts, ends)
         spot = np.minimum(np.searchsorted(self.hashes, found), size - 1)
         known = self.hashes[spot] == found
-        cells = rows[known] * size + self.order[spot[known]]
-        table = np.bincount(cells, minlength=n * size).reshape(n, size).astype(float)
+        word, row = self.order[spot[known]], rows[known]
         n_words = np.bincount(rows, minlength=n)
-        of_words = np.full(n, np.inf)
-        for places, counts, mixed in self.words:
-            if mixed and not over_all:
+        for name, spots, counts, scale in self.words:
+            if name == ALL and not over_all:
                 continue
-            own = table[:, places]
-            rest = (n_words - own.sum(1))[:, None]
-            of_words = np.minimum(of_words, js_distance(np.hstack([own, rest]), counts) * _scale(counts))
+            width = len(counts)
+            at = spots[word]
+            mine = at >= 0
+            own = np.bincount(row[mine] * width + at[mine], minlength=n * width).reshape(n, width).astype(float)
+            own[:, -1] = n_words - own.sum(1)
+            belongs = (labels == name) | (name == ALL)
+            of_words = np.minimum(of_words, js_distance(own, _without(counts, own, belongs)) * scale)
         return of_class, of_words
 
 
@@ -278,14 +314,14 @@ def judges(spark, refs):
     return [spark.sparkContext.broadcast(Judge({name: refs[name] for name in block})) for block in blocks]
 
 
-def _verdicts(shared, data, offsets, class_limit, word_limit):
+def _verdicts(shared, data, offsets, labels, class_limit, word_limit):
     """Result columns of each row of a chunk."""
     counts, starts, ends, rows = base_counts(data, offsets)
     judges = [block.value for block in shared]
     over_all = not any(judge.named() for judge in judges)
-    found = [judge.distances(data, offsets, starts, ends, rows, over_all) for judge in judges]
+    found = [judge.distances(data, offsets, starts, ends, rows, labels, over_all) for judge in judges]
     of_class, of_words = (np.min(x, 0) for x in zip(*found))
-    of_words = np.where(np.isinf(of_words), 0.0, np.minimum(of_words, 1.0))
+    of_class, of_words = (np.where(np.isinf(x), 0.0, np.minimum(x, 1.0)) for x in (of_class, of_words))
     script = main_script(script_counts(data, offsets))
     foreign = (script > 0) & ~np.isin(script, [x for judge in judges for x in judge.scripts])
     of_class, of_words = np.where(foreign, 0.0, of_class), np.where(foreign, 0.0, of_words)
@@ -297,35 +333,45 @@ def _verdicts(shared, data, offsets, class_limit, word_limit):
     return values | {"word_distance": pa.array(of_words), "kept": pa.array(~failed & near)}
 
 
+def _label(docs):
+    """The text's label as the references know it."""
+    named = any(c.lower() == "lang" for c in docs.columns)
+    return F.coalesce(F.col("lang").cast("string") if named else F.lit(None).cast("string"), F.lit(UNLABELLED))
+
+
 def judge(docs, refs, class_limit=CLASS_LIMIT, word_limit=WORD_LIMIT):
     """Add the base counts, base_failed, both distances and kept to ``docs`` (column ``text``)."""
     shared = judges(docs.sparkSession, refs)
-    (raw,) = fresh(docs, "raw")
+    raw, label = fresh(docs, "raw", "label")
     added = dict.fromkeys(("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"), "long")
     added |= {"base_failed": "boolean", "class_distance": "double", "word_distance": "double", "kept": "boolean"}
     plain = docs.select([f"`{c}`" for c in docs.columns if c.lower() not in added])
 
     def run(batches):
         for batch in batches:
+            labels = np.array(batch.column(label).to_pylist(), object)
             for low, high, data, offsets in buffers.parts(batch, raw):
-                values = _verdicts(shared, data, offsets, class_limit, word_limit)
-                yield buffers.with_columns(batch.slice(low, high - low).drop_columns([raw]), values)
+                values = _verdicts(shared, data, offsets, labels[low:high], class_limit, word_limit)
+                yield buffers.with_columns(batch.slice(low, high - low).drop_columns([raw, label]), values)
 
-    return mapped(plain.withColumn(raw, as_text(F.col("text"))), run, schema_with(plain, **added))
+    whole = plain.withColumns({raw: as_text(F.col("text")), label: _label(plain)})
+    return mapped(whole, run, schema_with(plain, **added))
 
 
 def passing(docs, refs, class_limit=CLASS_LIMIT, word_limit=WORD_LIMIT):
     """The documents that are kept, with their own columns only; the text goes to the tasks once."""
     shared = judges(docs.sparkSession, refs)
     place = [c.lower() for c in docs.columns].index("text")
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    whole = docs.select(doc, _label(docs).alias("label"))
 
     def run(batches):
         for batch in batches:
             texts = batch.column("doc").field(place).cast(pa.large_binary())
             texts = pa.RecordBatch.from_arrays([texts], ["text"])
+            labels = np.array(batch.column("label").to_pylist(), object)
             for low, high, data, offsets in buffers.parts(texts, "text"):
-                kept = _verdicts(shared, data, offsets, class_limit, word_limit)["kept"]
-                yield batch.slice(low, high - low).filter(kept)
+                kept = _verdicts(shared, data, offsets, labels[low:high], class_limit, word_limit)["kept"]
+                yield batch.slice(low, high - low).select(["doc"]).filter(kept)
 
-    return mapped(whole, run, whole.schema).select("doc.*")
+    return mapped(whole, run, whole.select("doc").schema).select("doc.*")
