@@ -30,6 +30,7 @@ from kerbline.llm.frames import as_text, fresh, mapped, schema_with
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 CACHE = 300_000
+CACHED_BYTES = 64
 CHUNK = 1 << 20
 LETTER, NUMBER, OTHER, SPACE = range(4)
 #: Symbols of the automaton; FIRST is added for the first code point of a text.
@@ -188,17 +189,19 @@ def merge_long(piece, ranks):
 
 
 class Pieces(dict):
-    """Cache from a slice to its ids as bytes of unsigned 32-bit integers; emptied when it is full."""
+    """Cache from a slice to its ids as bytes of unsigned 32-bit integers; emptied when it is full. Slices of more than
+    ``CACHED_BYTES`` are merged each time, so that the cache has a bound in bytes."""
 
     def __init__(self, ranks):
         super().__init__()
         self.ranks = ranks
 
     def __missing__(self, piece):
-        if len(self) >= CACHE:
-            self.clear()
-        ids = merge(piece, self.ranks)
-        self[piece] = packed = np.array(ids, "<u4").tobytes()
+        packed = np.array(merge(piece, self.ranks), "<u4").tobytes()
+        if len(piece) <= CACHED_BYTES:
+            if len(self) >= CACHE:
+                self.clear()
+            self[piece] = packed
         return packed
 
 
