@@ -5,14 +5,19 @@ A page is cut into blocks, the leaf sequence of its tags: runs of text between b
 becomes a vector of hashed path features, hashed words and a few counts; a bidirectional LSTM in numpy reads the sequence
 of the whole page and labels each block as main text or not.
 
-Training uses a bounded sample: ``SAMPLE`` pages of at most ``SAMPLE_CHARS`` characters, by the hash of their ids. Their
-blocks are labelled by meaning: inside ``article`` or ``main`` is main text, inside the tags and class words of the lists
-below is not. To meet other layouts than the sample's own, each page is also set anew ``VARIANTS`` times: its main text in
-a random container, other blocks of the sample around and between as menus, notices, forms, sidebars and comments.
+Training uses a bounded sample: ``SAMPLE`` pages of at most ``SAMPLE_CHARS`` characters, by the hash of their ids; of longer
+pages, if there are no others, the middle. Their blocks are labelled by meaning: inside ``article`` or ``main`` is main text,
+inside the tags and class words of the lists below is not. On a page without either tag the blocks outside such tags and
+words count by how much they look like prose. To meet other layouts than the sample's own, each page is also set anew
+``VARIANTS`` times: its main text in a random container, named or not, as paragraphs, lists, quotations, tables and plain
+blocks, with other blocks of the sample around and between as menus, notices, forms, sidebars and comments. It takes some
+tens of seconds on the driver, whatever the number of pages.
 
 Edge cases: a null or empty page, or one without main text, gives an empty string; unclosed and misnested tags close as in
-browsers' usual cases; a repeated page is read again; without training pages every block counts as main text; pages of any
-length are read whole; further columns are kept, but for ``text`` and ``n_chars``.
+browsers' usual cases; what stands in unknown tags, in ``svg``, ``math`` or ``object`` is read like any text, and only scripts,
+styles, templates and what replaces or feeds them is skipped; a repeated page is read again; where no page has any text
+there is nothing to learn or to label; pages of any length are read whole; further columns are kept, but for ``text`` and
+``n_chars``.
 """
 
 import html
@@ -28,9 +33,10 @@ from kerbline.llm.buffers import LOWER, SYMBOL_CODES, Hasher, mix, word_bounds
 from kerbline.llm.frames import fresh, mapped, schema_with
 
 SAMPLE, SAMPLE_CHARS, VARIANTS, SEED = 320, 20_000, 4, 7
-PATH_BINS, WORD_BINS, COUNTS, HIDDEN = 96, 24, 8, 20
+PATH_BINS, WORD_BINS, COUNTS, HIDDEN = 96, 24, 9, 20
 EPOCHS, BATCH, RATE = 16, 32, 0.02
 CELLS = 1 << 16
+PROSE_WORDS = 12
 MARK = "\x01"
 
 #: Block-level elements, elements without content, and elements whose content is not text.
@@ -40,7 +46,7 @@ BLOCK_TAGS = frozenset(
     "option p pre search section select summary table tbody td tfoot th thead title tr ul".split()
 )
 EMPTY_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = frozenset("script style template noscript svg math iframe object canvas textarea".split())
+RAW_TAGS = frozenset("script style template noscript iframe textarea".split())
 #: What an opening tag closes if it is open inside the nearest container.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("td", "th", "tr"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 CONTAINERS = frozenset("article aside body div section main td th table ul ol dl form nav header footer blockquote fieldset".split())
@@ -62,6 +68,12 @@ _TAG = re.compile(
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORD = re.compile(r"[a-z0-9]+")
+#: Words and signs that a page says about itself.
+_FURNITURE = re.compile(
+    r"©|\(c\) ?\d{4}|\b(copyright|all rights reserved|privacy|terms of (use|service)|cookies?|subscribe|newsletter|log ?in|sign (in|up)|"
+    r"share (this|on)|advertis\w+|related (posts|articles)|read more|leave a (comment|reply))\b",
+    re.I,
+)
 
 
 def _features(tag, attributes):
@@ -150,6 +162,27 @@ def label(path):
     return inside
 
 
+def prose_labels(found):
+    """Labels of a page without article or main, from how its blocks look: outside the tags and words that set blocks apart,
+    prose is main text, and so is what stands among prose under the same parent."""
+    apart = [any(f[0] in OTHER_TAGS or any(w[1:] in OTHER_WORDS for w in f[1:]) for f in path) for path, _, _ in found]
+    prose = [
+        not out and len(text.split()) >= PROSE_WORDS and 3 * links < len(text) and text[-1:] in ".!?:\"'”»"
+        for out, (_, text, links) in zip(apart, found)
+    ]
+    parents = {path[:-1] for flag, (path, _, _) in zip(prose, found) if flag}
+    spots = [i for i, flag in enumerate(prose) if flag]
+    low, high = (spots[0], spots[-1]) if spots else (0, -1)
+    among = [low <= i <= high and not out and path[:-1] in parents for i, (out, (path, _, _)) in enumerate(zip(apart, found))]
+    return [int(x or y) for x, y in zip(prose, among)]
+
+
+def labels_of(found):
+    """Weak label of each block of a page."""
+    own = [label(path) for path, _, _ in found]
+    return own if any(own) else prose_labels(found)
+
+
 def _container(rng, kind):
     """Opening and closing tags around main text or other blocks; names are drawn from the lists above."""
 
@@ -159,16 +192,46 @@ def _container(rng, kind):
     if kind == "main":
         tag = pick(("article", "main", "div", "div", "section", "td"))
         words = "-".join(pick(MAIN_WORDS) for _ in range(int(rng.integers(1, 3))))
-        named = tag in MAIN_TAGS and rng.random() < 0.5
+        named = rng.random() < (0.5 if tag in MAIN_TAGS else 0.35)
         return f"<{tag}>" if named else f'<{tag} {pick(("class", "id"))}="{words}">', f"</{tag}>"
     tag = pick(("div", "div", "section", "ul", "aside", "nav", "header", "footer", "form"))
-    if tag in OTHER_TAGS and rng.random() < 0.5:
+    if rng.random() < (0.5 if tag in OTHER_TAGS else 0.1):
         return f"<{tag}>", f"</{tag}>"
     word = pick(sorted(OTHER_WORDS))
     word = pick((word, f"{word}-{pick(('box', 'list', 'top', 'item', 'area'))}", f"{pick(('site', 'page', 'block'))}-{word}"))
     return f'<{tag} {pick(("class", "id"))}="{word}">', f"</{tag}>"
 
 
+def _set_main(text, rng, heading):
+    """A block of main text as HTML; every leaf begins with ``MARK``, so that labels follow blocks through the parser."""
+
+    def leaf(tag, words):
+        return f"<{tag}>{html.escape(MARK + ' '.join(words))}</{tag}>"
+
+    words = text.split()
+    if heading:
+        return leaf(("h1", "h1", "h2", "h3")[int(rng.integers(4))], words)
+    cuts = sorted({0, len(words), *(int(x) for x in rng.integers(0, len(words) + 1, int(rng.integers(1, 5))))})
+    pieces = [words[a:b] for a, b in zip(cuts, cuts[1:])]
+    kind = rng.random()
+    if kind < 0.50:
+        return leaf("p", words)
+    if kind < 0.66:
+        tag = ("ul", "ol")[int(rng.integers(2))]
+        return f"<{tag}>" + "".join(leaf("li", w[:12] if rng.random() < 0.5 else w) for w in pieces) + f"</{tag}>"
+    if kind < 0.74:
+        return "<blockquote>" + (leaf("p", words) if rng.random() < 0.5 else html.escape(MARK + text)) + "</blockquote>"
+    if kind < 0.79:
+        return leaf("pre", words)
+    if kind < 0.84:
+        return "<table><tr>" + "".join(leaf("td", w) for w in pieces) + "</tr></table>"
+    if kind < 0.88:
+        return "<dl>" + "".join(leaf(("dt", "dd")[i % 2], w) for i, w in enumerate(pieces)) + "</dl>"
+    if kind < 0.93:
+        return leaf(("h2", "h3", "h4")[int(rng.integers(3))], words[:8]) + (leaf("p", words[8:]) if words[8:] else "")
+    return leaf("div", words)
+
+
 def variant(main, others, rng):
     """A page set anew around main text blocks, which begin with ``MARK``, with other blocks around and between."""
 
@@ -177,7 +240,7 @@ def variant(main, others, rng):
 
     def around():
         start, end = _container(rng, "other")
-        inner = ("p", "li", "div", "label", "h3", "span")[int(rng.integers(6))]
+        inner = ("p", "li", "div", "label", "h3", "span", "p")[int(rng.integers(7))]
         chosen = [others[int(rng.integers(len(others)))] for _ in range(int(rng.integers(1, 6)))] if others else []
         if main and rng.random() < 0.3:  # comments and teasers read like main text
             chosen.append(main[int(rng.integers(len(main)))])
@@ -185,8 +248,7 @@ def variant(main, others, rng):
         return start + "".join(f"<a href='#'>{setting(t, inner)}</a>" if link else setting(t, inner) for t in chosen) + end
 
     open_main, close_main = _container(rng, "main")
-    # a control character at the start marks main text, so that labels follow blocks through the parser
-    marked = [setting(MARK + t, "h1" if not i and rng.random() < 0.7 else "p") for i, t in enumerate(main)]
+    marked = [_set_main(t, rng, not i and rng.random() < 0.7) for i, t in enumerate(main)]
     while rng.random() < 0.5:
         marked.insert(int(rng.integers(len(marked) + 1)), around())
     before = "".join(around() for _ in range(int(rng.integers(0, 4))))
@@ -253,6 +315,7 @@ class Reader:
         counts[:, 5] = [text[-1:] in ".!?" for _, text, _ in found]
         counts[:, 6] = [len(path) / 10 for path, _, _ in found]
         counts[:, 7] = 1
+        counts[:, 8] = [len(text) < 400 and _FURNITURE.search(text) is not None for _, text, _ in found]
         return out
 
 
@@ -361,8 +424,12 @@ def padded(sequences):
 
 
 def train(pages, sample=SAMPLE, variants=VARIANTS, seed=SEED):
-    """The labeller trained on a bounded sample of ``pages`` (page_id, html); None without main text in it."""
-    short = pages.where(F.length("html") <= SAMPLE_CHARS)
+    """The labeller trained on a bounded sample of ``pages`` (page_id, html); None if no page of it has any main text."""
+    some = pages.where("html IS NOT NULL AND html <> ''")
+    short = some.where(F.length("html") <= SAMPLE_CHARS)
+    if short.where("page_id IS NOT NULL").isEmpty():
+        middle = ((F.length("html") - SAMPLE_CHARS) / 2).cast("int")
+        short = some.withColumn("html", F.substring("html", middle, F.lit(SAMPLE_CHARS)))
     ids = short.select("page_id").where("page_id IS NOT NULL").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
     # ids first: ordering whole pages would send so many of them from every task
     chosen = [r["page_id"] for r in ids.collect()]
@@ -370,7 +437,7 @@ def train(pages, sample=SAMPLE, variants=VARIANTS, seed=SEED):
     reader, rng, data, others, mains = Reader(), np.random.default_rng(seed), [], [], []
     for row in sorted(rows, key=lambda r: r["html"]):
         found = blocks(row["html"])
-        labels = [label(path) for path, _, _ in found]
+        labels = labels_of(found)
         if found and any(labels):
             data.append((reader.vectors(found), np.array(labels, np.float32)))
             mains.append([text for (_, text, _), y in zip(found, labels) if y])
@@ -401,7 +468,7 @@ def main_texts(model, reader, pages):
             group.append(order[at])
             at += 1
         if model is None:
-            keep = [np.ones(sizes[k], bool) for k in group]
+            keep = [np.array(labels_of(found[k]), bool) for k in group]
         else:
             x, mask = padded([vectors[ends[k] - sizes[k] : ends[k]] for k in group])
             logits = model.logits(x, mask)[0]
