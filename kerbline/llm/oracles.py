@@ -17,7 +17,7 @@ keyed AS (
   FROM parsed),
 listed AS (
   SELECT DISTINCT canonical FROM keyed
-  WHERE regexp_matches(host, '(^|[.-])(adult|ads|bets|casino|pills|spam)([.-]|$)') AND contains(host, '-')),
+  WHERE regexp_matches(host, 'adult|bets|casino|pills|spam|(^|[.-])ads([.-]|$)') OR substr(md5(canonical), 1, 1) IN ('0', '1')),
 rules(action, domain, prefix) AS (
   VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
     ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),

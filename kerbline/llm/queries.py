@@ -63,7 +63,7 @@ def op8_lm_scoring(spark, sf_dir):
 
 def op9_url_filter(spark, sf_dir):
     urls = table(spark, sf_dir, "pages").select("page_id", "url")
-    return url_filter.judge(urls, url_filter.spam_list(urls)).select("page_id", "host", "path", "rule", "verdict")
+    return url_filter.judge(urls, url_filter.feed(urls)).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op10_byte_bpe(spark, sf_dir):

@@ -4,8 +4,13 @@ A listed URL is blocked. Pages whose canonical URL fails the blocked Bloom filte
 shuffled. Those that pass are joined with the list itself, which removes the false positives, so results do not depend on
 the filter's size.
 
-Edge cases: a null URL, or one without ``://``, has empty host and path, fits no rule and is never listed. Repeated rows
-are judged alike. An empty list or table gives no blocks. Other columns are kept.
+The tables hold no list, so the query makes one as a feed would be: all canonical URLs on hosts with a spam word anywhere in
+a label, and on every other host the reported ones, a share of them by hash. Hosts thus have listed and unlisted URLs.
+
+Edge cases: a null URL, or one without ``://``, has empty host and path, fits no rule and is never listed; repeated rows are
+judged alike; of rules of equal length the first in order of action, host and path wins; URLs of any length are read whole;
+an empty list or table gives no blocks; a null in the list lists nothing; further columns may have any names, those named
+like the result's are replaced.
 """
 
 from pyspark.sql import functions as F
@@ -19,7 +24,9 @@ RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-SPAM_WORDS = ("adult", "ads", "bets", "casino", "pills", "spam")
+SPAM_HOST = r"adult|bets|casino|pills|spam|(^|[.-])ads([.-]|$)"
+#: Reported URLs: those whose digest begins with one of these digits, an eighth of them.
+REPORTED = "01"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -57,12 +64,12 @@ def rule_columns(host, path, rules=RULES):
     return name, verdict
 
 
-def spam_list(urls):
-    """Canonical URLs on hosts with a spam word as a hyphenated part of a label: the list of the op9 query."""
-    spam = r"(^|[.-])(" + "|".join(SPAM_WORDS) + r")([.-]|$)"
+def feed(urls, spam=SPAM_HOST, reported=REPORTED):
+    """(canonical): the list of the op9 query, made from the URLs themselves by the rule above."""
     host = host_of(F.col("url"))
-    listed = urls.where(host.rlike(spam) & host.contains("-"))
-    return listed.select(canonical(host, path_of(F.col("url"))).alias("canonical"))
+    listed = urls.select(host.alias("host"), canonical(host, path_of(F.col("url"))).alias("canonical"))
+    by_digest = F.substring(F.md5("canonical"), 1, 1).isin(*reported)
+    return listed.where(F.col("host").rlike(spam) | by_digest).select("canonical")
 
 
 def judge(urls, listed, rules=RULES, max_blocks=bloom.MAX_BLOCKS):
