@@ -17,7 +17,7 @@ from kerbline.llm import (
     suffix_dedup,
     url_filter,
 )
-from kerbline.llm.frames import as_text, table
+from kerbline.llm.frames import table
 
 
 def op1_language_id(spark, sf_dir):
@@ -57,8 +57,7 @@ def op7_quality_rules(spark, sf_dir):
 def op8_lm_scoring(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     docs = docs.withColumn("held_out", langid.crc_remainder(F.col("doc_id"), 10) == 0)
-    learned = docs.where(~F.col("held_out")).select(as_text(F.col("text")).alias("text"))
-    return bloom_lm.score(docs, *bloom_lm.train(learned)).drop("text")
+    return bloom_lm.score(docs.withColumn("learn", ~F.col("held_out")), "learn").drop("learn")
 
 
 def op9_url_filter(spark, sf_dir):
