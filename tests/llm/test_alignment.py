@@ -123,6 +123,17 @@ def test_bitmaps_merge_over_flushes_and_turn_dense():
         assert merged.column("popcount").to_pylist() == [len(sets[3])] * 2
 
 
+def test_both_ways_to_cut_by_the_byte_level_file_agree(real, monkeypatch):
+    path = public_tokenizers.path(alignment.BYTE_LEVEL)
+    fast = alignment.ByteLevel(path)
+    monkeypatch.setattr(alignment, "by_rank", lambda *_: False)
+    plain = alignment.ByteLevel(path)
+    texts = [r["text"] or "" for r in real.limit(60).collect()]
+    texts += [f"a{chr(c)}b {chr(c)}1  {chr(c)} " for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x3000 or c % 7 == 0)]
+    assert fast.encode(texts) == plain.encode(texts)
+    assert fast.tokens == plain.tokens
+
+
 def test_no_token_is_empty():
     for kind, name in ((alignment.ByteLevel, alignment.BYTE_LEVEL), (alignment.Pieces, alignment.PIECES)):
         assert all(kind(public_tokenizers.path(name)).tokens)
