@@ -37,6 +37,8 @@ BATCH = [
     "kv_upsert",
     "kv_compact_replay",
     "cluster_assign_many",
+    "cluster_assign_pickups",
+    "json_typed_map",
 ]
 
 

@@ -23,16 +23,15 @@ def _send(spark, topic, values, files=1):
 
 def test_totals_go_beyond_the_remembered_batches(spark, tmp_path):
     topic = str(tmp_path / "topic")
-    _send(spark, topic, [_trip(1, i % 24, i) if i % 4 else "junk" for i in range(240)], files=120)
+    _send(spark, topic, [_trip(1, i % 24, i) if i % 4 else "junk" for i in range(212)], files=106)
     with totals.listening(spark) as sums:
         source = topics.subscribe(spark, topic, **topics.let_go(files_per_batch=1))
         query = run.drain(jobs.count_messages(jobs.decoded_enriched(source), str(tmp_path / "cp")))
         found = sums.of(query)
         sums.keep(spark, str(tmp_path / "kept"))
         sums.keep(spark, str(tmp_path / "kept"))
-    batches = spark.createDataFrame([(1,)]).count() and found[totals.BATCHES]
-    assert batches >= 110 and run.rows_read(query) < 240
-    assert (found[totals.INPUT], found[jobs.GOOD], found[jobs.REJECTED]) == (240, 180, 60)
+    assert found[totals.BATCHES] > 100 and run.rows_read(query) < 212
+    assert (found[totals.INPUT], found[jobs.GOOD], found[jobs.REJECTED]) == (212, 159, 53)
     kept = {r["metric"]: r["n"] for r in totals.kept(spark, str(tmp_path / "kept")).collect()}
     assert kept == found
 
