@@ -231,5 +231,7 @@ def remove_repeats(docs, window=WINDOW, gram=GRAM):
 
 
 def report(docs, window=WINDOW, gram=GRAM):
+    """Counts, digest and ``text``: the remaining bytes as text, where a cut inside a code point leaves U+FFFD."""
     out = remove_repeats(docs, window, gram)
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    text = F.make_valid_utf8(F.col("kept").cast("string")).alias("text")
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), text)
