@@ -31,8 +31,7 @@ def mixing_stage(spark, docs, sf_dir):
 
 def byte_bpe(spark, docs, sf_dir):
     """Token ids and decoded text of every document, as digests."""
-    encoded = bpe.encode(docs.select("doc_id", "text")).drop("text")
-    return bpe.digests(bpe.decode(encoded))
+    return bpe.digests(bpe.round_trip(docs.select("doc_id", "text")).drop("text"))
 
 
 STAGES = [

@@ -274,13 +274,7 @@ def _binaries(values, per_row):
     return pa.Array.from_buffers(pa.large_binary(), len(per_row), [None, pa.py_buffer(offsets), buffer]).cast(pa.binary())
 
 
-def encode(docs, path=None):
-    """Add ids and starts to ``docs`` (column ``text``)."""
-    path = path or public_tokenizers.path(VOCABULARY)
-    (raw,) = fresh(docs, "raw")
-    added = {"ids": "binary", "starts": "binary"}
-    plain = docs.select([f"`{c}`" for c in docs.columns if c.lower() not in added])
-
+def _encoding(path, raw):
     def run(batches):
         own = codec(path)
         for batch in batches:
@@ -289,14 +283,10 @@ def encode(docs, path=None):
                 values = {"ids": _binaries(ids, 4 * per_row), "starts": _binaries(starts, 4 * per_row)}
                 yield buffers.with_columns(batch.slice(low, high - low).drop_columns([raw]), values)
 
-    return mapped(plain.withColumn(raw, as_text(F.col("text"))), run, schema_with(plain, **added))
-
+    return run
 
-def decode(encoded, path=None):
-    """Add decoded (bytes) to rows with ids and starts."""
-    path = path or public_tokenizers.path(VOCABULARY)
-    plain = encoded.select([f"`{c}`" for c in encoded.columns if c.lower() != "decoded"])
 
+def _decoding(path):
     def run(batches):
         own = codec(path)
         for batch in batches:
@@ -306,7 +296,35 @@ def decode(encoded, path=None):
                 out, n_bytes = own.decode(ids.tobytes(), starts.tobytes(), np.diff(offsets) // 4)
                 yield buffers.with_columns(batch.slice(low, high - low), {"decoded": _binaries(out, n_bytes)})
 
-    return mapped(plain, run, schema_with(plain, decoded="binary"))
+    return run
+
+
+def encode(docs, path=None):
+    """Add ids and starts to ``docs`` (column ``text``)."""
+    path = path or public_tokenizers.path(VOCABULARY)
+    (raw,) = fresh(docs, "raw")
+    added = {"ids": "binary", "starts": "binary"}
+    plain = docs.select([f"`{c}`" for c in docs.columns if c.lower() not in added])
+    return mapped(plain.withColumn(raw, as_text(F.col("text"))), _encoding(path, raw), schema_with(plain, **added))
+
+
+def decode(encoded, path=None):
+    """Add decoded (bytes) to rows with ids and starts."""
+    path = path or public_tokenizers.path(VOCABULARY)
+    plain = encoded.select([f"`{c}`" for c in encoded.columns if c.lower() != "decoded"])
+    return mapped(plain, _decoding(path), schema_with(plain, decoded="binary"))
+
+
+def round_trip(docs, path=None):
+    """``decode`` of ``encode`` in one pass: a task has one Python worker and one codec, where the two calls in a row have
+    two of each, which stay on the executor for the steps after."""
+    path = path or public_tokenizers.path(VOCABULARY)
+    (raw,) = fresh(docs, "raw")
+    added = {"ids": "binary", "starts": "binary", "decoded": "binary"}
+    plain = docs.select([f"`{c}`" for c in docs.columns if c.lower() not in added])
+    encoding, decoding = _encoding(path, raw), _decoding(path)
+    whole = plain.withColumn(raw, as_text(F.col("text")))
+    return mapped(whole, lambda batches: decoding(encoding(batches)), schema_with(plain, **added))
 
 
 def digests(decoded):

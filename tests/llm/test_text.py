@@ -12,6 +12,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from kerbline.llm import bpe, langid, quality
 from kerbline.llm.queries import QUERIES
 from odd_rows import none, odd, real  # noqa: F401
@@ -293,6 +294,17 @@ def test_round_trip_of_odd_texts(odd, none, reference):
     assert bpe.digests(bpe.decode(bpe.encode(none))).count() == 0
 
 
+def test_the_pipeline_holds_one_python_worker_for_a_task(spark, sf_dir, odd, none):
+    """Encoding and decoding of a document are one step outside the JVM, with the results of the two calls in a row."""
+    for docs in (odd, none):
+        got, want = bpe.round_trip(docs), bpe.decode(bpe.encode(docs))
+        assert got.schema == want.schema
+        assert Counter(map(repr, got.collect())) == Counter(map(repr, want.collect()))
+    out = corpus_pipeline.byte_bpe(spark, odd, sf_dir)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_long_slices_are_not_cached():
     own = bpe.Codec(PATH)
     short, long = b" cached", b"\xe6\xbc\xa2" * 4_000
